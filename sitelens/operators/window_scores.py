@@ -33,75 +33,63 @@ class Motif:
         self.k = len(forward)
         # The reverse strand reads the matrix backwards with complemented bases.
         self.strands = (forward, forward[::-1, ::-1])
+        # What the best base at a place adds to a window that has the given letter there.
+        self.gains = [m.max(axis=1, keepdims=True) - m for m in self.strands]
+        self.reach = float(self.gains[0].max())
 
-    def reach(self):
-        """Most that one substitution can add to a window."""
-        forward = self.strands[0]
-        return float((forward.max(axis=1) - forward.min(axis=1)).max())
 
-
-def word_table(rows, combine, start):
-    """Value of each WORD-letter word for the matrix rows, ignoring letters after the last row."""
-    table = np.full((4,) * WORD, start)
+def word_values(rows, combine):
+    """Value of each WORD-letter word for the rows; letters after the last row do not count."""
+    table = np.zeros((4,) * WORD)
     for axis, row in enumerate(rows):
-        shape = [1] * WORD
-        shape[axis] = 4
-        table = combine(table, row.reshape(shape))
+        table = combine(table, row.reshape([4 if a == axis else 1 for a in range(WORD)]))
     return table.ravel()
 
 
-def fold_words(words, matrix, combine, start):
-    """Combine the matrix over every window; ``words[s]`` is the word that begins at ``s``."""
-    total = None
-    for first in range(0, len(matrix), WORD):
-        table = word_table(matrix[first : first + WORD], combine, start)
-        part = np.take(table, words[first : len(words) - len(matrix) + first + 1], mode="clip")
-        total = part if total is None else combine(total, part, out=total)
+def window_values(words, at, rows, combine):
+    """Value of the windows ``at`` (a slice or an array); ``words[s]`` begins at ``s``."""
+    total = 0.0
+    for first in range(0, len(rows), WORD):
+        table = word_values(rows[first : first + WORD], combine)
+        total = combine(total, np.take(table, words[first:][at], mode="clip"))
     return total
 
 
-def candidate_positions(scores, motif, codes, centre):
-    """Positions covered by a window that reaches the threshold as is or after one substitution."""
-    need = motif.threshold - SLACK
-    lowest = max(need, FLOOR)
-    close = scores[0] >= lowest - motif.reach()
-    close |= scores[1] >= lowest - motif.reach()
-    at = np.flatnonzero(close | (need <= FLOOR))
-    if not len(at):
-        return at
-    steps = np.arange(motif.k)
-    letters = np.maximum(codes[at[:, None] + steps], 1) - 1
-    spoiled = (codes[at[:, None] + steps] == 0).any(axis=1)
-    reached = np.zeros(len(at), dtype=bool)
-    for score, matrix in zip(scores, motif.strands):
-        gain = (matrix.max(axis=1) - matrix[steps, letters]).max(axis=1)
-        best = np.where(spoiled, 0.0, score[at] + np.maximum(gain, 0.0))
-        reached |= np.maximum(best, FLOOR) >= need
-    covered = np.zeros(len(codes), dtype=bool)
-    for step in steps:
-        covered[at[reached] + step] = True
-    return np.flatnonzero(covered & centre)
-
-
-def best_scores(positions, scores, motif, codes, spoiled):
-    """``(n, 10)``: wild type, A, C, G, T, each forward and reverse, best over the k windows."""
-    k = motif.k
-    base = codes[positions]
-    letter = np.maximum(base, 1) - 1
-    best = np.full((len(positions), 10), FLOOR)
-    for offset in range(k):
-        window = positions - offset
-        dead = spoiled[window]
+def candidate_positions(scores, spoiled, motif, letters, words, centre):
+    """Positions where some window reaches the threshold as is or with another base there."""
+    need = max(motif.threshold - SLACK, FLOOR)
+    found = np.zeros(len(letters), dtype=bool)
+    for score, gain in zip(scores, motif.gains):
+        at = np.flatnonzero(score >= need - motif.reach)
+        if need > 0:
+            at = at[~spoiled[at]]
+        at = at[score[at] + window_values(words, at, gain, np.maximum) >= need]
+        near = score[at]
+        for place in range(motif.k):
+            reached = near + gain[place][letters[at + place]] >= need
+            found[at[reached] + place] = True
+    found &= centre
+    return np.flatnonzero(found)
+
+
+def best_scores(positions, scores, spoiled, motif, letters):
+    """Wild type, A, C, G, T, each forward and reverse: best over the k windows, ``(10, n)``.
+
+    The entry of the position's own base is of no use: substituting it is no change.
+    """
+    best = np.full((5, 2, len(positions)), FLOOR)
+    letter = letters[positions]
+    for place in range(motif.k):
+        window = positions - place
+        dead = np.flatnonzero(spoiled[window])
         for strand, (score, matrix) in enumerate(zip(scores, motif.strands)):
             whole = score[window]
-            np.maximum(best[:, strand], whole, out=best[:, strand])
-            rest = whole - matrix[offset, letter]
-            for m in range(4):
-                column = 2 + 2 * m + strand
-                value = np.where(base == m + 1, whole, rest + matrix[offset, m])
-                value[dead] = 0.0
-                np.maximum(best[:, column], value, out=best[:, column])
-    return best
+            np.maximum(best[0, strand], whole, out=best[0, strand])
+            rest = whole - matrix[place][letter]
+            changed = rest + matrix[place][:, None]
+            changed[:, dead] = 0.0
+            np.maximum(best[1:, strand], changed, out=best[1:, strand])
+    return best.reshape(10, -1)
 
 
 def scan_block(codes, centre, motifs):
@@ -120,12 +108,12 @@ def scan_block(codes, centre, motifs):
         spoiled = spoiled_by_length[k]
         scores = []
         for matrix in motif.strands:
-            score = fold_words(words, matrix, np.add, 0.0)
+            score = window_values(words, slice(len(codes) - k + 1), matrix, np.add)
             score[spoiled] = 0.0
             scores.append(score)
-        positions = candidate_positions(scores, motif, codes, centre)
+        positions = candidate_positions(scores, spoiled, motif, letters, words, centre)
         if len(positions):
-            yield motif, positions, best_scores(positions, scores, motif, codes, spoiled)
+            yield motif, positions, best_scores(positions, scores, spoiled, motif, letters)
 
 
 def blocks(batch):
@@ -172,7 +160,7 @@ def scan_batches(packed, schema):
                             pa.array(np.full(n, motif.pwmid)),
                             pa.array(np.full(n, motif.threshold)),
                             pa.array(codes[positions].astype(np.int32)),
-                            *(pa.array(scores[:, c]) for c in range(scores.shape[1])),
+                            *(pa.array(s) for s in scores),
                         ],
                         names=schema,
                     )
