@@ -162,7 +162,7 @@ def nation_pwms(spark, sf_dir):
     return cells.join(total, ["n_nationkey", "i"]).selectExpr(
         "cast(n_nationkey + 1 as bigint) as pwmid",
         "concat('nation', n_nationkey, '.txt') as motif_file",
-        "cast(4.375 + n_nationkey % 2 * 0.25 as double) as threshold",
+        "cast(4.8125 + n_nationkey % 2 * 0.25 as double) as threshold",
         "i",
         "b",
         "v / total as p",

@@ -18,7 +18,10 @@ from sitelens.schemas import LOWER_BASES, MUTATION_SCORES, USE_COLUMNS
 from sitelens.sources.samples import read_intervals, read_selection, read_variants
 
 _SITE_COLUMNS = ["chromosome", "mutation_pos", *USE_COLUMNS, "wt_max_score", *MUTATION_SCORES]
-_MOTIF_COLUMNS = ["motif_id", F.col("tf_info_name").alias("name"), "score_threshold"]
+
+
+def _motif_columns():
+    return ["motif_id", F.col("tf_info_name").alias("name"), "score_threshold"]
 
 
 def intersect_intervals(
@@ -32,7 +35,7 @@ def intersect_intervals(
     found = overlap_join(
         sites.select(*_SITE_COLUMNS, "pwmid"), intervals, half_open=half_open, bin_bits=bin_bits
     )
-    return with_motif(found, motifs).select(*_SITE_COLUMNS, *_MOTIF_COLUMNS, "bed_name")
+    return with_motif(found, motifs).select(*_SITE_COLUMNS, *_motif_columns(), "bed_name")
 
 
 def intersect_positions(sites: DataFrame, motifs: DataFrame, intervals: DataFrame) -> DataFrame:
@@ -40,7 +43,7 @@ def intersect_positions(sites: DataFrame, motifs: DataFrame, intervals: DataFram
     found = position_join(
         sites.select(*_SITE_COLUMNS, "pwmid"), explode_intervals(intervals)
     )
-    return with_motif(found, motifs).select(*_SITE_COLUMNS, *_MOTIF_COLUMNS, "bed_name")
+    return with_motif(found, motifs).select(*_SITE_COLUMNS, *_motif_columns(), "bed_name")
 
 
 def intersect_minimal(sites: DataFrame, intervals: DataFrame) -> DataFrame:
@@ -100,7 +103,7 @@ def select_motifs(
     """All sites of the motifs whose number and name are both selected."""
     chosen = selected_motifs(motifs, ids, names)
     found, few = sites_of(sites.select(*_SITE_COLUMNS, "pwmid"), chosen)
-    return with_motif(found, chosen, small=few).select(*_SITE_COLUMNS, *_MOTIF_COLUMNS)
+    return with_motif(found, chosen, small=few).select(*_SITE_COLUMNS, *_motif_columns())
 
 
 def intersect(spark: SparkSession, sites: DataFrame, motifs: DataFrame, sample: str) -> DataFrame:

@@ -22,7 +22,7 @@ def read_fragments(spark: SparkSession, path: str) -> DataFrame:
         "chunk_id",
         chromosome_code(F.col("label")).alias("chromosome"),
         strip(F.col("start")).cast("bigint").alias("start"),
-        strip(F.col("seq")).alias("seq"),
+        F.coalesce(strip(F.col("seq")), F.lit("")).alias("seq"),
     )
 
 
