@@ -548,12 +548,14 @@ _SCAN = f"""with {_PWMS}, {_POSITIONS},
     from words w join llr f on f.k = w.k and f.i = w.i and f.b = w.b
     join llr r on r.pwmid = f.pwmid and r.i = w.k - 1 - w.i and r.b = 5 - w.b
     group by all),
+  targets as (
+    select k, word, place, old, base,
+           word + (base - old) * cast(pow(4, k - 1 - place) as bigint) as target
+    from (select k, word, i as place, b as old, unnest([1, 2, 3, 4]) as base from words)
+    where base <> old),
   changed as (
-    select p.pwmid, p.k, p.threshold, p.word, w.i as place, w.b as old, m.b as base, n.fwd, n.rev
-    from plain p join words w on w.k = p.k and w.word = p.word
-    join (values (1), (2), (3), (4)) as m(b) on m.b <> w.b
-    join plain n on n.pwmid = p.pwmid
-         and n.word = p.word + (m.b - w.b) * cast(pow(4, p.k - 1 - w.i) as bigint)),
+    select n.pwmid, n.threshold, t.k, t.word, t.place, t.base, n.fwd, n.rev
+    from targets t join plain n on n.k = t.k and n.word = t.target),
   useful as (
     select pwmid, k, word from plain where greatest(fwd, rev) > threshold
     union select pwmid, k, word from changed where greatest(fwd, rev) >= threshold),
@@ -568,17 +570,19 @@ _SCAN = f"""with {_PWMS}, {_POSITIONS},
     select chunk_id, q as s, 6 as k, six as word from seven
     union all select chunk_id, q, 7, six * 4 + last from seven),
   spots as (
-    select distinct v.chunk_id, u.pwmid, u.k, v.s + o as p
-    from wins v join useful u on u.k = v.k and u.word = v.word
-    join (select unnest(range(0, 7)) as o) on o < u.k),
+    select distinct chunk_id, pwmid, k, s + place as p
+    from (select v.chunk_id, u.pwmid, v.k, v.s, unnest(range(0, v.k)) as place
+          from wins v join useful u on u.k = v.k and u.word = v.word)),
   inside as (
     select t.chunk_id, t.pwmid, t.k, t.p, c.c + 1 as own
     from spots t join codes c on c.chunk_id = t.chunk_id and c.q = t.p
     where t.p >= 30 and t.p <= c.len - 29),
+  reached as (
+    select chunk_id, pwmid, k, p, own, place, p - place as s
+    from (select *, unnest(range(0, k)) as place from inside)),
   covering as (
-    select t.*, o as place, v.word
-    from inside t join (select unnest(range(0, 7)) as o) on o < t.k
-    join wins v on v.chunk_id = t.chunk_id and v.k = t.k and v.s = t.p - o),
+    select r.chunk_id, r.pwmid, r.p, r.own, r.place, v.word
+    from reached r join wins v on v.chunk_id = r.chunk_id and v.k = r.k and v.s = r.s),
   wild as (
     select c.chunk_id, c.pwmid, c.p, any_value(c.own) as own,
            greatest(max(coalesce(n.fwd, 0)), -99999) as wt_fwd,
@@ -586,13 +590,14 @@ _SCAN = f"""with {_PWMS}, {_POSITIONS},
     from covering c left join plain n on n.pwmid = c.pwmid and n.word = c.word
     group by c.chunk_id, c.pwmid, c.p),
   mutated as (
-    select c.chunk_id, c.pwmid, c.p, m.b as base,
+    select c.chunk_id, c.pwmid, c.p, c.base,
            greatest(max(coalesce(n.fwd, 0)), -99999) as fwd,
            greatest(max(coalesce(n.rev, 0)), -99999) as rev
-    from covering c join (values (1), (2), (3), (4)) as m(b) on m.b is distinct from c.own
+    from (select *, unnest([1, 2, 3, 4]) as base from covering) c
     left join changed n on n.pwmid = c.pwmid and n.word = c.word and n.place = c.place
-         and n.base = m.b
-    group by c.chunk_id, c.pwmid, c.p, m.b),
+         and n.base = c.base
+    where c.base is distinct from c.own
+    group by c.chunk_id, c.pwmid, c.p, c.base),
   judged as (
     select x.*, m.threshold, w.wt_fwd, w.wt_rev, greatest(x.fwd, x.rev) >= m.threshold as gains,
            greatest(w.wt_fwd, w.wt_rev) > m.threshold as passes
