@@ -20,6 +20,7 @@ from sitelens.functions.chromosome import (  # noqa: E402
     chromosome_from_file_name,
 )
 from sitelens.functions.pwm import log_odds, smooth  # noqa: E402
+from sitelens.functions.sites import allele_flags  # noqa: E402
 from sitelens.functions.sequence import code_text, encode_bases, reverse_complement  # noqa: E402
 from sitelens.operators.row_id import with_row_id  # noqa: E402
 from sitelens.operators.scan import scan_motifs  # noqa: E402
@@ -70,7 +71,8 @@ def _intervals(spark, d):
 
 
 def _variants(spark, d):
-    return parse_variants(fx.variant_lines(spark, d))
+    flags = allele_flags(F.col("alt"))
+    return fx.derived(spark, d, "variants").withColumns({**flags, "vcf_name": F.col("name")})
 
 
 def _rounded(df, names, digits=3):
@@ -148,7 +150,7 @@ def parse_interval_lines(spark, d):
 
 @_query
 def parse_variant_lines(spark, d):
-    return _variants(spark, d)
+    return parse_variants(fx.variant_lines(spark, d))
 
 
 @_query

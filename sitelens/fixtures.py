@@ -119,7 +119,7 @@ def motif_lines(spark, sf_dir, bad=True):
 
 
 def hit_lines(spark, sf_dir):
-    """Hits from line items: X and Y by label, unknown labels too, ``nan`` for missing scores."""
+    """Hits from line items: X and Y by label, unknown labels too, ``NaN`` for missing scores."""
     return load(spark, sf_dir, "lineitem").selectExpr(
         """concat_ws(' ',
             case l_partkey % 26 when 22 then 'X' when 23 then 'Y' when 24 then 'M' when 25 then '0'
@@ -127,9 +127,9 @@ def hit_lines(spark, sf_dir):
             l_orderkey, l_orderkey + 1, l_partkey + 1, l_suppkey + 1,
             concat((l_orderkey >> 3) & 1, (l_orderkey >> 2) & 1, (l_orderkey >> 1) & 1,
                    l_orderkey & 1),
-            l_quantity, l_quantity - l_tax, l_quantity + l_tax, 'nan', l_discount, l_tax,
-            case when l_linenumber < 7 then cast(l_quantity as string) else 'nan' end, 'nan',
-            'nan', 'nan') as value"""
+            l_quantity, l_quantity - l_tax, l_quantity + l_tax, 'NaN', l_discount, l_tax,
+            case when l_linenumber < 7 then cast(l_quantity as string) else 'NaN' end, 'NaN',
+            'NaN', 'NaN') as value"""
     )
 
 

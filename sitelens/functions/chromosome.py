@@ -3,8 +3,6 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sitelens.functions.text import strip
-
 # The sex chromosomes have negative codes.
 X_CODE = -1
 Y_CODE = -2
@@ -15,13 +13,12 @@ def chromosome_code(label: Column, strip_prefix: bool = True) -> Column:
 
     Sample files often say ``chr8``; with ``strip_prefix`` both spellings give the same code.
     """
-    text = strip(label)
-    if strip_prefix:
-        text = F.regexp_replace(text, "^[cC][hH][rR]", "")
+    prefix = "(?:[cC][hH][rR])?" if strip_prefix else ""
+    name = F.regexp_extract(label, rf"^\s*{prefix}(X|Y|[0-9]*[1-9][0-9]*)\s*$", 1)
     return (
-        F.when(text == "X", F.lit(X_CODE).cast("bigint"))
-        .when(text == "Y", F.lit(Y_CODE).cast("bigint"))
-        .when(text.rlike("^[0-9]*[1-9][0-9]*$"), text.try_cast("bigint"))
+        F.when(name == "X", F.lit(X_CODE).cast("bigint"))
+        .when(name == "Y", F.lit(Y_CODE).cast("bigint"))
+        .otherwise(name.try_cast("bigint"))
     )
 
 

@@ -8,8 +8,8 @@ from sitelens.schemas import STRAND_SCORES
 
 
 def score_text(score: Column) -> Column:
-    """Three decimals; ``nan`` where there is no score."""
-    return F.when(score.isNull(), F.lit("nan")).otherwise(F.format_string("%.3f", score))
+    """Three decimals; ``NaN`` where there is no score."""
+    return F.when(score.isNull(), F.lit("NaN")).otherwise(F.format_string("%.3f", score))
 
 
 def hit_line() -> Column:

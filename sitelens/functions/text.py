@@ -4,9 +4,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_WHITESPACE = " \t\r\n\f\v"
+
+
 def strip(col: Column) -> Column:
-    """Trim any whitespace, tabs included (SQL ``trim`` removes spaces only)."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    """Trim any whitespace, tabs included (plain SQL ``trim`` removes spaces only)."""
+    return F.trim(col, F.lit(_WHITESPACE))
 
 
 def fields(line: Column) -> Column:

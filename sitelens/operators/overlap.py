@@ -5,12 +5,8 @@ from pyspark.sql import functions as F
 
 from sitelens.operators.sizing import is_small, profile, sized_join_side, within
 
-# Bins of 2**10 positions: about the length of a usual interval, so that most intervals fall into
-# one or two bins and few pairs in a bin do not overlap.
-BIN_BITS = 10
 
-
-def bin_of(position: Column, bin_bits: int = BIN_BITS) -> Column:
+def bin_of(position: Column, bin_bits: int) -> Column:
     return F.shiftright(position, bin_bits)
 
 
@@ -37,24 +33,26 @@ def overlap_join(
     sites: DataFrame,
     intervals: DataFrame,
     half_open: bool = False,
-    bin_bits: int = BIN_BITS,
+    bin_bits: int | None = None,
 ) -> DataFrame:
     """Every (site, interval) pair where the site lies in the interval.
 
     Intervals are copied to the bins they touch and joined on chromosome and bin, with the exact
     containment as residual. A site is in one bin and an interval at most once in each, so no pair
-    comes twice. Output: the columns of ``sites`` plus the interval's other columns.
+    comes twice. The bin width follows the measured lengths unless ``bin_bits`` sets it. Output:
+    the columns of ``sites`` plus the interval's other columns.
     """
     usable = closed_intervals(intervals, half_open)
-    first, last = bin_of(F.col("start"), bin_bits), bin_of(F.col("stop"), bin_bits)
-    measured = profile(usable, "start", "stop", copies=last - first + 1)
+    measured = profile(usable, "start", "stop")
+    if bin_bits is None:
+        bin_bits = measured.bin_bits()
     bounds = within(measured.ranges, F.col("chromosome"), F.col("mutation_pos"))
     if bounds is not None:
         sites = sites.where(bounds)
+    first, last = bin_of(F.col("start"), bin_bits), bin_of(F.col("stop"), bin_bits)
     binned = usable.withColumn("_bin", F.explode(F.sequence(first, last)))
-    binned = sized_join_side(binned, measured.small)
     joined = sites.withColumn("_bin", bin_of(F.col("mutation_pos"), bin_bits)).join(
-        binned, ["chromosome", "_bin"]
+        sized_join_side(binned, measured.small(1 << bin_bits)), ["chromosome", "_bin"]
     )
     others = [c for c in intervals.columns if c not in ("chromosome", "start", "stop")]
     return joined.where(F.col("mutation_pos").between(F.col("start"), F.col("stop"))).select(
@@ -64,15 +62,12 @@ def overlap_join(
 
 def position_join(sites: DataFrame, positions: DataFrame) -> DataFrame:
     """Inner join on chromosome and position; duplicates on either side multiply."""
-    usable = positions.where(
-        F.col("chromosome").isNotNull() & F.col("mutation_pos").isNotNull()
-    )
-    measured = profile(usable, "mutation_pos", "mutation_pos")
+    measured = profile(positions, "mutation_pos", "mutation_pos")
     bounds = within(measured.ranges, F.col("chromosome"), F.col("mutation_pos"))
     if bounds is not None:
         sites = sites.where(bounds)
     return sites.join(
-        sized_join_side(usable, measured.small), ["chromosome", "mutation_pos"]
+        sized_join_side(positions, measured.small()), ["chromosome", "mutation_pos"]
     )
 
 

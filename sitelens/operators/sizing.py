@@ -14,8 +14,8 @@ from pyspark.sql.types import StringType
 BROADCAST_BYTES = 64 << 20
 # Samples over more chromosomes than this are treated as large, so that the profile stays small.
 MAX_PROFILE_ROWS = 1024
-# At most this many literal ranges are pushed into the scan of the sites.
-MAX_RANGES = 64
+# At most this many literal ranges are pushed into the scan of the sites, else one range for all.
+MAX_RANGES = 8
 # In-memory row and field overhead of a hashed relation.
 _ROW_OVERHEAD = 64
 
@@ -31,14 +31,30 @@ def row_bytes(df: DataFrame) -> Column:
 
 @dataclass(frozen=True)
 class Profile:
-    """Extents per chromosome (None when there are too many) and the measured size."""
+    """Extents per chromosome (None when there are too many to report) and measured sums."""
 
     ranges: tuple[tuple[int, int, int], ...] | None
-    size: int | None
+    rows: int
+    span: int
+    size: int
+    size_by_span: int
 
-    @property
-    def small(self) -> bool:
-        return self.size is not None and self.size <= BROADCAST_BYTES
+    def small(self, bin_width: int | None = None) -> bool:
+        """Whether the rows fit a broadcast, copied to every bin they touch if there are bins."""
+        if self.ranges is None:
+            return False
+        size = self.size
+        if bin_width:
+            size = 2 * size + self.size_by_span // bin_width
+        return size <= BROADCAST_BYTES
+
+    def bin_bits(self) -> int:
+        """Exponent of the bin width: the first power of two above the mean length.
+
+        With bins at least as wide as the mean, the copies number at most three times the rows,
+        whatever the lengths are; with bins no wider, few pairs in a bin do not overlap.
+        """
+        return (self.span // max(self.rows, 1)).bit_length()
 
 
 def extents(df: DataFrame, start: str, stop: str) -> DataFrame:
@@ -48,29 +64,36 @@ def extents(df: DataFrame, start: str, stop: str) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, start: str, stop: str, copies: Column | None = None) -> Profile:
-    """Measure ``df``; each row counts ``copies`` times (1 when not given)."""
-    weight = row_bytes(df) if copies is None else row_bytes(df) * copies
-    rows = (
-        df.groupBy("chromosome")
-        .agg(F.min(start).alias("lo"), F.max(stop).alias("hi"), F.sum(weight).alias("size"))
-        .limit(MAX_PROFILE_ROWS + 1)
-        .collect()
+def profile(df: DataFrame, start: str, stop: str) -> Profile:
+    """Measure a sample in one pass. Only the sums per chromosome come to the driver."""
+    span = F.col(stop) - F.col(start)
+    sums = {
+        "n": F.count(F.lit(1)),
+        "span": F.sum(span),
+        "size": F.sum(row_bytes(df)),
+        "size_by_span": F.sum(row_bytes(df) * span),
+    }
+    groups = df.groupBy("chromosome").agg(
+        F.min(start).alias("lo"), F.max(stop).alias("hi"), *(v.alias(k) for k, v in sums.items())
     )
-    if len(rows) > MAX_PROFILE_ROWS:
-        return Profile(None, None)
-    ranges = tuple((r.chromosome, r.lo, r.hi) for r in rows)
-    return Profile(ranges, sum(r.size for r in rows))
+    found = groups.limit(MAX_PROFILE_ROWS + 1).collect()
+    ranges = tuple((r.chromosome, r.lo, r.hi) for r in found if None not in (r.chromosome, r.lo))
+    total = [sum(r[k] or 0 for r in found) for k in sums]
+    return Profile(ranges if len(found) <= MAX_PROFILE_ROWS else None, *total)
 
 
 def within(ranges, chromosome: Column, position: Column) -> Column | None:
-    """Literal filter that every match must pass, or None when there are too many ranges.
+    """Literal filter that every match must pass, or None when the extents are not known.
 
     It reaches the Parquet scan, and sites are stored sorted by chromosome and position, so row
-    groups outside the ranges are skipped.
+    groups outside the ranges are skipped. It costs each row some comparisons, hence the bound on
+    their number.
     """
-    if ranges is None or len(ranges) > MAX_RANGES:
+    if ranges is None:
         return None
+    if len(ranges) > MAX_RANGES:
+        lo, hi = min(r[1] for r in ranges), max(r[2] for r in ranges)
+        return position.between(lo, hi)
     condition = F.lit(False)
     for code, lo, hi in sorted(ranges):
         condition = condition | ((chromosome == code) & position.between(lo, hi))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.sites import allele_score
 from sitelens.operators.overlap import (
-    BIN_BITS,
     explode_intervals,
     overlap_join,
     position_join,
@@ -29,7 +28,7 @@ def intersect_intervals(
     motifs: DataFrame,
     intervals: DataFrame,
     half_open: bool = False,
-    bin_bits: int = BIN_BITS,
+    bin_bits: int | None = None,
 ) -> DataFrame:
     """Sites inside the intervals with their motif, once per interval that holds the site."""
     found = overlap_join(

@@ -13,7 +13,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a local session may go without that setting; it gets a folder of its own.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -9,7 +9,7 @@ from sitelens.schemas import STRAND_SCORES
 
 
 def parse_hits(lines: DataFrame) -> DataFrame:
-    """Hits in the scanner's own shape. The end position is dropped; ``nan`` stands for no score."""
+    """Hits in the scanner's own shape. The end position is dropped; ``NaN`` stands for no score."""
     f = F.col("f")
     rows = lines.select(fields(F.col("value")).alias("f"))
     score = lambda n: F.nanvl(field(f, n).cast("double"), F.lit(None).cast("double"))
