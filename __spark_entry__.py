@@ -186,12 +186,15 @@ def chromosome_from_file(spark, d):
 
 @_query
 def read_motif_table(spark, d):
-    """Metadata text to the numbered dimension, through the stored form."""
-    source = _saved_text(spark, fx.motif_lines(spark, d).repartition(1), "motifs.csv")
+    """Metadata text to the numbered dimension, through the stored form.
+
+    The text is written in order over many part files, so the file order gives the numbers back.
+    """
+    source = _saved_text(spark, fx.motif_lines(spark, d, bad=False), "motifs.csv")
     numbered = read_motif_info(spark, source)
     path = scratch_path(spark, "tf_info.pq")
     write_motifs(numbered, path)
-    return read_motifs(spark, path).drop("row_id")
+    return read_motifs(spark, path)
 
 
 @_query
@@ -202,7 +205,7 @@ def row_index(spark, d):
 
 @_query
 def read_fragment_file(spark, d):
-    fragments = fx.derived(spark, d, "fragments")
+    fragments = fx.derived(spark, d, "fragments").orderBy("chunk_id")
     lines = fragments.selectExpr(
         "case chromosome when -1 then 'chrX' when -2 then 'chrY' else concat('chr', chromosome) end"
         " as chrom",
@@ -212,7 +215,7 @@ def read_fragment_file(spark, d):
     )
     path = scratch_path(spark, "fragments.tsv")
     lines.write.option("header", True).option("sep", "\t").option("emptyValue", "").csv(path)
-    return read_fragments(spark, path).drop("chunk_id")
+    return read_fragments(spark, path)
 
 
 def _saved_thresholds(spark, d):
@@ -220,13 +223,8 @@ def _saved_thresholds(spark, d):
     motifs = fx.nation_pwms(spark, d).groupBy("pwmid", "motif_file").agg(
         F.max("threshold").alias("threshold")
     )
-    (
-        motifs.repartitionByRange(1, "pwmid")
-        .sortWithinPartitions("pwmid")
-        .select("motif_file", "threshold")
-        .write.option("sep", "\t")
-        .csv(path)
-    )
+    ordered = motifs.orderBy("pwmid").select("motif_file", "threshold")
+    ordered.write.option("sep", "\t").csv(path)
     return path
 
 
@@ -298,7 +296,7 @@ def write_read_motifs(spark, d):
 def build_site_tables(spark, d):
     """Text inputs to both stored tables, and the interval query on them."""
     hits = _saved_text(spark, fx.hit_lines(spark, d), "hits")
-    motif_csv = _saved_text(spark, fx.motif_lines(spark, d).repartition(1), "motifs.csv")
+    motif_csv = _saved_text(spark, fx.motif_lines(spark, d), "motifs.csv")
     path = scratch_path(spark, "tables")
     tables.build_tables(spark, motif_csv, hits, path)
     sites, _ = load_tables(spark, path)
@@ -660,11 +658,11 @@ def oracle_sql() -> dict[str, str]:
         "parse_hit_lines": f"{_HITS} {hit_sites}",
         "chromosome_from_file": """select o_orderkey, case o_custkey % 24 when 22 then 'X'
             when 23 then 'Y' else cast(o_custkey % 24 + 1 as varchar) end as label from orders""",
-        "read_motif_table": motif_rows,
+        "read_motif_table": f"{_with('motifs')} select {_MOTIF_COLUMNS}, row_id from motifs",
         "row_index": """select row_number() over (order by p_partkey) as row_id, p_partkey, p_name
             from part""",
         "read_fragment_file": f"""{_with("fragments")}
-            select chromosome, start, seq from fragments""",
+            select chunk_id, chromosome, start, seq from fragments""",
         "read_threshold_file": f"""with {_PWMS}
             select distinct pwmid, concat('nation', pwmid - 1, '.txt') as motif_file, threshold
             from pwms""",

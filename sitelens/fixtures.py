@@ -113,7 +113,8 @@ def selection_lines(spark, sf_dir, bad=True):
 
 
 def motif_lines(spark, sf_dir, bad=True):
-    columns = derived(spark, sf_dir, "motifs").drop("row_id")
+    """Metadata lines in the order of the motif numbers."""
+    columns = derived(spark, sf_dir, "motifs").orderBy("row_id").drop("row_id")
     lines = columns.select(F.concat_ws(",", *columns.columns).alias("value"))
     return _with_lines(lines, BAD_MOTIFS) if bad else lines
 
