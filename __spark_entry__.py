@@ -25,7 +25,7 @@ from sitelens.functions.sequence import code_text, encode_bases, reverse_complem
 from sitelens.operators.row_id import with_row_id  # noqa: E402
 from sitelens.operators.scan import scan_motifs  # noqa: E402
 from sitelens.operators.sizing import extents  # noqa: E402
-from sitelens.operators.windows import substitutions, windows  # noqa: E402
+from sitelens.operators.windows import substitutions, tiles_of, windows  # noqa: E402
 from sitelens.plans import intersect as plans  # noqa: E402
 from sitelens.plans import tables  # noqa: E402
 from sitelens.schemas import MOTIFS, SITES, STRAND_SCORES  # noqa: E402
@@ -389,7 +389,7 @@ def pwm_logodds(spark, d):
 @_query
 def kmer_windows(spark, d):
     return (
-        windows(fx.derived(spark, d, "fragments"), 6)
+        windows(tiles_of(fx.derived(spark, d, "fragments")), 6)
         .groupBy("window")
         .agg(F.count(F.lit(1)).alias("n_windows"))
     )
@@ -398,7 +398,7 @@ def kmer_windows(spark, d):
 @_query
 def window_substitutions(spark, d):
     counted = (
-        windows(fx.derived(spark, d, "fragments"), 5)
+        windows(tiles_of(fx.derived(spark, d, "fragments")), 5)
         .groupBy("window")
         .agg(F.count(F.lit(1)).alias("n_windows"))
     )

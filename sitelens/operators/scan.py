@@ -10,13 +10,12 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 from sitelens.functions.pwm import EVEN_BACKGROUND, log_odds, smooth
 from sitelens.functions.sites import event_code
 from sitelens.operators import window_scores
+from sitelens.operators.windows import TILE, tiles_of
 from sitelens.schemas import HITS, LOWER_BASES, STRAND_SCORES
 
 # Executors get the window scorer with the task, not as an installed module.
 cloudpickle.register_pickle_by_value(window_scores)
 
-# Bases per tile. A task works on whole tiles, so this bounds a row whatever a fragment's length.
-TILE = 1 << 14
 # Motifs per pass over the fragments: at most 30 x 4 doubles each, so some 4 MB go to each task.
 MOTIFS_PER_PASS = 4096
 # Fixed value: longest matrix that the flank of a fragment allows for.
@@ -35,32 +34,6 @@ _CANDIDATES = StructType(
 )
 
 
-def tiles_of(fragments: DataFrame, tile: int = TILE, partitions: int | None = None) -> DataFrame:
-    """Overlapping pieces of the fragments, spread evenly over the tasks.
-
-    A piece holds ``tile`` reportable positions and a flank on both sides, so each position is
-    scanned once with all its context. Positions are bytes. Work per base is large, so the one
-    shuffle of the sequence pays for itself: it spreads a long fragment over all tasks.
-    """
-    flank = window_scores.FLANK
-    spark = fragments.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bases = fragments.select(
-        "chunk_id", "chromosome", "start", F.col("seq").cast("binary").alias("seq")
-    ).where(F.octet_length("seq") > 2 * flank)
-    last = F.floor((F.octet_length("seq") - 2 * flank - 1) / F.lit(tile)).cast("int")
-    return (
-        bases.withColumn("n", F.explode(F.sequence(F.lit(0), last)))
-        .select(
-            "chunk_id",
-            "chromosome",
-            (F.col("start") + F.col("n") * F.lit(tile)).alias("origin"),
-            F.substring("seq", F.col("n") * F.lit(tile) + 1, F.lit(tile + 2 * flank)).alias("tile"),
-        )
-        .repartition(partitions, "chunk_id", "origin")
-    )
-
-
 def pack_motifs(pwms: DataFrame, background=EVEN_BACKGROUND, smoothing: bool = True) -> DataFrame:
     """One row per motif: ``(pwmid, threshold, k, llr)``, ``llr`` row by row in A, C, G, T order.
 

@@ -144,19 +144,20 @@ def scan_batches(packed, schema):
         motifs = [Motif(*m) for m in packed]
         for batch in batches:
             for tiles, codes, begins, centre in blocks(batch):
-                columns = [
+                chunk, start, offset = (
                     tiles.column(name).to_numpy(zero_copy_only=False)
-                    for name in ("chunk_id", "origin")
-                ]
+                    for name in ("chunk_id", "start", "offset")
+                )
                 chromosome = tiles.column("chromosome")
+                first = start + offset - begins + 1
                 for motif, positions, scores in scan_block(codes, centre, motifs):
                     tile = np.searchsorted(begins, positions, side="right") - 1
                     n = len(positions)
                     yield pa.RecordBatch.from_arrays(
                         [
                             chromosome.take(pa.array(tile)),
-                            pa.array(columns[1][tile] + positions - begins[tile] + 1),
-                            pa.array(columns[0][tile]),
+                            pa.array(first[tile] + positions),
+                            pa.array(chunk[tile]),
                             pa.array(np.full(n, motif.pwmid)),
                             pa.array(np.full(n, motif.threshold)),
                             pa.array(codes[positions].astype(np.int32)),

@@ -7,25 +7,56 @@ from sitelens.functions.sequence import ALPHABET, reverse_complement
 from sitelens.operators.window_scores import FLANK
 
 
-def positions(fragments: DataFrame) -> DataFrame:
-    """Every reportable 1-based offset ``p`` of each fragment: all but the flanks."""
-    last = F.octet_length("seq") - FLANK
-    return fragments.where(last > FLANK).withColumn(
-        "p", F.explode(F.sequence(F.lit(FLANK + 1), last))
+# Bases per tile. A task works on whole tiles, so this bounds a row whatever a fragment's length.
+TILE = 1 << 14
+
+
+def tiles_of(fragments: DataFrame, tile: int = TILE, partitions: int | None = None) -> DataFrame:
+    """Overlapping pieces of the fragments, spread evenly over the tasks.
+
+    A piece holds ``tile`` reportable positions and a flank on both sides, so each position has
+    all its context in one piece. Positions are bytes. What follows works hard on every base, so
+    the one shuffle of the sequence pays for itself: it spreads a long fragment over all tasks.
+    """
+    spark = fragments.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = [c for c in fragments.columns if c != "seq"]
+    bases = fragments.withColumn("seq", F.col("seq").cast("binary")).where(
+        F.octet_length("seq") > 2 * FLANK
+    )
+    last = F.floor((F.octet_length("seq") - 2 * FLANK - 1) / F.lit(tile)).cast("int")
+    return (
+        bases.withColumn("n", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("offset", F.col("n") * F.lit(tile))
+        .select(
+            *kept,
+            "offset",
+            F.substring("seq", F.col("offset") + 1, F.lit(tile + 2 * FLANK)).alias("tile"),
+        )
+        .repartition(partitions, "chunk_id", "offset")
+    )
+
+
+def positions(tiles: DataFrame) -> DataFrame:
+    """Every reportable 1-based place ``p`` in its tile: all but the flanks."""
+    return tiles.withColumn(
+        "p", F.explode(F.sequence(F.lit(FLANK + 1), F.octet_length("tile") - FLANK))
     )
 
 
-def windows(fragments: DataFrame, k: int) -> DataFrame:
+def windows(tiles: DataFrame, k: int) -> DataFrame:
     """The ``k`` windows of length ``k`` that cover each reportable position.
 
-    The sequence is cut as bytes: a substring of text would walk from its start every time.
+    ``p`` and ``s`` are 1-based offsets in the fragment. Tiles are bytes: a substring of text
+    would walk from its start every time.
     """
-    p = F.col("p")
-    covering = positions(fragments.withColumn("seq", F.upper("seq").cast("binary"))).withColumn(
-        "s", F.explode(F.sequence(p - (k - 1), p))
-    )
+    p, s, offset = F.col("p"), F.col("s"), F.col("offset")
+    covering = positions(tiles).withColumn("s", F.explode(F.sequence(p - (k - 1), p)))
     return covering.select(
-        "chunk_id", "p", "s", F.substring("seq", F.col("s"), F.lit(k)).cast("string").alias("window")
+        "chunk_id",
+        (offset + p).alias("p"),
+        (offset + s).alias("s"),
+        F.upper(F.substring("tile", s, F.lit(k)).cast("string")).alias("window"),
     )
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens import cli
-from sitelens.operators.windows import positions, substitutions, windows
+from sitelens.operators.windows import positions, substitutions, tiles_of, windows
 from sitelens.plans.intersect import intersect
 from sitelens.plans.tables import compact_sites, table_counts
 from sitelens.schemas import SITES
@@ -108,22 +108,26 @@ def test_scratch_is_the_shared_folder_of_the_session(spark):
         scratch_path(session_with("yarn"), "x")
 
 
-def test_window_rows(spark):
+@pytest.mark.parametrize("tile", [1, 2, 100])
+def test_window_rows(spark, tile):
     seq = "A" * 29 + "CGN" + "T" * 29
     fragments = spark.createDataFrame([(1, seq), (2, "A" * 58)], "chunk_id bigint, seq string")
-    assert [r.p for r in positions(fragments).collect()] == [30, 31, 32]
-    got = rows(windows(fragments, 2))
+    tiles = tiles_of(fragments, tile)
+    assert tiles.count() == -(-3 // tile)
+    places = positions(tiles).selectExpr("chunk_id", "offset + p")
+    assert rows(places) == [(1, 30), (1, 31), (1, 32)]
+    got = rows(windows(tiles, 2))
     assert got == [
         (1, p, s, seq[s - 1 : s + 1]) for p in (30, 31, 32) for s in (p - 1, p)
     ]
-    changed = substitutions(windows(fragments, 2).where("p = 30 and s = 30"))
+    changed = substitutions(windows(tiles, 2).where("p = 30 and s = 30"))
     assert rows(changed.select("place", "base", "forward", "reverse")) == sorted(
         (place, b, w, w[::-1].translate(str.maketrans("ACGT", "TGCA")))
         for place in (0, 1)
         for b in "ACGT"
         for w in ["CG"[:place] + b + "CG"[place + 1 :]]
     )
-    assert substitutions(windows(fragments, 2).where("p = 32")).count() == 0
+    assert substitutions(windows(tiles, 2).where("p = 32")).count() == 0
 
 
 def test_unknown_sample_kind(spark):
