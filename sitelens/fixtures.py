@@ -56,7 +56,7 @@ TABLES = {
     "fragments": f"""
         select doc_id + 1 as chunk_id, {_code("doc_id")} as chromosome,
                cast(floor(doc_id / 24) as bigint) * 250 as start,
-               translate(lower(regexp_replace(text, '[^A-Za-z]', ''{{all}})),
+               translate(lower(regexp_replace(text, '[^A-Za-z]+', ''{{all}})),
                          'abcdefghijklmnopqrstuvwxyz', 'acgtacgtacgtacgtacgtacgtan') as seq
         from documents""",
 }

@@ -14,14 +14,16 @@ def selected_motifs(motifs: DataFrame, ids: DataFrame, names: DataFrame) -> Data
     )
 
 
-def sites_of(sites: DataFrame, motifs: DataFrame) -> tuple[DataFrame, bool]:
-    """Sites of the given motifs, cut down by literal ``pwmid`` values where there are few.
+def narrow_to(sites: DataFrame, motifs: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """Sites cut down to the given motifs, and the motifs as a local table, where they are few.
 
     A literal list prunes the ``pwmid=`` directories of the site table before any file is opened,
-    which a join does not. Beyond the bound the sites pass unchanged; the later join with the
+    which a join does not. Beyond the bound both come back unchanged; the later join with the
     motifs is exact either way. The flag tells whether the motifs were found to be few.
     """
-    found = motifs.select("row_id").limit(MAX_LITERAL_MOTIFS + 1).collect()
+    wanted = motifs.select("row_id", "motif_id", "name", "score_threshold")
+    found = wanted.limit(MAX_LITERAL_MOTIFS + 1).collect()
     if len(found) > MAX_LITERAL_MOTIFS:
-        return sites, False
-    return sites.where(F.col("pwmid").isin([r.row_id for r in found])), True
+        return sites, motifs, False
+    few = motifs.sparkSession.createDataFrame(found, wanted.schema)
+    return sites.where(F.col("pwmid").isin(sorted({r.row_id for r in found}))), few, True

@@ -48,10 +48,11 @@ def word_values(rows, combine):
 
 def window_values(words, at, rows, combine):
     """Value of the windows ``at`` (a slice or an array); ``words[s]`` begins at ``s``."""
-    total = 0.0
+    total = None
     for first in range(0, len(rows), WORD):
         table = word_values(rows[first : first + WORD], combine)
-        total = combine(total, np.take(table, words[first:][at], mode="clip"))
+        part = np.take(table, words[first:][at], mode="clip")
+        total = part if total is None else combine(total, part, out=total)
     return total
 
 

@@ -21,12 +21,15 @@ def tiles_of(fragments: DataFrame, tile: int = TILE, partitions: int | None = No
     spark = fragments.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = [c for c in fragments.columns if c != "seq"]
-    bases = fragments.withColumn("seq", F.col("seq").cast("binary")).where(
-        F.octet_length("seq") > 2 * FLANK
-    )
-    last = F.floor((F.octet_length("seq") - 2 * FLANK - 1) / F.lit(tile)).cast("int")
+    bases = fragments.withColumn("seq", F.col("seq").cast("binary"))
+    centre = F.octet_length("seq") - 2 * FLANK
+    last = F.floor((centre - 1) / F.lit(tile)).cast("int")
+    # The outer form, with its own test for rows, keeps the planner from evaluating the sequence
+    # once more in a filter below the generator.
+    pieces = F.explode_outer(F.when(centre > 0, F.sequence(F.lit(0), last)))
     return (
-        bases.withColumn("n", F.explode(F.sequence(F.lit(0), last)))
+        bases.withColumn("n", pieces)
+        .where(F.col("n").isNotNull())
         .withColumn("offset", F.col("n") * F.lit(tile))
         .select(
             *kept,
@@ -51,7 +54,7 @@ def windows(tiles: DataFrame, k: int) -> DataFrame:
     would walk from its start every time.
     """
     p, s, offset = F.col("p"), F.col("s"), F.col("offset")
-    covering = positions(tiles).withColumn("s", F.explode(F.sequence(p - (k - 1), p)))
+    covering = positions(tiles).withColumn("s", F.explode_outer(F.sequence(p - (k - 1), p)))
     return covering.select(
         "chunk_id",
         (offset + p).alias("p"),

@@ -12,7 +12,7 @@ from sitelens.operators.overlap import (
     position_join,
     with_motif,
 )
-from sitelens.operators.selection import selected_motifs, sites_of
+from sitelens.operators.selection import narrow_to, selected_motifs
 from sitelens.schemas import LOWER_BASES, MUTATION_SCORES, USE_COLUMNS
 from sitelens.sources.samples import read_intervals, read_selection, read_variants
 
@@ -101,7 +101,7 @@ def select_motifs(
 ) -> DataFrame:
     """All sites of the motifs whose number and name are both selected."""
     chosen = selected_motifs(motifs, ids, names)
-    found, few = sites_of(sites.select(*_SITE_COLUMNS, "pwmid"), chosen)
+    found, chosen, few = narrow_to(sites.select(*_SITE_COLUMNS, "pwmid"), chosen)
     return with_motif(found, chosen, small=few).select(*_SITE_COLUMNS, *_motif_columns())
 
 
