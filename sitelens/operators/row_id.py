@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_SPLIT_COUNT = "spark.sql.files.minPartitionNum"
+
 
 def with_row_id(scan: DataFrame, name: str = "row_id") -> DataFrame:
     """Number the rows of a file scan 1, 2, ... by file path, then by place in the file.
@@ -13,7 +15,13 @@ def with_row_id(scan: DataFrame, name: str = "row_id") -> DataFrame:
     ordered globally; the rows are neither sorted nor gathered. The split table is never larger
     than a fraction of the scan, so the planner's size threshold decides on its broadcast, and
     beyond it a group is one split, which ``spark.sql.files.maxPartitionBytes`` bounds.
+
+    The files are read twice and must be split alike both times. Split sizes depend on the number
+    of cores, which dynamic allocation changes, so the session's value is pinned where it is unset.
     """
+    spark = scan.sparkSession
+    if spark.conf.get(_SPLIT_COUNT, None) is None:
+        spark.conf.set(_SPLIT_COUNT, str(spark.sparkContext.defaultParallelism))
     split = ["_file", "_block"]
     tagged = scan.select(
         "*",

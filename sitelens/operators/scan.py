@@ -35,29 +35,36 @@ _CANDIDATES = StructType(
 
 
 def pack_motifs(pwms: DataFrame, background=EVEN_BACKGROUND, smoothing: bool = True) -> DataFrame:
-    """One row per motif: ``(pwmid, threshold, k, llr)``, ``llr`` row by row in A, C, G, T order.
+    """One row per motif: ``llr`` row by row in A, C, G, T order, with the counts to check it.
 
     Motifs that cannot reach their threshold on any sequence are dropped; 0 is always within
     reach, since a window with an unknown base scores 0.
     """
     cells = smooth(pwms) if smoothing else pwms
-    rows = (
-        cells.withColumn("llr", log_odds(F.col("p"), F.col("b"), background))
-        .groupBy("pwmid", "threshold", "i")
-        .agg(F.array_sort(F.collect_list(F.struct("b", "llr"))).alias("row"), F.max("llr").alias("top"))
+    odds = cells.withColumn("llr", log_odds(F.col("p"), F.col("b"), background))
+    rows = odds.groupBy("pwmid", "threshold", "i").agg(
+        F.array(*(F.max(F.when(F.col("b") == b, F.col("llr"))) for b in (1, 2, 3, 4))).alias("row"),
+        F.max("llr").alias("top"),
+        F.count(F.lit(1)).alias("n"),
     )
+    # A matrix that is too long is cut one row after the limit, so that a group stays small and
+    # the check still sees that it is too long.
+    kept = F.when(F.col("i").between(0, MAX_LENGTH), F.struct("i", "row"))
     return (
         rows.groupBy("pwmid", "threshold")
         .agg(
-            F.array_sort(F.collect_list(F.struct("i", F.col("row.llr").alias("llr")))).alias("rows"),
+            F.array_sort(F.collect_list(kept)).alias("rows"),
+            F.count(F.lit(1)).alias("k"),
+            F.sum("n").alias("n"),
             F.sum("top").alias("top"),
         )
         .where(F.greatest("top", F.lit(0.0)) >= F.col("threshold") - window_scores.SLACK)
         .select(
             F.col("pwmid").cast("bigint"),
             F.col("threshold").cast("double"),
-            F.size("rows").alias("k"),
-            F.flatten(F.col("rows.llr")).alias("llr"),
+            "k",
+            "n",
+            F.flatten(F.col("rows.row")).alias("llr"),
         )
     )
 
@@ -65,7 +72,7 @@ def pack_motifs(pwms: DataFrame, background=EVEN_BACKGROUND, smoothing: bool = T
 def _checked(motif) -> tuple[int, float, list[float]]:
     if motif.k > MAX_LENGTH:
         raise ValueError(f"motif {motif.pwmid} has {motif.k} rows, more than {MAX_LENGTH}")
-    if len(motif.llr) != 4 * motif.k:
+    if not motif.n == len(motif.llr) == 4 * motif.k or None in motif.llr:
         raise ValueError(f"motif {motif.pwmid} does not have four cells in each row")
     return motif.pwmid, motif.threshold, motif.llr
 

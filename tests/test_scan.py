@@ -167,3 +167,10 @@ def test_long_or_broken_matrices_are_refused(spark):
         scan_motifs(frags, cells(spark, (1.0, PWM * 10 + PWM[:1])))
     with pytest.raises(ValueError, match="four cells"):
         scan_motifs(frags, cells(spark, (1.0, PWM)).where("not (i = 1 and b = 2)"))
+    doubled = cells(spark, (1.0, PWM)).unionAll(cells(spark, (1.0, PWM)).where("i = 0 and b = 1"))
+    with pytest.raises(ValueError, match="four cells"):
+        scan_motifs(frags, doubled)
+    with pytest.raises(ValueError, match="four cells"):
+        scan_motifs(frags, cells(spark, (1.0, PWM)).withColumn("i", F.col("i") + 29))
+    with pytest.raises(ValueError, match="40 rows"):
+        scan_motifs(frags, cells(spark, (1.0, PWM * 13 + PWM[:1])))
