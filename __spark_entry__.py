@@ -466,7 +466,7 @@ _GAINED = """ where case upper(v.alt) when 'A' then s.use_a when 'C' then s.use_
 _SELECTION = f"""{_with("sites", "motifs")}
     select s.{_SITES.replace(", ", ", s.")}, m.motif_id, m.name, m.score_threshold
     from sites s join motifs m on s.pwmid = m.row_id
-    where m.name in (select concat('TF', p_size) from part where p_size % 2 = 0)
+    where m.name in (select concat('TF', p_size) from part where p_type = 'SMALL')
       and m.row_id in (select p_size + 1 from part)"""
 
 _MOTIF_COLUMNS = ", ".join(MOTIFS.names[:-1])
@@ -653,7 +653,7 @@ def oracle_sql() -> dict[str, str]:
         "parse_variant_lines": variant_rows,
         "parse_selection_ids": "select cast(p_size + 1 as bigint) as pwmid from part",
         "parse_selection_names": """select concat('TF', p_size) as tf_name from part
-            where p_size % 2 = 0""",
+            where p_type = 'SMALL'""",
         "parse_motif_lines": motif_rows,
         "parse_hit_lines": f"{_HITS} {hit_sites}",
         "chromosome_from_file": """select o_orderkey, case o_custkey % 24 when 22 then 'X'

@@ -104,9 +104,9 @@ def variant_lines(spark, sf_dir, bad=True):
 
 
 def selection_lines(spark, sf_dir, bad=True):
-    """Every part selects a motif number; half of the sizes also name a factor."""
+    """Every part selects a motif number; small parts also name a factor."""
     lines = load(spark, sf_dir, "part").selectExpr(
-        "concat(p_size + 1, case when p_size % 2 = 0 then concat(', TF', p_size) else '' end)"
+        "concat(p_size + 1, case p_type when 'SMALL' then concat(', TF', p_size) else '' end)"
         " as value"
     )
     return _with_lines(lines, BAD_SELECTIONS) if bad else lines

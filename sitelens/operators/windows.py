@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from sitelens.functions.sequence import ALPHABET, reverse_complement
 from sitelens.operators.window_scores import FLANK
 
-
 # Bases per tile. A task works on whole tiles, so this bounds a row whatever a fragment's length.
 TILE = 1 << 14
 
