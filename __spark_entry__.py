@@ -47,6 +47,14 @@ from sitelens.sources.scan_inputs import (  # noqa: E402
 )
 from sitelens.sources.tables import load_tables, read_motifs, read_sites  # noqa: E402
 
+try:  # the operators over training text may be taken out
+    import corpus_pipeline  # noqa: E402
+    from sitelens.llm import registry  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "sitelens.llm"):
+        raise
+    corpus_pipeline = registry = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -426,7 +434,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    if registry is None:
+        return dict(_QUERIES)
+    return {**_QUERIES, **registry.queries(), "pipeline": corpus_pipeline.run}
 
 
 # Oracles
@@ -622,6 +632,12 @@ _HIT_ROWS = f"""select f.chromosome, f.start + h.p as mutation_pos, h.chunk_id,
 
 
 def oracle_sql() -> dict[str, str]:
+    if registry is None:
+        return _own_oracles()
+    return {**_own_oracles(), **registry.oracle_sql()}
+
+
+def _own_oracles() -> dict[str, str]:
     sites, intervals = _with("sites"), _with("intervals")
     site_rows = f"{sites} select {_SITES_ALL} from sites"
     interval_rows = f"{intervals} select chromosome, start, stop, bed_name from intervals"
