@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.llm.common import table
+from sitelens.llm.near_dedup import near_duplicates
 from sitelens.llm.packing import pack_documents
 from sitelens.llm.sharding import sampled_splitters
 
@@ -15,8 +16,13 @@ def op2_certified_repacking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("label")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sampled_splitters, op2_certified_repacking)}
+    registered = (op1_sampled_splitters, op2_certified_repacking, op3_bayesian_minhash)
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
