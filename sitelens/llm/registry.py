@@ -1,10 +1,13 @@
 """Queries over this folder's operators, as the driver runs them, and their SQL."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sitelens.llm.common import table
 from sitelens.llm.near_dedup import near_duplicates
+from sitelens.llm.neighbours import nearest
 from sitelens.llm.packing import pack_documents
+from sitelens.llm.quality import quality_scores
 from sitelens.llm.sharding import sampled_splitters
 
 
@@ -20,8 +23,22 @@ def op3_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("label")
 
 
+def op4_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_unbiased_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    registered = (op1_sampled_splitters, op2_certified_repacking, op3_bayesian_minhash)
+    registered = (
+        op1_sampled_splitters,
+        op2_certified_repacking,
+        op3_bayesian_minhash,
+        op4_hilbert_windows,
+        op7_unbiased_risk,
+    )
     return {f.__name__: f for f in registered}
 
 
