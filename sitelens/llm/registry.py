@@ -4,11 +4,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.llm.common import table
+from sitelens.llm.decontaminate import leaks
+from sitelens.llm.licenses import license_notices
 from sitelens.llm.near_dedup import near_duplicates
 from sitelens.llm.neighbours import nearest
 from sitelens.llm.packing import pack_documents
 from sitelens.llm.quality import quality_scores
+from sitelens.llm.rollups import maintained
 from sitelens.llm.sharding import sampled_splitters
+from sitelens.llm.simple8b import token_files
+from sitelens.llm.toxicity import toxicity_scores
+from sitelens.session import scratch_path
 
 
 def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,17 +33,44 @@ def op4_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+def op6_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_unbiased_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"))
+
+
+def op9_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices(table(spark, sf_dir, "documents"))
+
+
+def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return maintained(docs, labels, scratch_path(spark, "token-ledger"))
+
+
 def queries() -> dict:
     registered = (
         op1_sampled_splitters,
         op2_certified_repacking,
         op3_bayesian_minhash,
         op4_hilbert_windows,
+        op5_template_leaks,
+        op6_noisy_channel,
         op7_unbiased_risk,
+        op8_simple8b_files,
+        op9_license_paragraphs,
+        op10_delta_rollups,
     )
     return {f.__name__: f for f in registered}
 
