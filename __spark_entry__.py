@@ -21,11 +21,16 @@ from sitelens.functions.chromosome import (  # noqa: E402
 )
 from sitelens.functions.pwm import log_odds, smooth  # noqa: E402
 from sitelens.functions.sites import allele_flags  # noqa: E402
-from sitelens.functions.sequence import code_text, encode_bases, reverse_complement  # noqa: E402
+from sitelens.functions.sequence import code_text, reverse_complement  # noqa: E402
 from sitelens.operators.row_id import with_row_id  # noqa: E402
 from sitelens.operators.scan import scan_motifs  # noqa: E402
 from sitelens.operators.sizing import extents  # noqa: E402
-from sitelens.operators.windows import substitutions, tiles_of, windows  # noqa: E402
+from sitelens.operators.windows import (  # noqa: E402
+    base_codes,
+    substitutions,
+    tiles_of,
+    weighted_windows,
+)
 from sitelens.plans import intersect as plans  # noqa: E402
 from sitelens.plans import tables  # noqa: E402
 from sitelens.schemas import MOTIFS, SITES, STRAND_SCORES  # noqa: E402
@@ -44,6 +49,7 @@ from sitelens.sources.scan_inputs import (  # noqa: E402
     read_fragments,
     read_pwms,
     read_thresholds,
+    with_motif_numbers,
 )
 from sitelens.sources.tables import load_tables, read_motifs, read_sites  # noqa: E402
 
@@ -268,10 +274,34 @@ def _saved_pwms(spark, d):
     return path
 
 
+@_query
+def number_by_motif_table(spark, d):
+    """Thresholds listed backwards, under the numbers that the motif table gives their files."""
+    listed = (
+        fx.nation_pwms(spark, d)
+        .groupBy("motif_file", "threshold")
+        .agg(F.max("pwmid").alias("n"))
+        .orderBy(F.desc("n"))
+        .select(F.concat_ws("\t", "motif_file", "threshold").alias("value"))
+    )
+    thresholds = read_thresholds(spark, _saved_text(spark, listed, "thresholds.tsv"))
+    motifs = load_nation_motifs(spark, d)
+    return with_motif_numbers(thresholds, motifs)
+
+
+def load_nation_motifs(spark, d):
+    """File names in the order of the nations' keys, as a motif table has them."""
+    nations = fx.load(spark, d, "nation")
+    return nations.selectExpr(
+        "concat('nation', n_nationkey, '.txt') as file", "n_nationkey + 1 as row_id"
+    )
+
+
 @_query
 def read_pwm_directory(spark, d):
     thresholds = read_thresholds(spark, _saved_thresholds(spark, d))
-    cells = number_pwms(read_pwms(spark, _saved_pwms(spark, d)), thresholds)
+    name = F.regexp_extract(F.col("_metadata.file_path"), "motif_file=([^/]+)/", 1)
+    cells = number_pwms(read_pwms(spark, _saved_pwms(spark, d), F.url_decode(name)), thresholds)
     return _rounded(cells, ["p"], 9)
 
 
@@ -366,12 +396,12 @@ def encode_base_text(spark, d):
 @_query
 def encode_base_codes(spark, d):
     """Code arrays, folded to a number per fragment that depends on every code and its place."""
-    codes = fx.derived(spark, d, "fragments").select(
-        "chunk_id", F.posexplode(encode_bases(F.col("seq"))).alias("q", "code")
+    codes = base_codes(fx.derived(spark, d, "fragments")).select(
+        "chunk_id", "offset", F.posexplode("codes").alias("q", "code")
     )
     return codes.groupBy("chunk_id").agg(
         F.count(F.lit(1)).alias("n_codes"),
-        F.sum(F.col("code").cast("bigint") * (F.col("q") + 1)).alias("weighted"),
+        F.sum(F.col("code").cast("bigint") * (F.col("offset") + F.col("q") + 1)).alias("weighted"),
     )
 
 
@@ -397,18 +427,18 @@ def pwm_logodds(spark, d):
 @_query
 def kmer_windows(spark, d):
     return (
-        windows(tiles_of(fx.derived(spark, d, "fragments")), 6)
+        weighted_windows(tiles_of(fx.derived(spark, d, "fragments")), 6)
         .groupBy("window")
-        .agg(F.count(F.lit(1)).alias("n_windows"))
+        .agg(F.sum("weight").cast("bigint").alias("n_windows"))
     )
 
 
 @_query
 def window_substitutions(spark, d):
     counted = (
-        windows(tiles_of(fx.derived(spark, d, "fragments")), 5)
+        weighted_windows(tiles_of(fx.derived(spark, d, "fragments")), 5)
         .groupBy("window")
-        .agg(F.count(F.lit(1)).alias("n_windows"))
+        .agg(F.sum("weight").cast("bigint").alias("n_windows"))
     )
     return substitutions(counted)
 
@@ -682,6 +712,9 @@ def _own_oracles() -> dict[str, str]:
         "read_threshold_file": f"""with {_PWMS}
             select distinct pwmid, concat('nation', pwmid - 1, '.txt') as motif_file, threshold
             from pwms""",
+        "number_by_motif_table": f"""with {_PWMS}
+            select distinct pwmid, concat('nation', pwmid - 1, '.txt') as motif_file, threshold
+            from pwms""",
         "read_pwm_directory": f"""with {_PWMS}
             select pwmid, threshold, i, b, round(p, 9) + 0.0 as p from pwms""",
         "write_read_sites": site_rows,

@@ -4,28 +4,50 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from sitelens.functions.pwm import EVEN_BACKGROUND
 from sitelens.operators.scan import scan_motifs
 from sitelens.plans import tables
 from sitelens.plans.intersect import intersect
-from sitelens.sinks.text import write_csv, write_hits
+from sitelens.sinks.tables import TARGET_BYTES
+from sitelens.sinks.text import preview, write_csv, write_hits
+from sitelens.sources.motif_info import read_motif_info
 from sitelens.sources.scan_inputs import (
     number_pwms,
     read_fragments,
     read_pwms,
     read_thresholds,
+    with_motif_numbers,
 )
 from sitelens.sources.tables import load_tables
 
 
 def _intersect(spark, args):
     sites, motifs = load_tables(spark, args.tables)
-    write_csv(intersect(spark, sites, motifs, args.sample), args.output, args.partitions)
+    result = intersect(
+        spark,
+        sites,
+        motifs,
+        args.sample,
+        bed_col=args.bed_col,
+        n_cols=args.n_cols,
+        half_open=args.half_open,
+        only_gains=args.only_gains,
+    )
+    write_csv(result, args.output, args.partitions)
 
 
 def _scan(spark, args):
     thresholds = read_thresholds(spark, args.thresholds)
+    if args.motifs:
+        thresholds = with_motif_numbers(thresholds, read_motif_info(spark, args.motifs))
     pwms = number_pwms(read_pwms(spark, args.pwms), thresholds)
-    write_hits(scan_motifs(read_fragments(spark, args.fragments), pwms), args.output)
+    hits = scan_motifs(
+        read_fragments(spark, args.fragments),
+        pwms,
+        background=tuple(args.background),
+        smoothing=not args.no_smoothing,
+    )
+    write_hits(hits, args.output)
 
 
 def _build(spark, args):
@@ -33,7 +55,14 @@ def _build(spark, args):
 
 
 def _compact(spark, args):
-    tables.compact_sites(spark, args.source, args.output)
+    tables.compact_sites(spark, args.source, args.output, args.target_bytes)
+
+
+def _preview(spark, args):
+    sites, _ = load_tables(spark, args.tables)
+    if args.chromosome is not None:
+        sites = tables.on_chromosome(sites, args.chromosome)
+    preview(sites).show()
 
 
 def _count(spark, args):
@@ -48,6 +77,7 @@ COMMANDS = {
     "build": (_build, ["motifs", "hits", "output"]),
     "compact": (_compact, ["source", "output"]),
     "count": (_count, ["tables"]),
+    "preview": (_preview, ["tables"]),
 }
 
 
@@ -60,6 +90,18 @@ def main(argv=None):
             command.add_argument(f"--{option}", required=True)
         if name == "intersect":
             command.add_argument("--partitions", type=int)
+            command.add_argument("--bed_col", type=int, default=0)
+            command.add_argument("--n_cols", type=int)
+            command.add_argument("--half_open", action="store_true")
+            command.add_argument("--only_gains", action="store_true")
+        if name == "scan":
+            command.add_argument("--motifs", help="metadata whose order numbers the motifs")
+            command.add_argument("--background", type=float, nargs=4, default=EVEN_BACKGROUND)
+            command.add_argument("--no_smoothing", action="store_true")
+        if name == "compact":
+            command.add_argument("--target_bytes", type=int, default=TARGET_BYTES)
+        if name == "preview":
+            command.add_argument("--chromosome", type=int)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"sitelens-{args.command}").getOrCreate()
     COMMANDS[args.command][0](spark, args)

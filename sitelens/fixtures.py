@@ -56,7 +56,7 @@ TABLES = {
     "fragments": f"""
         select doc_id + 1 as chunk_id, {_code("doc_id")} as chromosome,
                cast(floor(doc_id / 24) as bigint) * 250 as start,
-               translate(lower(regexp_replace(text, '[^A-Za-z]+', ''{{all}})),
+               translate(lower(regexp_replace(text, '[^A-Za-z]', 'z'{{all}})),
                          'abcdefghijklmnopqrstuvwxyz', 'acgtacgtacgtacgtacgtacgtan') as seq
         from documents""",
 }
@@ -65,7 +65,8 @@ TABLES = {
 BAD_INTERVALS = ["track name=peaks", "chr1 5", ""]
 BAD_VARIANTS = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT", ""]
 BAD_SELECTIONS = ["pwmid, tf_name", "1,TF1,more", "x,TF2", ""]
-BAD_MOTIFS = ["Motif_ID,Name,Species"]
+BAD_MOTIFS = ["Motif_ID,Name,Species", ""]
+BAD_HITS = ["", "  "]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -121,7 +122,7 @@ def motif_lines(spark, sf_dir, bad=True):
 
 def hit_lines(spark, sf_dir):
     """Hits from line items: X and Y by label, unknown labels too, ``NaN`` for missing scores."""
-    return load(spark, sf_dir, "lineitem").selectExpr(
+    lines = load(spark, sf_dir, "lineitem").selectExpr(
         """concat_ws(' ',
             case l_partkey % 26 when 22 then 'X' when 23 then 'Y' when 24 then 'M' when 25 then '0'
                  else cast(l_partkey % 26 + 1 as string) end,
@@ -132,6 +133,7 @@ def hit_lines(spark, sf_dir):
             case when l_linenumber < 7 then cast(l_quantity as string) else 'NaN' end, 'NaN',
             'NaN', 'NaN') as value"""
     )
+    return _with_lines(lines, BAD_HITS)
 
 
 def part_cells(spark, sf_dir):

@@ -18,8 +18,14 @@ def event_code(gains: dict[str, Column]) -> Column:
 
 
 def event_flags(event: Column) -> dict[str, Column]:
-    """``use_w`` is set when no base gains; the other flags are the digits of the code."""
-    code = event.cast("bigint")
+    """``use_w`` is set when no base gains; the other flags are the digits of the code.
+
+    A code with other digits than 0 and 1, or of more than four, fails.
+    """
+    said = F.concat(F.lit("no event code: "), event)
+    code = F.when(event.cast("string").rlike("^0*[01]{1,4}$"), event.cast("bigint")).when(
+        event.isNotNull(), F.raise_error(said).cast("bigint")
+    )
     flags = {"use_w": code == 0}
     for base, digit in EVENT_DIGITS.items():
         flags[f"use_{base}"] = code % (10 * digit) >= digit

@@ -5,6 +5,11 @@ from pyspark.sql import functions as F
 
 from sitelens.operators.sizing import is_small, profile, sized_join_side, within
 
+# Numbers of one block of an exploded range.
+_BLOCK_BITS = 16
+# Least width of the cells that sites are reduced by before a large sample is joined.
+_CELL_BITS = 12
+
 
 def bin_of(position: Column, bin_bits: int) -> Column:
     return F.shiftright(position, bin_bits)
@@ -18,14 +23,40 @@ def closed_intervals(intervals: DataFrame, half_open: bool = False) -> DataFrame
     )
 
 
-def explode_intervals(intervals: DataFrame) -> DataFrame:
-    """One row per position of each interval, both ends included.
+def explode_range(df: DataFrame, name: str, first: Column, last: Column) -> DataFrame:
+    """A row for each whole number from ``first`` to ``last``, which must not be below it.
 
-    The guard matters: SQL ``sequence(5, 4)`` counts down instead of being empty.
+    Blocks come first and then the numbers of each, so that no row holds a long list.
     """
+    low, high, block = f"_{name}_low", f"_{name}_high", f"_{name}_block"
+    blocks = df.withColumns({low: first.cast("bigint"), high: last.cast("bigint")}).withColumn(
+        block, F.explode(F.sequence(F.shiftright(low, _BLOCK_BITS), F.shiftright(high, _BLOCK_BITS)))
+    )
+    start = F.shiftleft(block, _BLOCK_BITS)
+    own = F.sequence(F.greatest(low, start), F.least(high, start + ((1 << _BLOCK_BITS) - 1)))
+    return blocks.withColumn(name, F.explode(own)).drop(low, high, block)
+
+
+def explode_intervals(intervals: DataFrame) -> DataFrame:
+    """One row per position of each interval, both ends included."""
     kept = [c for c in intervals.columns if c not in ("start", "stop")]
-    return closed_intervals(intervals).select(
-        *kept, F.explode(F.sequence("start", "stop")).alias("mutation_pos")
+    usable = closed_intervals(intervals)
+    rows = explode_range(usable, "mutation_pos", F.col("start"), F.col("stop"))
+    return rows.select(*kept, "mutation_pos")
+
+
+def near_cells(sites: DataFrame, cells: DataFrame, place: Column) -> DataFrame:
+    """Sites in any of the sample's ``cells`` (``chromosome, _cell``), before any of them moves.
+
+    Only where the distinct cells were measured to fit a broadcast; else the sites come back whole.
+    """
+    cells = cells.select("chromosome", "_cell").distinct()
+    if not is_small(cells):
+        return sites
+    return (
+        sites.withColumn("_cell", place)
+        .join(F.broadcast(cells), ["chromosome", "_cell"], "left_semi")
+        .select(*sites.columns)
     )
 
 
@@ -50,9 +81,16 @@ def overlap_join(
     if bounds is not None:
         sites = sites.where(bounds)
     first, last = bin_of(F.col("start"), bin_bits), bin_of(F.col("stop"), bin_bits)
-    binned = usable.withColumn("_bin", F.explode(F.sequence(first, last)))
+    small = measured.small(1 << bin_bits)
+    if not small:
+        cell_bits = max(bin_bits, _CELL_BITS)
+        ends = (bin_of(F.col(x), cell_bits) for x in ("start", "stop"))
+        sites = near_cells(
+            sites, explode_range(usable, "_cell", *ends), bin_of(F.col("mutation_pos"), cell_bits)
+        )
+    binned = explode_range(usable, "_bin", first, last)
     joined = sites.withColumn("_bin", bin_of(F.col("mutation_pos"), bin_bits)).join(
-        sized_join_side(binned, measured.small(1 << bin_bits)), ["chromosome", "_bin"]
+        sized_join_side(binned, small), ["chromosome", "_bin"]
     )
     others = [c for c in intervals.columns if c not in ("chromosome", "start", "stop")]
     return joined.where(F.col("mutation_pos").between(F.col("start"), F.col("stop"))).select(
@@ -66,6 +104,9 @@ def position_join(sites: DataFrame, positions: DataFrame) -> DataFrame:
     bounds = within(measured.ranges, F.col("chromosome"), F.col("mutation_pos"))
     if bounds is not None:
         sites = sites.where(bounds)
+    cell = bin_of(F.col("mutation_pos"), _CELL_BITS)
+    if not measured.small():
+        sites = near_cells(sites, positions.withColumn("_cell", cell), cell)
     return sites.join(
         sized_join_side(positions, measured.small()), ["chromosome", "mutation_pos"]
     )

@@ -3,39 +3,45 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_SPLIT_COUNT = "spark.sql.files.minPartitionNum"
+from sitelens.session import scratch_path
 
 
 def with_row_id(scan: DataFrame, name: str = "row_id") -> DataFrame:
     """Number the rows of a file scan 1, 2, ... by file path, then by place in the file.
 
-    ``scan`` must be a file read with at most filters on top. Rows of one file split are read by
-    one task in order, so their generated ids are consecutive: a row's number is the count of the
-    rows in earlier splits plus its place in its own split. Only the table of split sizes is
-    ordered globally; the rows are neither sorted nor gathered. The split table is never larger
-    than a fraction of the scan, so the planner's size threshold decides on its broadcast, and
-    beyond it a group is one split, which ``spark.sql.files.maxPartitionBytes`` bounds.
-
-    The files are read twice and must be split alike both times. Split sizes depend on the number
-    of cores, which dynamic allocation changes, so the session's value is pinned where it is unset.
+    ``scan`` must be a file read with at most filters on top. Its rows are written once to the
+    session's scratch folder, each with its file, split and place in the split, so that nothing
+    depends on a second scan being split like the first. A row's number is its place plus the rows
+    of earlier splits. Splits are range-partitioned by file and place for that: their running sums
+    are taken within a range and over the ranges, so no task gets all splits.
     """
     spark = scan.sparkSession
-    if spark.conf.get(_SPLIT_COUNT, None) is None:
-        spark.conf.set(_SPLIT_COUNT, str(spark.sparkContext.defaultParallelism))
     split = ["_file", "_block"]
-    tagged = scan.select(
+    path = scratch_path(spark, "row-places")
+    scan.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mono"),
-    )
+        F.monotonically_increasing_id().alias("_place"),
+    ).write.parquet(path)
+    tagged = spark.read.parquet(path)
     sizes = tagged.groupBy(*split).agg(
-        F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_rows")
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    ranged = scratch_path(spark, "split-sizes")
+    sizes.repartitionByRange(*split).withColumn("_range", F.spark_partition_id()).write.parquet(
+        ranged
     )
-    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *split,
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    sizes = spark.read.parquet(ranged)
+    upto = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_range").orderBy(*split).rowsBetween(*upto)
+    before = Window.orderBy("_range").rowsBetween(*upto)
+    ranges = sizes.groupBy("_range").agg(F.sum("_rows").alias("_all"))
+    ranges = ranges.select("_range", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_base"))
+    offsets = (
+        sizes.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
+        .join(F.broadcast(ranges), "_range")
+        .select(*split, (F.col("_base") + F.col("_inside") - F.col("_first") + 1).alias("_shift"))
     )
-    numbered = tagged.join(offsets, split).withColumn(name, F.col("_mono") + F.col("_shift"))
+    numbered = tagged.join(offsets, split).withColumn(name, F.col("_place") + F.col("_shift"))
     return numbered.select(*scan.columns, name)

@@ -6,16 +6,16 @@ estimate is not trusted here. One small aggregation per sample measures rows, by
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# A side is broadcast only when it was measured to be at most this large.
+# A side is broadcast only when it was measured to be at most this large, unless the session sets
+# ``spark.sitelens.broadcastBytes``.
 BROADCAST_BYTES = 64 << 20
-# Samples over more chromosomes than this are treated as large, so that the profile stays small.
-MAX_PROFILE_ROWS = 1024
-# At most this many literal ranges are pushed into the scan of the sites, else one range for all.
-MAX_RANGES = 8
+# At most this many chromosomes' ranges are pushed into the scan of the sites; those of a sample
+# over more contigs are not pushed; the join, or the cells before it, finds the matches alone.
+MAX_RANGES = 64
 # In-memory row and field overhead of a hashed relation.
 _ROW_OVERHEAD = 64
 
@@ -31,9 +31,10 @@ def row_bytes(df: DataFrame) -> Column:
 
 @dataclass(frozen=True)
 class Profile:
-    """Extents per chromosome (None when there are too many to report) and measured sums."""
+    """Extents per chromosome (None when there are too many to push) and measured sums."""
 
     ranges: tuple[tuple[int, int, int], ...] | None
+    bound: int
     rows: int
     span: int
     size: int
@@ -41,12 +42,10 @@ class Profile:
 
     def small(self, bin_width: int | None = None) -> bool:
         """Whether the rows fit a broadcast, copied to every bin they touch if there are bins."""
-        if self.ranges is None:
-            return False
         size = self.size
         if bin_width:
             size = 2 * size + self.size_by_span // bin_width
-        return size <= BROADCAST_BYTES
+        return size <= self.bound
 
     def bin_bits(self) -> int:
         """Exponent of the bin width: the first power of two above the mean length.
@@ -64,8 +63,12 @@ def extents(df: DataFrame, start: str, stop: str) -> DataFrame:
     )
 
 
+def broadcast_bound(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sitelens.broadcastBytes", str(BROADCAST_BYTES)))
+
+
 def profile(df: DataFrame, start: str, stop: str) -> Profile:
-    """Measure a sample in one pass. Only the sums per chromosome come to the driver."""
+    """Measure a sample in one job. Totals are exact; at most ``MAX_RANGES`` extents come along."""
     span = F.col(stop) - F.col(start)
     sums = {
         "n": F.count(F.lit(1)),
@@ -73,27 +76,28 @@ def profile(df: DataFrame, start: str, stop: str) -> Profile:
         "size": F.sum(row_bytes(df)),
         "size_by_span": F.sum(row_bytes(df) * span),
     }
-    groups = df.groupBy("chromosome").agg(
-        F.min(start).alias("lo"), F.max(stop).alias("hi"), *(v.alias(k) for k, v in sums.items())
+    groups = df.rollup("chromosome").agg(
+        F.grouping("chromosome").alias("whole"),
+        F.min(start).alias("lo"),
+        F.max(stop).alias("hi"),
+        *(v.alias(k) for k, v in sums.items()),
     )
-    found = groups.limit(MAX_PROFILE_ROWS + 1).collect()
+    # the row of the totals comes first
+    whole, *found = groups.orderBy(F.desc("whole")).limit(MAX_RANGES + 2).collect() or [None]
     ranges = tuple((r.chromosome, r.lo, r.hi) for r in found if None not in (r.chromosome, r.lo))
-    total = [sum(r[k] or 0 for r in found) for k in sums]
-    return Profile(ranges if len(found) <= MAX_PROFILE_ROWS else None, *total)
+    total = [whole[k] or 0 if whole else 0 for k in sums]
+    bound = broadcast_bound(df.sparkSession)
+    return Profile(ranges if len(found) <= MAX_RANGES else None, bound, *total)
 
 
 def within(ranges, chromosome: Column, position: Column) -> Column | None:
     """Literal filter that every match must pass, or None when the extents are not known.
 
     It reaches the Parquet scan, and sites are stored sorted by chromosome and position, so row
-    groups outside the ranges are skipped. It costs each row some comparisons, hence the bound on
-    their number.
+    groups outside the ranges are skipped.
     """
     if ranges is None:
         return None
-    if len(ranges) > MAX_RANGES:
-        lo, hi = min(r[1] for r in ranges), max(r[2] for r in ranges)
-        return position.between(lo, hi)
     condition = F.lit(False)
     for code, lo, hi in sorted(ranges):
         condition = condition | ((chromosome == code) & position.between(lo, hi))
@@ -103,7 +107,7 @@ def within(ranges, chromosome: Column, position: Column) -> Column | None:
 def is_small(df: DataFrame) -> bool:
     """Whether ``df`` was measured to be within the broadcast bound."""
     size = df.agg(F.sum(row_bytes(df))).first()[0]
-    return (size or 0) <= BROADCAST_BYTES
+    return (size or 0) <= broadcast_bound(df.sparkSession)
 
 
 def sized_join_side(df: DataFrame, small: bool) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions.sequence import ALPHABET, reverse_complement
+from sitelens.functions.sequence import ALPHABET, encode_bases, reverse_complement
 from sitelens.operators.window_scores import FLANK
 
 # Bases per tile. A task works on whole tiles, so this bounds a row whatever a fragment's length.
@@ -62,6 +62,34 @@ def windows(tiles: DataFrame, k: int) -> DataFrame:
     )
 
 
+def weighted_windows(tiles: DataFrame, k: int) -> DataFrame:
+    """``window, weight``: each window of length ``k``, with the number of reportable positions
+    that it covers. A row for each start stands for the rows that :func:`windows` spells out.
+    """
+    s, end = F.col("s"), F.octet_length("tile") - FLANK
+    starts = F.explode(F.sequence(F.lit(FLANK + 2 - k), end))
+    return tiles.withColumn("s", starts).select(
+        F.upper(F.substring("tile", s, F.lit(k)).cast("string")).alias("window"),
+        (F.least(s + (k - 1), end) - F.greatest(s, F.lit(FLANK + 1)) + 1).alias("weight"),
+    )
+
+
+def base_codes(fragments: DataFrame, piece: int = TILE) -> DataFrame:
+    """``chunk_id, offset, codes``: base codes of whole fragments, ``piece`` bases a row at most."""
+    last = F.floor((F.length("seq") - 1) / F.lit(piece)).cast("int")
+    pieces = F.explode_outer(F.when(F.length("seq") > 0, F.sequence(F.lit(0), last)))
+    at = F.col("n") * F.lit(piece)
+    return (
+        fragments.select("chunk_id", F.col("seq").cast("binary").alias("seq"), pieces.alias("n"))
+        .where(F.col("n").isNotNull())
+        .select(
+            "chunk_id",
+            at.alias("offset"),
+            encode_bases(F.substring("seq", at + 1, F.lit(piece)).cast("string")).alias("codes"),
+        )
+    )
+
+
 def substitutions(windows: DataFrame) -> DataFrame:
     """Each base put in place of each letter of a window, read on both strands.
 

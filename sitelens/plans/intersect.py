@@ -12,7 +12,7 @@ from sitelens.operators.overlap import (
     position_join,
     with_motif,
 )
-from sitelens.operators.selection import narrow_to, selected_motifs
+from sitelens.operators.selection import selected_motifs
 from sitelens.schemas import LOWER_BASES, MUTATION_SCORES, USE_COLUMNS
 from sitelens.sources.samples import read_intervals, read_selection, read_variants
 
@@ -101,25 +101,36 @@ def select_motifs(
 ) -> DataFrame:
     """All sites of the motifs whose number and name are both selected."""
     chosen = selected_motifs(motifs, ids, names)
-    found, chosen, few = narrow_to(sites.select(*_SITE_COLUMNS, "pwmid"), chosen)
-    return with_motif(found, chosen, small=few).select(*_SITE_COLUMNS, *_motif_columns())
+    found = with_motif(sites.select(*_SITE_COLUMNS, "pwmid"), chosen)
+    return found.select(*_SITE_COLUMNS, *_motif_columns())
 
 
-def intersect(spark: SparkSession, sites: DataFrame, motifs: DataFrame, sample: str) -> DataFrame:
+def intersect(
+    spark: SparkSession,
+    sites: DataFrame,
+    motifs: DataFrame,
+    sample: str,
+    bed_col: int = 0,
+    n_cols: int | None = None,
+    half_open: bool = False,
+    only_gains: bool = False,
+) -> DataFrame:
     """Run the query that the sample's file extension stands for.
 
+    ``bed_col``, ``n_cols`` and ``half_open`` are for intervals, ``only_gains`` is for variants.
+
     The parsed sample is also registered as a view, named as users' own SQL expects: ``bed``,
     ``vcf``, or ``pwmid`` and ``tf_name``.
     """
     extension = posixpath.splitext(sample)[1].lower()
     if extension == ".bed":
-        intervals = read_intervals(spark, sample)
+        intervals = read_intervals(spark, sample, bed_col, n_cols)
         explode_intervals(intervals).createOrReplaceTempView("bed")
-        return intersect_intervals(sites, motifs, intervals)
+        return intersect_intervals(sites, motifs, intervals, half_open=half_open)
     if extension == ".vcf":
         variants = read_variants(spark, sample)
         variants.createOrReplaceTempView("vcf")
-        return annotate_variants(sites, motifs, variants)
+        return annotate_variants(sites, motifs, variants, only_gains=only_gains)
     if extension == ".ez":
         ids, names = read_selection(spark, sample)
         ids.createOrReplaceTempView("pwmid")

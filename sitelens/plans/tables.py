@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.sites import event_flags, strand_max
 from sitelens.schemas import LOWER_BASES, MOTIFS_DIR, SITES, SITES_DIR
-from sitelens.sinks.tables import write_motifs, write_sites
+from sitelens.sinks.tables import TARGET_BYTES, write_motifs, write_sites
 from sitelens.sources.hits import read_hits
 from sitelens.sources.motif_info import read_motif_info
 from sitelens.sources.tables import read_sites
@@ -36,9 +36,11 @@ def build_tables(spark: SparkSession, motif_csv: str, hits: str, directory: str)
     write_sites(sites_from_hits(read_hits(spark, hits)), posixpath.join(directory, SITES_DIR))
 
 
-def compact_sites(spark: SparkSession, source: str, target: str) -> None:
+def compact_sites(
+    spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES
+) -> None:
     """Rewrite a site table of many small files as few large ones per motif."""
-    write_sites(read_sites(spark, source), target)
+    write_sites(read_sites(spark, source), target, target_bytes=target_bytes)
 
 
 def table_counts(sites: DataFrame, motifs: DataFrame) -> DataFrame:

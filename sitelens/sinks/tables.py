@@ -1,8 +1,6 @@
 """Writers of the stored tables."""
 
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.schemas import MOTIFS, SITES
@@ -10,16 +8,8 @@ from sitelens.schemas import MOTIFS, SITES
 # Bytes of shuffled rows behind one output file. Sites compress to about a third of that, and a
 # file of some 1 GB is the aim on a cluster.
 TARGET_BYTES = 3 << 30
-
-
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+# Bytes of one shuffled row.
+ROW_BYTES = 8 * (len(SITES.names) + 2)
 
 
 def write_sites(
@@ -27,18 +17,36 @@ def write_sites(
 ) -> None:
     """Write sites below one ``pwmid=`` directory per motif, sorted by chromosome and position.
 
-    The rows are rebalanced by motif: adaptive execution gathers small motifs into one task and
-    splits a motif that is larger than the target over several, each with its own file, so no
-    task ever holds a whole hot motif. The sort keeps row-group bounds on positions narrow.
+    Rows are counted per motif first. A motif gets as many pieces as it holds targets, and each
+    piece is written by one task as one file: a motif below the target is one file, and no task
+    holds a whole hot motif. Small motifs share tasks; the tasks number the targets in the table,
+    or the session's shuffle partitions if those are more. The driver holds a count per motif, as
+    it does for the directories.
     """
+    spark = sites.sparkSession
+    sites = sites.select(*SITES.names)
+    counts = sites.groupBy("pwmid").agg(F.count(F.lit(1)).alias("n")).orderBy("pwmid").collect()
+    pieces = [max(1, -(-r.n * ROW_BYTES // target_bytes)) for r in counts]
+    total = sum(r.n for r in counts) * ROW_BYTES
+    tasks = max(
+        1,
+        *pieces,
+        min(sum(pieces), max(total // target_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))),
+    )
+    first, plan = 0, []
+    for r, n in zip(counts, pieces, strict=True):
+        plan.append((r.pwmid, n, first % tasks))
+        first += n
+    plan = spark.createDataFrame(plan, "_motif long, _pieces long, _first long")
+    place = F.pmod(F.xxhash64("chromosome", "mutation_pos", "chromosome_chunk"), F.col("_pieces"))
+    dealt = sites.join(F.broadcast(plan), F.col("pwmid").eqNullSafe(F.col("_motif")))
+    rows = dealt.withColumn("_task", ((F.col("_first") + place) % tasks).cast("int"))
     rows = (
-        sites.select(*SITES.names)
-        .hint("rebalance", F.col("pwmid"))
+        rows.repartitionById(tasks, "_task")
+        .select(*SITES.names)
         .sortWithinPartitions("pwmid", "chromosome", "mutation_pos")
     )
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    with _setting(sites.sparkSession, key, str(target_bytes)):
-        rows.write.mode(mode).partitionBy("pwmid").option("compression", "snappy").parquet(path)
+    rows.write.mode(mode).partitionBy("pwmid").option("compression", "snappy").parquet(path)
 
 
 def write_motifs(motifs: DataFrame, path: str, mode: str = "error") -> None:

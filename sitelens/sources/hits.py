@@ -4,14 +4,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.functions.chromosome import chromosome_code
-from sitelens.functions.text import field, fields
+from sitelens.functions.text import complete, field, fields, is_blank
 from sitelens.schemas import STRAND_SCORES
 
 
 def parse_hits(lines: DataFrame) -> DataFrame:
-    """Hits in the scanner's own shape. The end position is dropped; ``NaN`` stands for no score."""
-    f = F.col("f")
-    rows = lines.select(fields(F.col("value")).alias("f"))
+    """Hits in the scanner's own shape. The end position is dropped; ``NaN`` stands for no score.
+
+    Blank lines are dropped; a line without 16 fields fails.
+    """
+    f, value = F.col("f"), F.col("value")
+    rows = lines.where(~is_blank(value)).select(
+        complete(fields(value), value, "hit", 16, 16).alias("f")
+    )
     score = lambda n: F.nanvl(field(f, n).cast("double"), F.lit(None).cast("double"))
     return rows.select(
         chromosome_code(field(f, 0), strip_prefix=False).alias("chromosome"),

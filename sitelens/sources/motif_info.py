@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.functions.text import field, strip
+from sitelens.functions.text import complete, field, is_blank, strip
 from sitelens.operators.row_id import with_row_id
 from sitelens.schemas import MOTIF_TEXT_COLUMNS
 
@@ -11,15 +11,21 @@ HEADER_START = "Motif_ID"
 
 
 def is_data_line(line):
-    """False for header lines."""
-    return ~line.startswith(HEADER_START)
+    """False for header lines and blank lines."""
+    return ~line.startswith(HEADER_START) & ~is_blank(line)
 
 
 def parse_motif_info(lines: DataFrame) -> DataFrame:
-    """Typed columns of each line; further columns of ``lines`` are kept."""
-    f = F.split(F.col("value"), ",")
+    """Typed columns of each line; further columns of ``lines`` are kept.
+
+    A line of under 13 fields fails.
+    """
+    f, value = F.col("_fields"), F.col("value")
     kept = [c for c in lines.columns if c != "value"]
-    return lines.where(is_data_line(F.col("value"))).select(
+    rows = lines.where(is_data_line(value)).withColumn(
+        "_fields", complete(F.split(value, ","), value, "motif", 13)
+    )
+    return rows.select(
         *(field(f, n).alias(c) for n, c in enumerate(MOTIF_TEXT_COLUMNS)),
         strip(field(f, 10)).cast("bigint").alias("pmid"),
         field(f, 11).alias("file"),

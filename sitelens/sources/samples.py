@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.chromosome import chromosome_code
 from sitelens.functions.sites import allele_flags
-from sitelens.functions.text import field, fields, strip
+from sitelens.functions.text import complete, field, fields, is_blank, strip
 
 
 def _first_line_width(lines: DataFrame) -> int | None:
@@ -52,10 +52,13 @@ def read_intervals(
 
 
 def parse_variants(lines: DataFrame) -> DataFrame:
-    """Variants from tab-separated lines; ``#`` lines and empty lines are dropped."""
+    """Variants from tab-separated lines; ``#`` lines and blank lines are dropped.
+
+    A line of under 5 fields fails.
+    """
     value, f = F.col("value"), F.col("f")
-    rows = lines.where(~value.startswith("#") & (value != "")).select(
-        F.split(value, "\t").alias("f")
+    rows = lines.where(~value.startswith("#") & ~is_blank(value)).select(
+        complete(F.split(value, "\t"), value, "variant", 5).alias("f")
     )
     alt = strip(field(f, 4))
     return rows.select(

@@ -1,50 +1,59 @@
 """Inputs of the scanner: DNA fragments, motif thresholds and weight matrices."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.functions.chromosome import chromosome_code
-from sitelens.functions.text import field, strip
+from sitelens.functions.text import complete, field, is_blank, number, strip
 from sitelens.operators.row_id import with_row_id
 
-_FRAGMENT_LINE = "label string, start string, _3 string, _4 string, _5 string, _6 string, _7 string, seq string"
-
 
 def read_fragments(spark: SparkSession, path: str) -> DataFrame:
     """Fragments from a tab file with a header line; fields 1, 2 and 8 are used.
 
     ``chunk_id`` is the 1-based number of the line, ``start`` the offset that positions add to.
     """
-    rows = spark.read.csv(
-        path, schema=_FRAGMENT_LINE, sep="\t", header=True, quote="", enforceSchema=True
+    # a separator that no line holds: the reader drops headers and blank lines, and the fields are
+    # cut here, where an empty sequence and an absent one differ
+    lines = spark.read.csv(
+        path, schema="value string", sep="\x01", header=True, quote="", enforceSchema=True
+    )
+    f, value = F.col("f"), F.col("value")
+    rows = with_row_id(lines, "chunk_id").select(
+        "chunk_id", complete(F.split(value, "\t"), value, "fragment", 8).alias("f")
     )
-    return with_row_id(rows, "chunk_id").select(
+    return rows.select(
         "chunk_id",
-        chromosome_code(F.col("label")).alias("chromosome"),
-        strip(F.col("start")).cast("bigint").alias("start"),
-        F.coalesce(strip(F.col("seq")), F.lit("")).alias("seq"),
+        chromosome_code(field(f, 0)).alias("chromosome"),
+        strip(field(f, 1)).cast("bigint").alias("start"),
+        strip(field(f, 7)).alias("seq"),
     )
 
 
 def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
-    """Motif list without header: matrix file and score threshold. The line number is the motif."""
-    rows = spark.read.csv(path, schema="motif_file string, threshold double", sep="\t", quote="")
-    return with_row_id(rows, "pwmid").select("pwmid", "motif_file", "threshold")
+    """Motif list without header: matrix file and score threshold. The line number is the motif.
 
+    Blank lines are not counted; a line without two fields or with no number as threshold fails.
+    """
+    lines = spark.read.csv(path, schema="value string", sep="\x01", quote="")
+    f, value = F.col("f"), F.col("value")
+    rows = with_row_id(lines.where(~is_blank(value)), "pwmid").select(
+        "pwmid", complete(F.split(value, "\t"), value, "threshold", 2).alias("f")
+    )
+    return rows.select(
+        "pwmid", field(f, 0).alias("motif_file"), number(field(f, 1), "threshold").alias("threshold")
+    )
 
-def read_pwms(spark: SparkSession, path: str) -> DataFrame:
+
+def read_pwms(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:
     """Matrix cells ``(motif_file, i, b, p)`` from a directory with one tab file per motif.
 
     The first line of a file and the first field of a line are skipped. A matrix has at most 30
-    rows, so a file is read whole. A file is named by its own name, or by the directory
-    ``motif_file=<name>`` that Spark wrote it to.
+    rows, so a file is read whole. ``name`` says how a motif's file is called, if not by its name.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    partition = F.regexp_extract(F.col("_metadata.file_path"), "motif_file=([^/]+)/", 1)
     named = files.select(
-        F.when(partition != "", F.url_decode(partition))
-        .otherwise(F.col("_metadata.file_name"))
-        .alias("motif_file"),
+        (F.col("_metadata.file_name") if name is None else name).alias("motif_file"),
         F.posexplode(F.split("value", "\r?\n")).alias("i", "line"),
     )
     f = F.split("line", "\t")
@@ -59,5 +68,28 @@ def read_pwms(spark: SparkSession, path: str) -> DataFrame:
 
 
 def number_pwms(cells: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Matrix cells of the listed motifs, with the motif number and threshold of the list."""
-    return cells.join(thresholds, "motif_file").select("pwmid", "threshold", "i", "b", "p")
+    """Matrix cells of the listed motifs, with the motif number and threshold of the list.
+
+    A listed motif without a single cell fails; matrices that are not listed are left out.
+    """
+    said = F.concat(F.lit("no matrix in file "), F.col("motif_file"))
+    i = F.when(F.col("i").isNotNull(), F.col("i")).otherwise(F.raise_error(said).cast("int"))
+    return thresholds.join(cells, "motif_file", "left").select(
+        "pwmid", "threshold", i.alias("i"), "b", "p"
+    )
+
+
+def with_motif_numbers(thresholds: DataFrame, motifs: DataFrame) -> DataFrame:
+    """Thresholds under the numbers of the motif table, which sites refer to.
+
+    The two lists go together by matrix file, whatever their orders. A listed file that the table
+    lacks, or has twice, fails.
+    """
+    known = motifs.groupBy(F.col("file").alias("motif_file")).agg(
+        F.min("row_id").alias("_number"), F.count(F.lit(1)).alias("_times")
+    )
+    said = F.concat(F.lit("not one motif has the file "), F.col("motif_file"))
+    number_ = F.when(F.col("_times") == 1, F.col("_number")).otherwise(F.raise_error(said))
+    return thresholds.join(known, "motif_file", "left").select(
+        number_.cast("bigint").alias("pwmid"), "motif_file", "threshold"
+    )

@@ -160,17 +160,18 @@ def test_variant_query(spark, side):
     assert [(r.name, r.motif_id) for r in gains.collect()] == [("v1", "M1")]
 
 
-def test_selection_query(spark, monkeypatch):
+def test_selection_query(spark):
     scores = (1.0, 2.0, 3.0, 4.0, 5.0)
     sites = site_rows(spark, [(1, p, 1 + p % 4, "w", scores) for p in range(12)])
     motifs = motif_rows(spark, *((n, f"M{n}", f"TF{n % 2}", 0.5) for n in (1, 2, 3, 4)))
     ids = spark.createDataFrame([(1,), (2,), (2,), (3,), (77,)], "pwmid bigint")
     names = spark.createDataFrame([("TF1",), ("TF1",), ("none",)], "tf_name string")
     expected = sorted((p, f"M{1 + p % 4}") for p in range(12) if 1 + p % 4 in (1, 3))
-    for bound in (10_000, 1):
-        monkeypatch.setattr("sitelens.operators.selection.MAX_LITERAL_MOTIFS", bound)
+    for bound in ("1000000", "0"):
+        spark.conf.set("spark.sitelens.broadcastBytes", bound)
         result = select_motifs(sites, motifs, ids, names)
         assert sorted((r.mutation_pos, r.motif_id) for r in result.collect()) == expected
+    spark.conf.unset("spark.sitelens.broadcastBytes")
     nothing = select_motifs(sites, motifs, ids, names.where(F.lit(False)))
     assert nothing.count() == 0
 
@@ -184,5 +185,50 @@ def test_selection_prunes_directories(spark, tmp_path):
     ids = spark.createDataFrame([(3,)], "pwmid bigint")
     names = spark.createDataFrame([("TF1",)], "tf_name string")
     plan = select_motifs(stored, motifs, ids, names)._jdf.queryExecution().executedPlan()
-    assert "PartitionFilters: [isnotnull(pwmid" in plan.toString()
-    assert "(pwmid" in plan.toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+    filters = plan.toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "dynamicpruning" in filters.lower()
+
+
+def genome(spark, tmp_path):
+    """Stored sites, and intervals on 24 chromosomes."""
+    scores = (1.0, 2.0, 3.0, 4.0, 5.0)
+    codes = [-1, -2, *range(1, 23)]
+    sites = site_rows(spark, [(c, p, 1, "w", scores) for c in codes for p in range(0, 90_000, 9_000)])
+    sites.write.parquet(str(tmp_path / "sites"))
+    stored = spark.read.schema(SITES).parquet(str(tmp_path / "sites"))
+    sample = [(c, 20_000 + 10 * abs(c), 40_000, "x") for c in codes]
+    return stored, spark.createDataFrame(
+        sample, "chromosome bigint, start bigint, stop bigint, bed_name string"
+    )
+
+
+def test_bounds_of_a_genome_reach_the_scan(spark, tmp_path):
+    stored, sample = genome(spark, tmp_path)
+    found = overlap_join(stored, sample)
+    pushed = found._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+    assert "Or(Or(Or(" in pushed
+    assert found.count() == 24 * 2
+
+
+def test_large_samples_thin_the_sites_first(spark, tmp_path):
+    stored, sample = genome(spark, tmp_path)
+    few = sorted(overlap_join(stored, sample).select("chromosome", "mutation_pos").collect())
+    spark.conf.set("spark.sitelens.broadcastBytes", "3000")
+    try:
+        found = overlap_join(stored, sample)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        below = plan.split("SortMergeJoin")[1]
+        assert "LeftSemi" in below
+        assert sorted(found.select("chromosome", "mutation_pos").collect()) == few
+        points = sample.select("chromosome", F.col("start").alias("mutation_pos"))
+        assert position_join(stored, points).count() == 0
+    finally:
+        spark.conf.unset("spark.sitelens.broadcastBytes")
+
+
+def test_a_long_interval_is_no_long_list(spark):
+    one = spark.createDataFrame([(1, 1, 250_000_000, "x")], "chromosome bigint, start bigint, stop bigint, bed_name string")
+    rows_ = explode_intervals(one)
+    assert rows_.count() == 250_000_000
+    assert rows_.agg(F.min("mutation_pos"), F.max("mutation_pos")).first()[:] == (1, 250_000_000)

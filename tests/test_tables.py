@@ -10,7 +10,7 @@ from sitelens.plans.intersect import intersect
 from sitelens.plans.tables import compact_sites, table_counts
 from sitelens.schemas import SITES
 from sitelens.session import scratch_path
-from sitelens.sinks.tables import write_motifs, write_sites
+from sitelens.sinks.tables import ROW_BYTES, write_motifs, write_sites
 from sitelens.sinks.text import preview, write_csv
 from sitelens.sources.tables import read_motifs, read_sites
 
@@ -59,6 +59,20 @@ def test_a_hot_motif_is_split(spark, tmp_path):
     assert read_sites(spark, path).count() == 40_000
 
 
+def test_files_follow_sizes(spark, tmp_path):
+    """More motifs than reducers, and a table far above the target."""
+    path = str(tmp_path / "tfbs.pq")
+    sites = many_sites(spark, 30_000).withColumn(
+        "pwmid", F.when(F.col("mutation_pos") % 3 == 0, 0).otherwise(F.col("mutation_pos") % 100)
+    )
+    target = 100_000
+    write_sites(sites, path, target_bytes=target)
+    for r in sites.groupBy("pwmid").count().collect():
+        files = [f for f in os.listdir(f"{path}/pwmid={r.pwmid}") if f.endswith(".parquet")]
+        assert len(files) == -(-r["count"] * ROW_BYTES // target)
+    assert rows(read_sites(spark, path)) == rows(sites.select(*SITES.names))
+
+
 def test_compaction_leaves_one_file_per_motif(spark, tmp_path):
     source, target = str(tmp_path / "many"), str(tmp_path / "few")
     sites = many_sites(spark)
