@@ -121,10 +121,10 @@ def sparse_logistic(
     """
 
     def times(w: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, weights=w[columns], minlength=len(y))
+        return np.bincount(rows, weights=w[columns], minlength=len(y)).astype("float64")
 
     def back(r: np.ndarray) -> np.ndarray:
-        return np.bincount(columns, weights=r[rows], minlength=width)
+        return np.bincount(columns, weights=r[rows], minlength=width).astype("float64")
 
     v = np.ones(width)
     for _ in range(20):
