@@ -134,6 +134,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             for item, text in zip(part["item_id"], part["text"], strict=True):
                 window, held, slots = templates.windows(text)
                 at = np.flatnonzero(held <= SLOTS) if (held <= SLOTS).any() else np.arange(len(held))
+                if not len(at):
+                    continue
                 yield pd.DataFrame(
                     {
                         "window": window[at].view("int64"),
