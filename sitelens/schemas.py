@@ -12,6 +12,7 @@ from pyspark.sql.types import (
 BASES = ("A", "C", "G", "T")
 LOWER_BASES = ("a", "c", "g", "t")
 
+# Column names and their order, as stored tables and text inputs have them.
 USE_COLUMNS = ["use_w", "use_a", "use_c", "use_g", "use_t"]
 MUTATION_SCORES = [f"{b}_mutation_max_score" for b in LOWER_BASES]
 STRAND_SCORES = [f"{s}_{d}" for s in ("wt", *LOWER_BASES) for d in ("fwd", "rev")]
@@ -64,6 +65,8 @@ HITS = _struct(
     *((c, DoubleType()) for c in STRAND_SCORES),
 )
 
-# Directory names of the two tables below a table directory (fixed values).
+# Directory names of the two tables below a table directory, and their view names.
 SITES_DIR = "tfbs.pq"
 MOTIFS_DIR = "tf_info.pq"
+SITES_VIEW = "tfbs"
+MOTIFS_VIEW = "tf_info"

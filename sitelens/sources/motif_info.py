@@ -7,6 +7,7 @@ from sitelens.functions.text import complete, field, is_blank, strip
 from sitelens.operators.row_id import with_row_id
 from sitelens.schemas import MOTIF_TEXT_COLUMNS
 
+# Fixed value: how a header line begins.
 HEADER_START = "Motif_ID"
 
 

@@ -4,7 +4,7 @@ import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitelens.schemas import MOTIFS, MOTIFS_DIR, SITES, SITES_DIR
+from sitelens.schemas import MOTIFS, MOTIFS_DIR, MOTIFS_VIEW, SITES, SITES_DIR, SITES_VIEW
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
@@ -20,6 +20,6 @@ def load_tables(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFra
     """Both tables of a table directory, also registered as views ``tfbs`` and ``tf_info``."""
     sites = read_sites(spark, posixpath.join(directory, SITES_DIR))
     motifs = read_motifs(spark, posixpath.join(directory, MOTIFS_DIR))
-    sites.createOrReplaceTempView("tfbs")
-    motifs.createOrReplaceTempView("tf_info")
+    sites.createOrReplaceTempView(SITES_VIEW)
+    motifs.createOrReplaceTempView(MOTIFS_VIEW)
     return sites, motifs
