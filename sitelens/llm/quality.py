@@ -114,7 +114,9 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """The share of positives among unlabelled texts, from a first score of both.
 
     The upper tail of the unlabelled can hold no smaller share of the tail of positives than the
-    prior, whatever the score. Tails of under a tenth of the positives are too noisy to count.
+    prior, whatever the score. Tails of under a tenth of the positives are too noisy to count. The
+    smallest of many noisy ratios errs on the low side, and so it should: too high a prior would
+    explain junk as positives, while too low a one only moves some scores.
     """
     at = np.quantile(positive, np.linspace(0.0, 0.9, 91))
     tail_p = (positive[:, None] >= at).mean(axis=0)

@@ -26,8 +26,8 @@ FIT_ROWS, VOCABULARY = 40_000, 4096
 BEGINNINGS = (3, 4, 5, 6, 7)
 #: Scores from here on are predicted 1.
 REJECT = 0.5
-#: Toxic documents and standard errors by which a word must stand out.
-LEAST_DOCUMENTS, LEAST_Z = 3, 3.2
+#: Toxic documents that a word must be in, and the least log-likelihood ratio of its share of them.
+LEAST_DOCUMENTS, LEAST_RATIO = 3, 25.0
 STEPS, PENALTY = 3000, 1e-4
 
 
@@ -106,10 +106,15 @@ def _standing_out(restored: DataFrame, toxic: int, clean: int) -> list[str]:
         .agg(F.sum("toxic").alias("n1"), F.sum("clean").alias("n0"))
         .where(F.col("n1") >= LEAST_DOCUMENTS)
     )
-    odds = F.log((F.col("n1") + 0.5) / (toxic + 1)) - F.log((F.col("n0") + 0.5) / (clean + 1))
-    z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
-    best = counted.withColumn("z", z).where(F.col("z") >= LEAST_Z)
-    return [x.word for x in best.orderBy(F.desc("z"), "word").limit(VOCABULARY).collect()]
+    both, share = F.col("n1") + F.col("n0"), toxic / max(1, toxic + clean)
+    ratio = 2 * (
+        F.col("n1") * F.log(F.col("n1") / (both * share))
+        + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / (both * (1 - share)))).otherwise(0)
+    )
+    best = counted.withColumn("ratio", ratio).where(
+        (F.col("ratio") >= LEAST_RATIO) & (F.col("n1") > both * share)
+    )
+    return [x.word for x in best.orderBy(F.desc("ratio"), "word").limit(VOCABULARY).collect()]
 
 
 def sparse_logistic(
