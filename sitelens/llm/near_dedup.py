@@ -1,10 +1,10 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 Texts become sets of five-word shingles; texts of equal sets are one class, and classes are
-compared. Bands of a MinHash signature give buckets. In a first pass every member of a bucket is
-compared with the bucket's smallest member, which links a group of near copies without forming its
-pairs. In a second pass members of a bucket that are still in different components are compared,
-block by block. A comparison reads the signatures batch by batch and stops as soon as the posterior
+compared. Bands of a MinHash signature give buckets. Classes are first compared with the smallest
+members of their buckets, which links a group of near copies without forming its pairs. Members of a
+bucket that are still in different components are then compared with each other, block by block. A
+comparison reads the signatures batch by batch and stops as soon as the posterior
 chance that the similarity reaches the threshold falls below a chosen miss probability. Whatever
 survives is verified on the full shingle sets; only verified links count.
 
@@ -39,8 +39,8 @@ HASHES = BANDS * ROWS
 #: Signature values that are compared at a time, and the chance to miss a link by stopping early.
 BATCH = 16
 MISS = 1e-6
-#: Members of a bucket that are compared with each other in one task at a time.
-BLOCK = 1024
+#: Members of a bucket, and their shingles, that are compared with each other at a time.
+BLOCK, BLOCK_SHINGLES = 1024, 500_000
 #: Members of a bucket up to which its open pairs are joined instead.
 SMALL = 32
 #: Texts that are looked up by a broadcast of their keys, 24 bytes each; more are joined.
@@ -114,20 +114,21 @@ def least_matches(miss: float = MISS, percent: int = PERCENT) -> list[tuple[int,
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, n_shingles, node, sig`` of every row.
+    """``row, doc_id, text_key, n_shingles, node, sig`` of every row.
 
     ``node`` numbers the shingle set and is null for an empty one.
     """
-    schema = "doc_id long, text_key long, n_shingles long, node long, sig binary"
+    schema = "row long, doc_id long, text_key long, n_shingles long, node long, sig binary"
     fields = pa.schema(
-        [(x, "int64") for x in ("doc_id", "text_key", "n_shingles", "node")] + [("sig", "binary")]
+        [(x, "int64") for x in ("row", "doc_id", "text_key", "n_shingles", "node")]
+        + [("sig", "binary")]
     )
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for part in parts:
             counts, nodes, sigs = [], [], []
-            for text in part.column(2).to_pylist():
+            for text in part.column(3).to_pylist():
                 own = shingles(text)
                 counts.append(len(own))
                 if not len(own):
@@ -140,6 +141,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 [
                     part.column(0),
                     part.column(1),
+                    part.column(2),
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(sigs, pa.binary()),
@@ -147,7 +149,10 @@ def signed(docs: DataFrame) -> DataFrame:
                 schema=fields,
             )
 
-    return _keyed(docs).mapInArrow(rows, schema)
+    keyed = docs.select(
+        "row", docs["doc_id"].cast("long"), F.xxhash64(docs["text"]).alias("text_key"), "text"
+    )
+    return keyed.mapInArrow(rows, schema)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -162,19 +167,25 @@ def _matrix(sigs) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), "uint32").reshape(len(sigs), HASHES)
 
 
+def _keys(sig: np.ndarray) -> np.ndarray:
+    """The bucket of each row in each band."""
+    sig = sig.reshape(len(sig), BANDS, ROWS)
+    key = np.broadcast_to(np.arange(BANDS, dtype="uint64"), sig.shape[:2])
+    for i in range(ROWS):
+        key = _mixed(key * _MIX + sig[:, :, i])
+    return key.view("int64")
+
+
 def buckets(classes: DataFrame) -> DataFrame:
     """``bucket, node``: a row for each band of each class."""
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             if len(part):
-                sig = _matrix(part["sig"].tolist()).reshape(len(part), BANDS, ROWS)
-                key = np.broadcast_to(np.arange(BANDS, dtype="uint64"), sig.shape[:2])
-                for i in range(ROWS):
-                    key = _mixed(key * _MIX + sig[:, :, i])
+                key = _keys(_matrix(part["sig"].tolist()))
                 yield pd.DataFrame(
                     {
-                        "bucket": key.ravel().view("int64"),
+                        "bucket": key.ravel(),
                         "node": np.repeat(part["node"].to_numpy(), BANDS),
                     }
                 )
@@ -215,53 +226,65 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.mapInPandas(rows, "u long, v long")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Plausible pairs of members of one large bucket that are in different components.
+def _across(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``u, v`` between members of one large bucket that are in different components.
 
-    ``members`` holds ``bucket, node, label, n_shingles, sig, size``. A bucket is cut into blocks,
-    and a task compares two blocks; only plausible pairs leave it.
+    ``members`` holds ``bucket, node, label``. A bucket is cut into blocks, and a task compares two
+    of them, signatures first and then the full sets. A pair that shares several buckets is compared
+    in the first band only. Only links leave a task, and none that a chain of them already gives.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    nodes = stored(members.select("node").distinct(), "large-members")
+    held = classes.select("node", "n_shingles", "sig").join(_full_sets(nodes, docs, classes), "node")
+    held = stored(held, "large-sets")
+    sizes = members.join(held.select("node", "n_shingles"), "node").groupBy("bucket")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES))
+    sizes = sizes.agg(blocks.cast("int").alias("blocks"))
     dealt = (
-        members.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        members.join(sizes, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
+        .join(held, "node")
+        .drop("blocks", "other")
     )
 
     def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("node", ignore_index=True)
         sig, n = _matrix(part["sig"].tolist()), part["n_shingles"].to_numpy()
-        node, label = part["node"].to_numpy(), part["label"].to_numpy()
-        own, same = part["block"].to_numpy(), key[1] == key[2]
-        out = []
+        node, own, sets = part["node"].to_numpy(), part["block"].to_numpy(), part["members"].tolist()
+        _, label = np.unique(part["label"].to_numpy(), return_inverse=True)
+        band = np.flatnonzero(_keys(sig[:1])[0] == key[0])[0]
+        rows, same, out = sig.reshape(len(sig), BANDS, ROWS), key[1] == key[2], []
         for i in range(len(part) - 1):
             rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
             if not same:
                 rest = rest[own[rest] != own[i]]
-            if len(rest):
-                first = (sig[rest, :BATCH] == sig[i, :BATCH]).sum(axis=1)
-                rest = rest[first >= _FIRST]
-            if len(rest):
-                left = _alike(
-                    np.broadcast_to(sig[i], (len(rest), HASHES)), sig[rest], n[[i]], n[rest]
-                )
-                out += [(node[i], node[j]) for j in rest[left]]
+            first = (sig[rest, :BATCH] == sig[i, :BATCH]).sum(axis=1)
+            rest = rest[first >= _FIRST]
+            rest = rest[_alike(np.broadcast_to(sig[i], (len(rest), HASHES)), sig[rest], n[[i]], n[rest])]
+            rest = rest[(rows[rest] == rows[i]).all(axis=2).argmax(axis=1) == band]
+            for j in rest:
+                if label[j] != label[i] and _linked(sets[i], sets[j]):
+                    out.append((node[i], node[j]))
+                    label[label == label[j]] = label[i]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, "u long, v long").distinct()
+    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, "u long, v long")
+
+
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets are as similar as a link asks."""
+    shared = len(a) + len(b) - len(np.union1d(a, b))
+    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
 
 
 _FIRST = least_matches()[0][1]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``u, v`` whose full sets are as similar as a link asks."""
-    pairs = stored(pairs, "plausible")
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = stored(
-        classes.join(wanted, "node").select("node", F.col("named.*")), "wanted"
-    )
+def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node, members``: the shingle sets of ``nodes``, from the text of one document of each."""
+    wanted = stored(classes.join(nodes, "node").select("node", F.col("named.*")), "wanted")
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_SETS else wanted
     keyed = _keyed(docs)
     same = (keyed["text_key"] == wanted["text_key"]) & keyed["doc_id"].eqNullSafe(wanted["doc_id"])
@@ -276,7 +299,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
 
     texts = keyed.join(wanted, same).select(wanted["node"], keyed["text"])
     full = stored(texts.mapInArrow(sets, "node long, members array<long>"), "full-sets")
-    full = full.dropDuplicates(["node"])
+    return full.dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``u, v`` whose full sets are as similar as a link asks."""
+    pairs = stored(pairs, "plausible")
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    full = _full_sets(nodes, docs, classes)
     joined = pairs
     for x in ("u", "v"):
         joined = joined.join(full.toDF(x, f"set_{x}"), x)
@@ -286,28 +316,55 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     return found.where(F.col("shared") * 100 >= union * PERCENT).select("u", "v")
 
 
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``bucket, node, label`` with the component that ``links`` put each member in."""
+    return members.join(components(links), "node", "left").select(
+        "bucket", "node", F.coalesce("label", "node").alias("label")
+    )
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """``bucket, head, head_label, size`` of the buckets that hold more than one component."""
+    spans = labelled.groupBy("bucket").agg(
+        F.min(F.struct("node", "label")).alias("first"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.count("*").alias("size"),
+    )
+    return spans.where("low < high").select(
+        "bucket", F.col("first.node").alias("head"), F.col("first.label").alias("head_label"), "size"
+    )
+
+
 def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Verified links ``u, v`` between classes, enough of them to join every component."""
+    """Verified links ``u, v`` between classes, enough of them to join every component.
+
+    A class is compared with the smallest class that it shares a bucket with; then members of still
+    open buckets with their bucket's smallest; then whatever is open with each other.
+    """
     band = stored(buckets(classes), "buckets")
     heads = band.groupBy("bucket").agg(F.min("node").alias("u"), F.max("node").alias("last"))
     members = stored(
         band.join(heads.where("u < last").select("bucket", "u"), "bucket"), "bucket-members"
     )
-    star = stored(
-        members.where("node != u").select("u", F.col("node").alias("v")).distinct(), "star-pairs"
-    )
-    first = stored(_verified(_plausible(star, classes), docs, classes), "star-links")
-    labelled = members.join(components(first), "node", "left").select(
-        "bucket", "node", F.coalesce("label", "node").alias("label")
+    tried = stored(
+        members.groupBy(F.col("node").alias("v")).agg(F.min("u").alias("u")).where("u < v"), "stars"
     )
-    labelled = stored(labelled, "bucket-labels")
-    spans = (
-        labelled.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-        .where("low < high")
-        .select("bucket", "size")
+    links = stored(_verified(_plausible(tried, classes), docs, classes), "star-links")
+    labelled = stored(_labelled(members.select("bucket", "node"), links), "bucket-labels")
+    more = (
+        labelled.join(_open(labelled), "bucket")
+        .where("label != head_label")
+        .select(F.col("head").alias("u"), F.col("node").alias("v"))
+        .distinct()
+        .join(tried, ["u", "v"], "left_anti")
     )
-    open_ = stored(labelled.join(spans, "bucket"), "open-buckets")
+    more = stored(more, "more-stars")
+    found = _verified(_plausible(more, classes), docs, classes)
+    links = stored(links.unionByName(found), "more-links")
+    tried = tried.unionByName(more)
+    labelled = stored(_labelled(labelled.select("bucket", "node"), links), "more-labels")
+    open_ = stored(labelled.join(_open(labelled).select("bucket", "size"), "bucket"), "open")
     small = open_.where(F.col("size") <= SMALL)
     pairs = (
         small.alias("a")
@@ -315,22 +372,17 @@ def links_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
         .where("a.node < b.node and a.label != b.label")
         .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
         .distinct()
-        .join(star, ["u", "v"], "left_anti")
-    )
-    large = open_.where(F.col("size") > SMALL).join(
-        classes.select("node", "n_shingles", "sig"), "node"
+        .join(tried, ["u", "v"], "left_anti")
     )
-    rest = _plausible(pairs, classes).unionByName(_across(large)).distinct()
-    return first.unionByName(_verified(rest, docs, classes))
+    found = _verified(_plausible(pairs, classes), docs, classes)
+    large = open_.where(F.col("size") > SMALL).drop("size")
+    if large.isEmpty():
+        return links.unionByName(found)
+    return links.unionByName(found).unionByName(_across(large, docs, classes))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, label`` of every row of ``docs``.
-
-    ``component_id`` is the smallest id of the component; ``label`` numbers the component, and is
-    null for an empty set.
-    """
-    docs = docs.select("doc_id", "text")
+def _placed(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, n_shingles, label`` of every row of ``docs`` (``row, doc_id, text``)."""
     rows = stored(signed(docs), "signed")
     classes = stored(
         rows.where("node is not null")
@@ -343,16 +395,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "classes",
     )
     label = components(links_of(docs, classes))
-    named = rows.join(label, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("label", "node").alias("label")
+    placed = rows.join(label, "node", "left").select(
+        "row", "doc_id", "n_shingles", F.coalesce("label", "node").alias("label")
     )
-    named = stored(named, "labels")
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("smallest"))
+    return stored(placed, "labels")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept, label`` of every row of ``docs``.
+
+    ``component_id`` is the smallest id of the component; ``label`` numbers the component, and is
+    null for an empty set.
+    """
+    placed = _placed(docs.select(F.lit(0).cast("long").alias("row"), "doc_id", "text"))
+    smallest = placed.groupBy("label").agg(F.min("doc_id").alias("smallest"))
     component = F.coalesce("smallest", "doc_id")
-    return named.join(smallest, "label", "left").select(
+    return placed.join(stored(smallest, "smallest"), "label", "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
         "label",
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns; rows with an empty set stay.
+
+    The row of the smallest id stays, of repeated rows one. ``docs`` has to come from files, so that
+    a row has the same place each time it is read.
+    """
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    placed = _placed(numbered.select(F.col(number).alias("row"), "doc_id", "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    stays = stored(placed.groupBy("label").agg(first).select("label", "first.row"), "staying")
+    stays = stays.withColumnRenamed("row", "stays")
+    gone = placed.join(stays, "label").where("row != stays").select(F.col("row").alias(number))
+    gone = stored(gone, "leaving")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_SETS else gone
+    return numbered.join(gone, number, "left_anti").drop(number)
