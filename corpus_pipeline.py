@@ -1,13 +1,38 @@
 """The corpus pipeline: documents to packed sequences, one stage after the other.
 
 Each stage is a function of ``(spark, docs, sf_dir)``; its result is written as Parquet and read
-again as the next one's ``docs``. All but the last return the columns that they were given.
+again as the next one's ``docs``. All but the last return rows of ``docs`` with all their columns;
+labels and benchmark come from ``sf_dir``.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sitelens.llm.common import stored, table
+from sitelens.llm.decontaminate import uncontaminated
+from sitelens.llm.near_dedup import representatives
 from sitelens.llm.packing import pack_documents
+from sitelens.llm.quality import good_documents
+from sitelens.llm.toxicity import clean_documents
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that it rejects go."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that it rejects go."""
+    return clean_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near-duplicates: one document of each group stays."""
+    return representatives(docs)
+
+
+def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that leak a benchmark item go."""
+    return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +40,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
-STAGES = [("best_fit_packing", pack)]
+STAGES = [
+    ("quality_classifier", keep_good),
+    ("toxicity", keep_clean),
+    ("near_dedup", keep_one),
+    ("decontamination", keep_unleaked),
+    ("best_fit_packing", pack),
+]
 
 #: Trained models, tokenizers and similarity of word sets are not SQL's.
 ORACLE_SQL = None
