@@ -58,10 +58,12 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if blocks:
         left[-1] = len(ids) - BLOCK * (blocks - 1)
     in_block = np.arange(BLOCK)[:, None] < left
-    runs = np.zeros((_LAST + 1, BLOCK + 1, blocks), "uint8")  # ids from here on that fit
+    runs = {}  # by selector, ids from here on that fit; only where a block has enough of them
     for selector in range(1, _LAST + 1):
         fits = in_block & (grid < _U(1 << int(WIDTHS[selector])))
-        own = runs[selector]
+        if fits.sum(axis=0, dtype="uint8").max(initial=0) < COUNTS[selector]:
+            continue
+        own = runs[selector] = np.zeros((BLOCK + 1, blocks), "uint8")
         for i in range(BLOCK - 1, -1, -1):
             np.multiply(own[i + 1] + 1, fits[i], out=own[i], casting="unsafe")
     at, wrote, escapes = np.zeros(blocks, "int64"), [], []
@@ -70,8 +72,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     while len(open_):
         here = at[open_]
         selector = np.zeros(len(open_), "int64")
-        for s in range(_LAST, 0, -1):
-            selector[runs[s, here, open_] >= COUNTS[s]] = s
+        for s in reversed(runs):
+            selector[runs[s][here, open_] >= COUNTS[s]] = s
         word = selector.astype("uint64")
         for s in np.unique(selector):
             own = np.flatnonzero(selector == s)

@@ -11,7 +11,7 @@ import os
 from array import array
 
 #: Words that a worker remembers; then it starts anew. Bounds memory only.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 _ENCODERS = {}
 
