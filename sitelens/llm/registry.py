@@ -76,4 +76,39 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_bayesian_minhash": NEAR_DUPLICATES}
+
+
+#: All pairs of shingle sets, and components by recursion; for small tables.
+NEAR_DUPLICATES = r"""with recursive texts as (
+  select row_number() over () as r, doc_id,
+         string_split_regex(trim(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), E' \t\n\v\f\r'), '[\x20\x09-\x0D]+') as parts
+  from documents),
+words as (select r, doc_id, case when parts = [''] then [] else parts end as w from texts),
+sets as (
+  select r, doc_id, case
+    when len(w) = 0 then []
+    when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+  end as s
+  from words),
+classes as (
+  select list_sort(s) as s, len(any_value(s)) as n, min(doc_id) as c
+  from sets where len(s) > 0 group by list_sort(s)),
+members as (select c, n, unnest(s) as shingle from classes),
+shared as (
+  select a.c as a, b.c as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as k
+  from members a join members b on a.shingle = b.shingle and a.c < b.c group by 1, 2),
+links as (select a, b from shared where 100 * k >= 75 * (na + nb - k)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+  select c as node, c as seen from classes where c in (select a from both_ways)
+  union
+  select r.node, l.b from reach r join both_ways l on l.a = r.seen),
+named as (select node, min(seen) as component from reach group by node)
+select x.doc_id, len(x.s)::bigint as n_shingles,
+       coalesce(n.component, k.c, x.doc_id) as component_id,
+       coalesce(n.component, k.c, x.doc_id) = x.doc_id as kept
+from sets x left join classes k on k.s = list_sort(x.s) left join named n on n.node = k.c
+"""
