@@ -1,0 +1,93 @@
+import random
+
+import pytest
+
+from sitelens.llm import near_dedup
+from sitelens.llm.near_dedup import least_matches, near_duplicates, representatives
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if 0 < len(words) < 5:
+        return {tuple(words)}
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(rows):
+    """Component of each row number, by comparing all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    return sets, label
+
+
+def altered(text, seed, changes):
+    draw = random.Random(seed)
+    words = text.split()
+    for _ in range(changes):
+        words[draw.randrange(len(words))] = f"w{draw.randrange(99999)}"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def rows(prose):
+    out = [(i, prose(i, 60)) for i in range(25)]
+    for i in range(60):  # a large group of near copies, some of them too far from its first one
+        out.append((100 + i, altered(prose(77, 90), i, i % 5)))
+    common = prose(55, 40)
+    out += [(200 + i, prose(300 + i, 25) + " " + common) for i in range(40)]
+    out += [(300, "One two"), (301, "one TWO"), (302, "two one"), (303, ""), (304, None), (305, " \n")]
+    out += [(306, "Äb c"), (307, "äb c"), (None, prose(1, 60)), (3, prose(3, 60)), (None, "lone text here")]
+    random.Random(1).shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("small", [32, 1])
+def test_matches_all_pairs(frame, rows, monkeypatch, small):
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    sets, label = brute(rows)
+    groups = {}
+    for (i, _), own in zip(rows, label):
+        if i is not None:
+            groups[own] = min(i, groups.get(own, i))
+    want = sorted(
+        ((-1 if i is None else i), len(s), groups.get(own, -1))
+        for (i, _), s, own in zip(rows, sets, label)
+    )
+    got = near_duplicates(frame(*rows)).drop("label").toPandas()
+    assert (got["kept"] == (got["doc_id"].fillna(-1) == got["component_id"].fillna(-1))).all()
+    got = got.drop(columns="kept").fillna(-1).astype("int64")
+    assert sorted(got.itertuples(index=False, name=None)) == want
+
+
+def test_one_row_of_each_component_stays(spark, frame, rows, tmp_path):
+    path = str(tmp_path / "docs")
+    frame(*rows).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    sets, label = brute(rows)
+    got = representatives(docs)
+    assert got.columns == docs.columns
+    kept = got.toPandas()
+    filled = {own for own, s in zip(label, sets) if s}
+    assert len(kept) == len(filled) + sum(not s for s in sets)
+    smallest = {}
+    for (i, _), own, s in zip(rows, label, sets):
+        if s and i is not None:
+            smallest[own] = min(i, smallest.get(own, i))
+    ids = kept["doc_id"].dropna().tolist()
+    assert set(smallest.values()) <= set(ids)
+
+
+def test_early_stops_miss_rarely():
+    for n, m in least_matches():
+        assert 0 < m < 0.75 * n
+
+
+def test_empty(frame):
+    assert near_duplicates(frame()).count() == 0
+    assert near_duplicates(frame((1, None), (2, ""))).where("kept").count() == 2

@@ -1,0 +1,108 @@
+import itertools
+import random
+import zlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from sitelens.llm import packing
+from sitelens.llm.packing import best_fit_decreasing, bins_at_least, cut, pack_documents, repack
+from sitelens.llm.token_ids import WordEncoder, tokenizer_path
+
+
+def optimum(sizes, capacity):
+    """Fewest bins, by trying all ways."""
+    best = len(sizes)
+
+    def place(i, room):
+        nonlocal best
+        if len(room) >= best:
+            return
+        if i == len(sizes):
+            best = len(room)
+            return
+        for k in range(len(room)):
+            if room[k] >= sizes[i]:
+                room[k] -= sizes[i]
+                place(i + 1, room)
+                room[k] += sizes[i]
+        place(i + 1, [*room, capacity - sizes[i]])
+
+    place(0, [])
+    return best
+
+
+@given(st.lists(st.integers(1, 16), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_bound_is_below_and_packing_above_the_optimum(sizes):
+    sizes = np.array(sizes, "int64")
+    bins, offsets = best_fit_decreasing(sizes, 16)
+    used = len(set(bins))
+    best = optimum(list(sizes), 16)
+    assert bins_at_least(sizes, 16) <= best <= used <= best * 11 // 9 + 1
+    for b in set(bins):
+        own = sorted(zip(offsets[bins == b], sizes[bins == b]))
+        assert [o for o, _ in own] == list(itertools.accumulate([0, *(s for _, s in own)]))[:-1]
+        assert sum(s for _, s in own) <= 16
+
+
+def test_bound_sees_large_items():
+    assert bins_at_least(np.full(9, 600), 1024) == 9
+
+
+def test_cut():
+    ids = np.arange(2500, dtype="<u4").tobytes()
+    assert [x[1:4] for x in cut(1, ids, 1024)] == [(0, 0, 452), (1, 452, 1024), (2, 1476, 1024)]
+    assert [x[1:4] for x in cut(1, ids[: 4 * 2048], 1024)] == [(0, 0, 1024), (1, 1024, 1024)]
+    assert [x[1:4] for x in cut(1, ids[:4], 1024)] == [(0, 0, 1)]
+
+
+def test_every_token_is_placed_once(frame, prose):
+    rows = [(i, prose(i, random.Random(i).choice([3, 40, 300, 1200]))) for i in range(120)]
+    rows += [(500, None), (501, ""), (None, "a  b\n\nc"), (3, prose(3)), (3, prose(3))]
+    got = pack_documents(frame(*rows)).toPandas()
+    known = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    want = []
+    for i, text in rows:
+        ids = np.array([*known.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        want += [(-1 if i is None else i, *x[1:]) for x in cut(i, ids.tobytes(), 1024)]
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    have = got[columns].fillna(-1).astype("int64").itertuples(index=False, name=None)
+    assert sorted(have) == sorted(want)
+    for _, own in got.groupby("sequence_id"):
+        own = own.sort_values("offset")
+        assert list(own["offset"]) == list(own["length"].cumsum() - own["length"])
+        assert own["length"].sum() <= 1024
+    assert got["sequence_id"].nunique() <= bins_at_least(got["length"].to_numpy(), 1024) + 1
+
+
+def test_partitions_exchange_what_fills_badly(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PARTITION_ITEMS", 100)
+    draw = random.Random(4)
+    items = [(i, draw.choice([1000, 700, 511, 300, 24, 25, 333])) for i in range(900)]
+    got = repack(spark.createDataFrame(items, "item long, length int")).toPandas()
+    assert sorted(got["item"]) == list(range(900))
+    sizes = np.array([x for _, x in items])
+    at_once = len(set(best_fit_decreasing(sizes, 1024)[0]))
+    assert got["sequence_id"].nunique() <= 1.02 * at_once + 1
+    length = got["item"].map(dict(items))
+    assert length.groupby(got["sequence_id"]).sum().max() <= 1024
+
+
+def test_words_give_the_librarys_ids():
+    draw = random.Random(9)
+    parts = [" ", "  ", "\n", "a", "B", ".", ",", "é", "1", "'s", "\t", "İ", "́", "Σ", "<|", "|>"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 12))) for _ in range(1500)]
+    texts += ["<|endoftext|> a", "a <|endoftext|>", "x\0y z", "don't stop. Now,", "日本. 語,"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        known = Tokenizer.from_file(tokenizer_path(name))
+        own = WordEncoder(tokenizer_path(name)).ids(texts)
+        for text, ids in zip(texts, own, strict=True):
+            want = np.array(known.encode(text, add_special_tokens=False).ids, "<u4")
+            assert zlib.crc32(ids) == zlib.crc32(want.tobytes()), repr(text)
+
+
+def test_empty(frame):
+    assert pack_documents(frame()).count() == 0
