@@ -73,21 +73,28 @@ class Templates:
 
     def __init__(self):
         self.known: dict[str, int] = {}
-        self.hashes, self.kinds = [], []
+        self.hashes, self.kinds = np.zeros(1 << 12, "uint64"), np.zeros(1 << 12, "int8")
+
+    def _learn(self, tokens: set[str]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        n = len(self.known) + len(tokens)
+        if n > len(self.hashes):
+            self.hashes, self.kinds = (np.resize(x, 2 * n) for x in (self.hashes, self.kinds))
+        for token in tokens:
+            place = self.known[token] = len(self.known)
+            self.hashes[place] = xxhash.xxh3_64_intdigest(token.lower()) | 1
+            self.kinds[place] = _kind(token)
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Template tokens, and the value in each slot (0 where a token is none)."""
-        if len(self.known) > REMEMBERED:
-            self.__init__()
         found = _TOKEN.findall(text)
-        known = self.known
-        for token in set(found).difference(known):
-            known[token] = len(self.hashes)
-            self.hashes.append(xxhash.xxh3_64_intdigest(token.lower()) | 1)
-            self.kinds.append(_kind(token))
-        ids = np.fromiter(map(known.__getitem__, found), "int64", len(found))
-        kinds = np.array(self.kinds, "int8")[ids] if len(ids) else np.zeros(0, "int8")
-        value = np.array(self.hashes, "uint64")[ids] if len(ids) else np.zeros(0, "uint64")
+        distinct = set(found)
+        if new := distinct.difference(self.known):
+            # a memory that would overflow is emptied, and then all of the text's tokens are new
+            self._learn(new if len(self.known) <= REMEMBERED else distinct)
+        ids = np.fromiter(map(self.known.__getitem__, found), "int64", len(found))
+        kinds, value = self.kinds[ids], self.hashes[ids]
         starts = np.concatenate([[True], kinds[:-1] == _END])[: len(kinds)]
         kept = kinds != _END
         kinds, value, starts = kinds[kept], value[kept], starts[kept]
