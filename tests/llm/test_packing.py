@@ -86,7 +86,8 @@ def test_partitions_exchange_what_fills_badly(spark, monkeypatch):
     assert sorted(got["item"]) == list(range(900))
     sizes = np.array([x for _, x in items])
     at_once = len(set(best_fit_decreasing(sizes, 1024)[0]))
-    assert got["sequence_id"].nunique() <= 1.02 * at_once + 1
+    # what a partition keeps wastes less than one bin
+    assert got["sequence_id"].nunique() <= at_once + 9 + 1
     length = got["item"].map(dict(items))
     assert length.groupby(got["sequence_id"]).sum().max() <= 1024
 
