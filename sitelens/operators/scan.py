@@ -16,7 +16,7 @@ from sitelens.schemas import HITS, LOWER_BASES, STRAND_SCORES
 # Executors get the window scorer with the task, not as an installed module.
 cloudpickle.register_pickle_by_value(window_scores)
 
-# Motifs per pass over the fragments: at most 30 x 4 doubles each, so some 4 MB go to each task.
+# Motifs per pass over the fragments: at most 30 x 4 doubles each, so a broadcast holds some 4 MB.
 MOTIFS_PER_PASS = 4096
 # Fixed value: longest matrix that the flank of a fragment allows for.
 MAX_LENGTH = 30
@@ -35,52 +35,56 @@ _CANDIDATES = StructType(
 
 
 def pack_motifs(pwms: DataFrame, background=EVEN_BACKGROUND, smoothing: bool = True) -> DataFrame:
-    """One row per motif: ``llr`` row by row in A, C, G, T order.
+    """One row per motif: ``llr`` row by row in A, C, G, T order, with the counts to check it.
 
-    A matrix must have rows 0, 1, ... of four cells each, 30 at most; any other fails. Motifs that
-    cannot reach their threshold on any sequence are dropped then; 0 is always within reach, since
-    a window with an unknown base scores 0.
+    Motifs in order that cannot reach their threshold on any sequence are dropped; 0 is always
+    within reach, since a window with an unknown base scores 0. Others stay, to be refused.
     """
     cells = smooth(pwms) if smoothing else pwms
     odds = cells.withColumn("llr", log_odds(F.col("p"), F.col("b"), background))
     rows = odds.groupBy("pwmid", "threshold", "i").agg(
         F.array(*(F.max(F.when(F.col("b") == b, F.col("llr"))) for b in (1, 2, 3, 4))).alias("row"),
         F.max("llr").alias("top"),
-        (F.count("llr") - 4 * (F.count(F.lit(1)) == 4).cast("int")).alias("off"),
+        F.count(F.lit(1)).alias("n"),
     )
-    # rows beyond the limit are counted and then refused, so that a group's list stays small
-    kept = F.when(F.col("i").between(0, MAX_LENGTH - 1), F.struct("i", "row"))
+    # A matrix that is too long is cut one row after the limit, so that a group stays small and
+    # the check still sees that it is too long.
+    kept = F.when(F.col("i").between(0, MAX_LENGTH), F.struct("i", "row"))
     packed = rows.groupBy("pwmid", "threshold").agg(
         F.array_sort(F.collect_list(kept)).alias("rows"),
         F.count(F.lit(1)).alias("k"),
         F.max("i").alias("last"),
-        F.max(F.abs("off")).alias("off"),
+        F.sum("n").alias("n"),
         F.sum("top").alias("top"),
     )
-    motif = F.concat(F.lit("motif "), F.col("pwmid"))
-    llr = (
-        F.when(
-            F.greatest("k", F.col("last") + 1) > MAX_LENGTH,
-            F.raise_error(F.concat(motif, F.lit(" has "), "k", F.lit(f" rows, more than {MAX_LENGTH}"))),
-        )
-        .when(
-            (F.col("off") != 0) | (F.col("last") + 1 != F.col("k")) | F.col("threshold").isNull(),
-            F.raise_error(F.concat(motif, F.lit(" does not have four cells in each row, or no threshold"))),
-        )
-        .otherwise(F.flatten(F.col("rows.row")))
+    best = F.greatest("top", F.lit(0.0))
+    motifs = packed.select(
+        F.col("pwmid").cast("bigint"),
+        F.col("threshold").cast("double"),
+        "k",
+        "last",
+        "n",
+        (best >= F.col("threshold") - window_scores.SLACK).alias("reachable"),
+        F.flatten(F.col("rows.row")).alias("llr"),
     )
-    within_reach = F.greatest("top", F.lit(0.0)) >= F.col("threshold") - window_scores.SLACK
-    # the checked scores stand in the condition, so that no motif is dropped before its check
-    return (
-        packed.select(
-            F.col("pwmid").cast("bigint"),
-            F.col("threshold").cast("double"),
-            llr.alias("llr"),
-            "top",
-        )
-        .where((F.size("llr") >= 0) & within_reach)
-        .drop("top")
+    in_order = (
+        (F.col("n") == 4 * F.col("k"))
+        & (F.size("llr") == 4 * F.col("k"))
+        & (F.col("last") + 1 == F.col("k"))
+        & (F.col("k") <= MAX_LENGTH)
+        & ~F.exists("llr", lambda x: x.isNull())
     )
+    return motifs.where(F.coalesce("reachable", F.lit(True)) | ~in_order).drop("reachable")
+
+
+def _checked(motif) -> tuple[int, float, list[float]]:
+    if motif.k > MAX_LENGTH:
+        raise ValueError(f"motif {motif.pwmid} has {motif.k} rows, more than {MAX_LENGTH}")
+    if not motif.n == len(motif.llr) == 4 * motif.k or motif.last + 1 != motif.k or None in motif.llr:
+        raise ValueError(f"motif {motif.pwmid} does not have four cells in each row")
+    if motif.threshold is None or motif.threshold != motif.threshold:
+        raise ValueError(f"motif {motif.pwmid} has no threshold")
+    return motif.pwmid, motif.threshold, motif.llr
 
 
 def best_scores(tiles: DataFrame, motifs: DataFrame) -> DataFrame:
@@ -90,10 +94,11 @@ def best_scores(tiles: DataFrame, motifs: DataFrame) -> DataFrame:
     motifs than one block take more passes over the tiles.
     """
     found = tiles.sparkSession.createDataFrame([], _CANDIDATES)
-    packed = ((m.pwmid, m.threshold, m.llr) for m in motifs.toLocalIterator())
+    packed = map(_checked, motifs.toLocalIterator())
     for number, block in enumerate(batched(packed, MOTIFS_PER_PASS)):
+        shared = tiles.sparkSession.sparkContext.broadcast(block)
         scanned = tiles.mapInArrow(
-            window_scores.scan_batches(block, _CANDIDATES.names), _CANDIDATES
+            window_scores.scan_batches(shared, _CANDIDATES.names), _CANDIDATES
         )
         found = found.union(scanned) if number else scanned
     return found

@@ -1,6 +1,6 @@
 """Best window scores of positions, for one Arrow batch of fragment tiles at a time.
 
-This is the only Python inside Spark tasks. It reports, for every position that can possibly be a
+It is Python inside Spark tasks. It reports, for every position that can possibly be a
 hit, the best wild-type and substituted scores on both strands; which of them are hits is decided
 by Spark expressions afterwards. It is shipped by value, so executors need only numpy and pyarrow.
 """
@@ -20,6 +20,7 @@ FLOOR = -99999.0  # fixed value: score of a position whose windows are all impos
 IMPOSSIBLE = -1e6
 WORD = 6  # bases looked up at once
 BLOCK = 1 << 18  # bases worked on at once, so that the arrays stay in cache
+ROWS = 4096  # candidates that leave a task together
 SLACK = 1e-6  # rounding allowance when windows are filtered
 
 
@@ -139,10 +140,24 @@ def blocks(batch):
 
 
 def scan_batches(packed, schema):
-    """Function for ``mapInArrow``: tiles in, candidate positions with their scores out."""
+    """Function for ``mapInArrow``: tiles in, candidate positions with their scores out.
+
+    ``packed`` is a broadcast of the motifs. Batches of rare hits are put together.
+    """
 
     def run(batches):
-        motifs = [Motif(*m) for m in packed]
+        pending, held = [], 0
+        for found in candidates(batches):
+            pending.append(found)
+            held += len(found)
+            if held >= ROWS:
+                yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+                pending, held = [], 0
+        if pending:
+            yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+
+    def candidates(batches):
+        motifs = [Motif(*m) for m in packed.value]
         for batch in batches:
             for tiles, codes, begins, centre in blocks(batch):
                 chunk, start, offset = (

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sitelens.functions.sites import event_flags
-from sitelens.operators.scan import pack_motifs
+from sitelens.operators.scan import scan_motifs
 from sitelens.sources.hits import parse_hits
 from sitelens.sources.motif_info import read_motif_info
 from sitelens.sources.samples import parse_variants
@@ -66,10 +66,18 @@ def matrix(spark, rows, missing=()):
 
 
 def test_unreachable_matrix_is_checked_first(spark):
-    assert pack_motifs(matrix(spark, 30)).count() == 0
-    fails(pack_motifs(matrix(spark, 31)))
-    fails(pack_motifs(matrix(spark, 3, missing=[(1, 2)])))
-    fails(pack_motifs(matrix(spark, 3, missing=[(1, b) for b in (1, 2, 3, 4)])))
+    fragments = spark.createDataFrame(
+        [(1, 1, 0, "ACGT" * 30)], "chunk_id long, chromosome long, start long, seq string"
+    )
+    assert scan_motifs(fragments, matrix(spark, 30)).count() == 0
+    for bad in (
+        matrix(spark, 31),
+        matrix(spark, 3, missing=[(1, 2)]),
+        matrix(spark, 3, missing=[(1, b) for b in (1, 2, 3, 4)]),
+        matrix(spark, 3).withColumn("threshold", F.lit(None).cast("double")),
+    ):
+        with pytest.raises(ValueError):
+            scan_motifs(fragments, bad)
 
 
 def test_motif_lines(spark, tmp_path):
