@@ -422,13 +422,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component, with all its columns; rows with an empty set stay.
 
-    The row of the smallest id stays, of repeated rows one. ``docs`` has to come from files, so that
-    a row has the same place each time it is read.
+    The row of the smallest id stays, of repeated rows one. The numbered rows are written once, so
+    that nothing depends on ``docs`` being read twice in the same splits.
     """
     number = "_row"
     while number in docs.columns:
         number += "_"
-    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
     placed = _placed(numbered.select(F.col(number).alias("row"), "doc_id", "text"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     stays = stored(placed.groupBy("label").agg(first).select("label", "first.row"), "staying")

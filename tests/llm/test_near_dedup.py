@@ -83,6 +83,22 @@ def test_one_row_of_each_component_stays(spark, frame, rows, tmp_path):
     assert set(smallest.values()) <= set(ids)
 
 
+def test_rows_keep_their_numbers_when_splits_change(spark, frame, prose, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = [(i, prose(i, 60)) for i in range(24)] + [(100 + i, prose(i, 60)) for i in range(6)]
+    frame(*rows).repartition(6, "doc_id").write.parquet(path)
+    kept = representatives(spark.read.parquet(path))
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {x: spark.conf.get(x) for x in names}
+    try:
+        for x in names:  # a file for each split
+            spark.conf.set(x, "1b")
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(24))
+    finally:
+        for x, value in before.items():
+            spark.conf.set(x, value)
+
+
 def test_early_stops_miss_rarely():
     for n, m in least_matches():
         assert 0 < m < 0.75 * n
