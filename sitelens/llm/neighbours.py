@@ -5,12 +5,13 @@ whole numbers by the range of a sample, and become a place on a Hilbert curve. S
 range-partitions each curve by place, so every vector gets a rank there. Windows of ranks around
 each query are read, their vectors are compared exactly, and the windows' best are merged.
 
-Equal vectors are one entry of the index with its smallest ids, so a vector that a third of all rows
-share is neither a large window nor many candidates.
+Equal vectors are one numbered entry of the index with its smallest ids, so a vector that a third of
+all rows share is neither a large window nor many candidates.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component takes no
-part; vectors of other lengths are separate indexes; rows with equal ids are rows of their own, and
-a row without an id takes no part. Fewer candidates than asked for give fewer rows, an empty table
+part; vectors of other lengths are separate indexes; rows with equal ids are rows of their own, but
+no neighbours of each other, and ask once if their vectors are equal too; a row without an id takes
+no part. Fewer candidates than asked for give fewer rows, an empty table
 none.
 """
 
@@ -95,7 +96,7 @@ class Fitted:
 
 def _fit(entries: DataFrame) -> dict[int, Fitted]:
     """An index for each length of vector, from at most ``FIT_ROWS`` vectors of it."""
-    order = Window.partitionBy("dims").orderBy(F.xxhash64("entry"))
+    order = Window.partitionBy("dims").orderBy("entry")
     drawn = (
         entries.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= FIT_ROWS)
@@ -139,27 +140,66 @@ def _ranked(entries: DataFrame, fitted: dict[int, Fitted]) -> DataFrame:
     )
 
 
-def _scores(query: np.ndarray, others: np.ndarray) -> np.ndarray:
-    return (others @ query) / (np.sqrt(query @ query) * np.sqrt((others * others).sum(axis=1)))
-
-
 def _best(top: int):
     schema = "query long, entry long, score double"
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         vectors = np.array(part["embedding"].tolist(), dtype="float64")
-        entry, asks = part["entry"].to_numpy(), part["asks"].to_numpy()
+        vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+        entry, kin = part["entry"].to_numpy(), part["kin"].to_numpy()
         own = np.flatnonzero(part["holds"].to_numpy())
+        asking = np.flatnonzero(part["asks"].to_numpy())
+        alone = len(np.unique(kin[own])) == len(own)
         out = []
-        for i in np.flatnonzero(asks):
-            score = _scores(vectors[i], vectors[own]) if len(own) else np.zeros(0)
-            best = np.argsort(-score, kind="stable")[: top + 8]
+        for i in asking if len(own) else ():
+            score = vectors[own] @ vectors[i]
+            if alone:
+                some = np.argpartition(-score, 2 * top)[: 2 * top] if len(own) > 2 * top else slice(None)
+                best = np.arange(len(own))[some]
+            else:  # entries of one id alone, of which no query needs more than ``top``
+                best = np.argsort(-score, kind="stable")
+                best = best[(pd.Series(kin[own[best]]).groupby(kin[own[best]]).cumcount() < top).to_numpy()]
+                best = best[: 2 * top]
             out.append(pd.DataFrame({"query": entry[i], "entry": entry[own[best]], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "entry": [], "score": []})
 
     return compare, schema
 
 
+def _entries(rows: DataFrame) -> DataFrame:
+    """``entry, key, key2, embedding, dims, asks, kin``: a row for each class of equal vectors.
+
+    Entries are numbered in the order of their hashes. ``kin`` is shared by entries whose rows all
+    have the same one id.
+    """
+    same = ["key", "key2"]
+    one = F.when(F.col("low") == F.col("high"), F.xxhash64(F.lit(0), "low"))
+    classes = rows.groupBy(*same).agg(
+        F.first("embedding").alias("embedding"),
+        F.max("asked").alias("asks"),
+        F.min("vec_id").alias("low"),
+        F.max("vec_id").alias("high"),
+    )
+    classes = stored(
+        classes.select(
+            *same,
+            "embedding",
+            F.size("embedding").alias("dims"),
+            "asks",
+            F.coalesce(one, F.xxhash64(F.lit(1), *same)).alias("kin"),
+        ),
+        "classes",
+    )
+    ordered = classes.repartitionByRange(*same).sortWithinPartitions(*same)
+    return stored(ordered.withColumn("entry", F.monotonically_increasing_id()), "entry-vectors")
+
+
+def _at_most(rows: DataFrame, of: list[str], order: list, most: int) -> DataFrame:
+    """Of the rows that agree in ``of``, the first ``most``."""
+    place = F.row_number().over(Window.partitionBy(*of).orderBy(*order))
+    return rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
+
+
 def nearest(vectors: DataFrame, asked, top: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``top`` nearest found of every row where ``asked``.
 
@@ -174,26 +214,18 @@ def nearest(vectors: DataFrame, asked, top: int = 5) -> DataFrame:
     )
     rows = stored(rows, "vectors")
     same = ["key", "key2"]
-    smallest = Window.partitionBy(*same).orderBy("vec_id")
-    ids = (
-        rows.select("vec_id", *same)
-        .withColumn("place", F.row_number().over(smallest))
-        .where(F.col("place") <= top + 1)
-    )
-    asks = rows.groupBy(*same).agg(F.min("vec_id").alias("entry"), F.max("asked").alias("asks"))
-    named = stored(ids.join(asks, same).select("entry", "vec_id", "asks", "place"), "entries")
-    first = named.where("place = 1").select("entry", "vec_id", "asks")
-    entries = rows.join(first, "vec_id").select(
-        "entry", "embedding", F.size("embedding").alias("dims"), "asks"
-    )
-    entries = stored(entries.dropDuplicates(["entry"]), "entry-vectors")
+    entries = _entries(rows)
+    # a query passes over rows of its own id, so of one id ``top`` are enough, of all twice as many
+    ids = _at_most(rows.select("vec_id", *same), [*same, "vec_id"], ["vec_id"], top)
+    ids = _at_most(ids, same, ["vec_id"], 2 * top)
+    named = stored(ids.join(entries.select("entry", *same), same).select("entry", "vec_id"), "entries")
     ranked = stored(_ranked(entries, _fit(entries)), "ranks")
     window = F.floor(F.col("rank") / WINDOW)
     placed = ranked.withColumn("window", window).join(entries.drop("dims"), "entry")
     beside = F.explode(F.array(F.col("window") - 1, F.col("window"), F.col("window") + 1))
     held = placed.withColumn("holds", F.lit(True)).withColumn("asks", F.lit(False))
     asking = placed.where("asks").withColumn("window", beside).withColumn("holds", F.lit(False))
-    columns = ["dims", "curve", "window", "entry", "embedding", "asks", "holds"]
+    columns = ["dims", "curve", "window", "entry", "embedding", "kin", "asks", "holds"]
     compare, schema = _best(top)
     found = (
         held.select(*columns)
@@ -203,20 +235,15 @@ def nearest(vectors: DataFrame, asked, top: int = 5) -> DataFrame:
         .groupBy("query", "entry")
         .agg(F.max("score").alias("score"))
     )
-    listed = found.join(named.select("entry", "vec_id"), "entry")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    listed = stored(
-        listed.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= top + 1)
-        .select(F.col("query").alias("entry"), "vec_id", "score"),
-        "candidates",
-    )
-    queries = rows.where("asked").select(F.col("vec_id").alias("query_id"), *same)
-    queries = queries.join(asks.select(*same, "entry"), same).select("query_id", "entry")
-    own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    listed = found.join(named, "entry").select(F.col("query").alias("entry"), "vec_id", "score")
+    nearest_first = [F.desc("score"), "vec_id"]
+    listed = _at_most(listed, ["entry", "vec_id"], nearest_first, top)
+    listed = stored(_at_most(listed, ["entry"], nearest_first, 2 * top), "candidates")
+    queries = rows.where("asked").select(F.col("vec_id").alias("query_id"), *same).distinct()
+    queries = queries.join(entries.select(*same, "entry"), same).select("query_id", "entry")
+    own = Window.partitionBy("query_id", "entry").orderBy(*nearest_first)
     return (
-        queries.distinct()
-        .join(listed, "entry")
+        queries.join(listed, "entry")
         .where("vec_id != query_id")
         .withColumn("rank", F.row_number().over(own))
         .where(F.col("rank") <= top)

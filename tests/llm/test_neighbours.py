@@ -53,6 +53,17 @@ def test_equal_vectors_and_bad_ones(spark):
     assert [x[:3] for x in got] == [x[:3] for x in brute(good, lambda i: i % 50 == 0)]
 
 
+def test_equal_ids_with_other_vectors(spark):
+    draw = np.random.default_rng(5)
+    rows = [(i % 60, draw.normal(size=8).tolist()) for i in range(150)]
+    near = draw.normal(size=8)
+    rows += [(100, (near + 0.01 * draw.normal(size=8)).tolist()) for _ in range(14)]
+    rows += [(7, rows[0][1]), (8, rows[0][1])]
+    got, want = found(spark, rows), brute(rows, lambda i: i % 50 == 0)
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    assert np.allclose([x[3] for x in got], [x[3] for x in want])
+
+
 def test_few_candidates_and_other_lengths(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [1.0, 0.0, 0.0])]
     assert [x[:3] for x in found(spark, rows)] == [(0, 1, 1)]
