@@ -5,6 +5,9 @@ whole numbers by the range of a sample, and become a place on a Hilbert curve. S
 range-partitions each curve by place, so every vector gets a rank there. Windows of ranks around
 each query are read, their vectors are compared exactly, and the windows' best are merged.
 
+How many ranks are read is measured: some queries are compared with every vector, and windows are
+widened, then more of them read, until enough of the true nearest would have been met.
+
 Equal vectors are one numbered entry of the index with its smallest ids, so a vector that a third of
 all rows share is neither a large window nor many candidates.
 
@@ -26,8 +29,12 @@ from sitelens.llm.common import stored
 
 #: Curves, coordinates and bits of each curve.
 CURVES, AXES, BITS = 24, 8, 7
-#: Ranks in a window; a query reads its own window and the ones beside it.
-WINDOW = 1024
+#: Ranks in the narrowest and widest window; a query reads its own window and ones on both sides.
+WINDOW, WIDEST = 1024, 16_384
+#: Recall that a search must reach, two standard errors below what a sample of queries finds.
+RECALL = 0.9
+#: Queries, at most, of which the recall is measured.
+SAMPLE = 256
 #: Vectors at most that fit centre and widths of an index.
 FIT_ROWS = 4096
 
@@ -140,6 +147,87 @@ def _ranked(entries: DataFrame, fitted: dict[int, Fitted]) -> DataFrame:
     )
 
 
+def _true_nearest(entries: DataFrame, top: int) -> dict[int, dict[int, list[int]]]:
+    """Of each length of vector, some queries and their nearest entries among all."""
+    long = entries.groupBy("dims").count().where(F.col("count") > 2 * WINDOW).select("dims")
+    drawn = _at_most(entries.where("asks").join(F.broadcast(long), "dims"), ["dims"], ["entry"], SAMPLE)
+    drawn = drawn.select("dims", "entry", "embedding").toPandas()
+    if not len(drawn):
+        return {}
+    sample = {}
+    for dims, own in drawn.groupby("dims"):
+        vectors = np.array(own["embedding"].tolist(), dtype="float64")
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        sample[int(dims)] = own["entry"].to_numpy(), vectors
+    shared = entries.sparkSession.sparkContext.broadcast(sample)
+
+    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for dims, own in part.groupby("dims"):
+                if dims not in shared.value:
+                    continue
+                query, asked = shared.value[dims]
+                vectors = np.array(own["embedding"].tolist(), dtype="float64")
+                vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+                score, entry = asked @ vectors.T, own["entry"].to_numpy()
+                score[query[:, None] == entry] = -2
+                n = min(top, len(entry))
+                best = np.argpartition(-score, n - 1, axis=1)[:, :n]
+                yield pd.DataFrame(
+                    {
+                        "dims": dims,
+                        "query": np.repeat(query, n),
+                        "entry": entry[best].ravel(),
+                        "score": np.take_along_axis(score, best, 1).ravel(),
+                    }
+                )
+
+    found = entries.select("dims", "entry", "embedding").mapInPandas(
+        rows, "dims int, query long, entry long, score double"
+    )
+    best = _at_most(found.where("query != entry"), ["dims", "query"], [F.desc("score"), "entry"], top)
+    out: dict[int, dict[int, list[int]]] = {}
+    for x in best.collect():
+        out.setdefault(x["dims"], {}).setdefault(x["query"], []).append(x["entry"])
+    return out
+
+
+def _met(ranks: dict[int, np.ndarray], truth: dict[int, list[int]], width: int, reach: int) -> np.ndarray:
+    """Of each sampled query, the share of its nearest that windows on some curve hold."""
+    shares = []
+    for query, near in truth.items():
+        at = np.array([ranks[x] for x in near]) // width
+        shares.append((np.abs(at - ranks[query] // width) <= reach).any(axis=1).mean())
+    return np.array(shares)
+
+
+def widths(entries: DataFrame, ranked: DataFrame, top: int) -> dict[int, tuple[int, int, float]]:
+    """Of each length of vector: ranks in a window, windows read on each side, recall measured."""
+    out = {}
+    truth = _true_nearest(entries, top)
+    wanted = sorted({(d, x) for d, own in truth.items() for q, near in own.items() for x in (q, *near)})
+    if not wanted:
+        return out
+    few = entries.sparkSession.createDataFrame(wanted, "dims int, entry long")
+    found = ranked.join(F.broadcast(few), ["dims", "entry"]).toPandas()
+    counts = {x["dims"]: x["n"] for x in ranked.groupBy("dims").agg(F.max("rank").alias("n")).collect()}
+    for dims, own in found.groupby("dims"):
+        own = own.sort_values(["entry", "curve"])
+        ranks = {int(entry): part["rank"].to_numpy() for entry, part in own.groupby("entry")}
+        width, reach = WINDOW, 1
+        while True:
+            met = _met(ranks, truth[int(dims)], width, reach)
+            error = met.std() / np.sqrt(len(met))
+            if met.mean() - 2 * error >= RECALL or width * reach > counts[dims]:
+                break
+            if 2 * width <= WIDEST:
+                width *= 2
+            else:
+                reach *= 2
+        out[int(dims)] = width, reach, float(met.mean())
+    return out
+
+
 def _best(top: int):
     schema = "query long, entry long, score double"
 
@@ -220,9 +308,16 @@ def nearest(vectors: DataFrame, asked, top: int = 5) -> DataFrame:
     ids = _at_most(ids, same, ["vec_id"], 2 * top)
     named = stored(ids.join(entries.select("entry", *same), same).select("entry", "vec_id"), "entries")
     ranked = stored(_ranked(entries, _fit(entries)), "ranks")
-    window = F.floor(F.col("rank") / WINDOW)
-    placed = ranked.withColumn("window", window).join(entries.drop("dims"), "entry")
-    beside = F.explode(F.array(F.col("window") - 1, F.col("window"), F.col("window") + 1))
+    chosen = [(dims, *x[:2]) for dims, x in widths(entries, ranked, top).items()]
+    chosen = entries.sparkSession.createDataFrame(chosen, "dims int, width long, reach long")
+    width, reach = F.coalesce("width", F.lit(WINDOW)), F.coalesce("reach", F.lit(1))
+    placed = (
+        ranked.join(F.broadcast(chosen), "dims", "left")
+        .withColumn("window", F.floor(F.col("rank") / width))
+        .withColumn("reach", reach)
+        .join(entries.drop("dims"), "entry")
+    )
+    beside = F.explode(F.sequence(F.col("window") - F.col("reach"), F.col("window") + F.col("reach")))
     held = placed.withColumn("holds", F.lit(True)).withColumn("asks", F.lit(False))
     asking = placed.where("asks").withColumn("window", beside).withColumn("holds", F.lit(False))
     columns = ["dims", "curve", "window", "entry", "embedding", "kin", "asks", "holds"]

@@ -53,6 +53,19 @@ def test_equal_vectors_and_bad_ones(spark):
     assert [x[:3] for x in got] == [x[:3] for x in brute(good, lambda i: i % 50 == 0)]
 
 
+def test_recall_with_many_windows(spark, monkeypatch):
+    """Windows too small for the table are widened, up to ``WIDEST``, and then more are read."""
+    from sitelens.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "WINDOW", 8)
+    monkeypatch.setattr(neighbours, "WIDEST", 16, raising=False)
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.normal(size=64).tolist()) for i in range(4000)]
+    got, want = found(spark, rows), brute(rows, lambda i: i % 50 == 0)
+    hit = len({(q, i) for q, _, i, _ in got} & {(q, i) for q, _, i, _ in want})
+    assert hit >= 0.9 * len(want)
+
+
 def test_equal_ids_with_other_vectors(spark):
     draw = np.random.default_rng(5)
     rows = [(i % 60, draw.normal(size=8).tolist()) for i in range(150)]
