@@ -3,15 +3,18 @@
 Texts of documents and benchmark items become token sequences in which numbers, names and units are
 typed placeholders. Windows of such tokens are hashed and joined. Where windows of an item line up in
 a document, the item's slot values must go with the document's one to one; windows that break this
-do not count. A document that holds enough of an item's windows leaks it, either verbatim or with
-other slot values.
+do not count. A document that holds enough of an item's windows, or a long enough passage of it at one
+shift, leaks it, either verbatim or with other slot values.
 
 Tokens are runs of letters, lower-cased, and numbers with their points and commas. A number, also a
 small one in words, is a number slot. A unit right after a number is a unit slot. A capitalised word
-(not all capitals) that does not begin a sentence is a name slot; names in a row are one.
+(not all capitals) that does not begin a sentence is a name slot; names in a row are one. Case and
+punctuation decide on names, so short items are also compared blind to both, with numbers and units
+as the only slots; either way is enough.
 
 Defined results: null and empty texts leak nothing, nor do items without a token. An item shorter
-than a window is one window. Rows with equal ids are told apart by their texts. Benchmark rows
+than a window is one window: of a whole document as short, and, from ``LEAST`` tokens on, anywhere in
+a document. If more than three eighths of it are slots, its values must be the same there. Rows with equal ids are told apart by their texts. Benchmark rows
 without an id take no part. Empty tables give an empty result.
 """
 
@@ -31,6 +34,10 @@ from sitelens.llm.common import stored
 WINDOW, SLOTS = 8, 3
 #: Share of an item's windows that makes a leak.
 SHARE = 0.4
+#: Tokens in a row, at one shift, that make a leak.
+RUN = 16
+#: Tokens of the shortest item that is looked for inside longer documents.
+LEAST = 3
 #: Windows of a benchmark, 8 bytes each, up to which they are broadcast; more are joined.
 BROADCAST_WINDOWS = 2_000_000
 #: Leaking texts, 8 bytes each, up to which they are broadcast; more are joined.
@@ -54,6 +61,8 @@ _draw = np.random.default_rng(77)
 _PLACE = _draw.integers(0, 1 << 63, WINDOW, "uint64") * 2 + 1
 _SLOT = {k: np.uint64(x) for k, x in zip((_CAPITAL, _NUMBER, _UNIT), _draw.integers(1, 1 << 62, 3))}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+# Ways to compare: whole windows with names or blind to case, and short items in the same ways or by value.
+_NAMED, _BLIND, _SHORT_NAMED, _SHORT_BLIND, _SHORT_VALUES = range(5)
 _NUMBERS, _UNITS = set(NUMBER_WORDS), set(UNITS)
 
 
@@ -86,8 +95,8 @@ class Templates:
             self.hashes[place] = xxhash.xxh3_64_intdigest(token.lower()) | 1
             self.kinds[place] = _kind(token)
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Template tokens, and the value in each slot (0 where a token is none)."""
+    def tokens(self, text: str) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Template tokens, and the value in each slot (0 where a token is none): with names, and blind."""
         found = _TOKEN.findall(text)
         distinct = set(found)
         if new := distinct.difference(self.known):
@@ -102,35 +111,61 @@ class Templates:
         kinds = np.where((kinds == _CAPITAL) & starts, _PLAIN, kinds)
         kinds = np.where((kinds == _UNIT) & ~after_number, _PLAIN, kinds)
         name = (kinds == _CAPITAL) & ~starts
+        blind = _marked(np.where(name, _PLAIN, kinds), value)
+        if not name.any():
+            return blind, blind
         first = ~(name & np.concatenate([[False], name[:-1]])[: len(name)])
         at = np.flatnonzero(first)
         if len(at) < len(kinds):
             value = np.add.reduceat(value, at)
             kinds = kinds[at]
-        token = value.copy()
-        for kind, mark in _SLOT.items():
-            token[kinds == kind] = mark
-        return token, np.where(kinds == _PLAIN, np.uint64(0), value)
-
-    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, number of slots and slot values of the window at each place."""
-        token, slot = self.tokens(text)
-        short = max(0, WINDOW - len(token)) if len(token) else 0
-        if short:
-            token = np.concatenate([token, np.zeros(short, "uint64")])
-            slot = np.concatenate([slot, np.zeros(short, "uint64")])
-        n = max(0, len(token) - WINDOW + 1)
-        total = np.zeros(n, "uint64")
-        for i, by in enumerate(_PLACE):
-            total += token[i : i + n] * by
-        total = (total ^ (total >> np.uint64(32))) * _MIX
-        held = np.concatenate([[0], np.cumsum(slot != 0)])
-        slots = np.lib.stride_tricks.sliding_window_view(slot, WINDOW) if n else np.zeros((0, WINDOW))
-        return total ^ (total >> np.uint64(29)), held[WINDOW:][:n] - held[:n], slots
+        return _marked(kinds, value), blind
+
+    def windows(self, text: str, ways: list[tuple[int, int]]) -> Iterator[tuple]:
+        """Of each way and length: hash, number of slots and slot values of the window at each place."""
+        named, blind = self.tokens(text)
+        sums: dict[tuple, np.ndarray] = {}
+        for way, length in ways:
+            token, slot = named if way in (_NAMED, _SHORT_NAMED) else blind
+            if way == _SHORT_VALUES:
+                token, slot = np.where(slot != 0, slot, token), np.zeros_like(slot)
+            short = max(0, length - len(token)) if len(token) and length == WINDOW else 0
+            if short:
+                token = np.concatenate([token, np.zeros(short, "uint64")])
+                slot = np.concatenate([slot, np.zeros(short, "uint64")])
+            n = max(0, len(token) - length + 1)
+            same = (named is blind or way in (_NAMED, _SHORT_NAMED), way == _SHORT_VALUES, length)
+            if same not in sums:
+                total = np.zeros(n, "uint64")
+                for i, by in enumerate(_PLACE[:length]):
+                    total += token[i : i + n] * by
+                sums[same] = total
+            total = sums[same] + np.uint64(way * 16 + length) * _PLACE[-1]
+            total = (total ^ (total >> np.uint64(32))) * _MIX
+            held = np.concatenate([[0], np.cumsum(slot != 0)])
+            slots = np.lib.stride_tricks.sliding_window_view(slot, length) if n else np.zeros((0, length))
+            yield way, length, total ^ (total >> np.uint64(29)), held[length:][:n] - held[:n], slots
+
+
+def _marked(kinds: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    token = value.copy()
+    for kind, mark in _SLOT.items():
+        token[kinds == kind] = mark
+    return token, np.where(kinds == _PLAIN, np.uint64(0), value)
+
+
+def _ways(named: int, blind: int) -> list[tuple[int, int]]:
+    """The ways to look for an item of so many tokens, and the lengths of its windows."""
+    ways = [(_NAMED, WINDOW)]
+    if LEAST <= named < WINDOW:
+        ways.append((_SHORT_NAMED, named))
+    if LEAST <= blind < WINDOW:
+        ways += [(_SHORT_BLIND, blind), (_SHORT_VALUES, blind)]
+    return ways
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``window, item_id, item_at, item_slots, item_windows`` of each telling window of an item.
+    """``window, way, length, item_id, item_at, item_slots, item_windows`` of an item's telling windows.
 
     An item without a telling window has all its windows.
     """
@@ -139,27 +174,44 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         templates = Templates()
         for part in parts:
             for item, text in zip(part["item_id"], part["text"], strict=True):
-                window, held, slots = templates.windows(text)
-                at = np.flatnonzero(held <= SLOTS) if (held <= SLOTS).any() else np.arange(len(held))
-                if not len(at):
-                    continue
-                yield pd.DataFrame(
-                    {
-                        "window": window[at].view("int64"),
-                        "item_id": item,
-                        "item_at": at,
-                        "item_slots": [x.view("int64") for x in slots[at].astype("uint64")],
-                        "item_windows": len(np.unique(window[at])),
-                    }
-                )
+                sizes = (len(token) for token, _ in templates.tokens(text))
+                for way, length, window, held, slots in templates.windows(text, _ways(*sizes)):
+                    telling = held * WINDOW <= SLOTS * length
+                    if length < WINDOW and not telling.all():
+                        continue
+                    at = np.flatnonzero(telling) if telling.any() else np.arange(len(held))
+                    if not len(at):
+                        continue
+                    yield pd.DataFrame(
+                        {
+                            "window": window[at].view("int64"),
+                            "way": way,
+                            "length": length,
+                            "item_id": item,
+                            "item_at": at,
+                            "item_slots": [x.view("int64") for x in slots[at].astype("uint64")],
+                            "item_windows": len(np.unique(window[at])),
+                        }
+                    )
 
     rows_of = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), "text")
     return rows_of.where("item_id is not null and text is not null").mapInPandas(
-        rows, "window long, item_id long, item_at long, item_slots array<long>, item_windows long"
+        rows,
+        "window long, way int, length int, item_id long, item_at long, item_slots array<long>, "
+        "item_windows long",
     )
 
 
-def document_windows(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
+def _sieve(wanted: np.ndarray) -> np.ndarray:
+    """Low bits of what is wanted; most other windows need no search."""
+    sieve = np.zeros(1 << max(16, (16 * len(wanted)).bit_length()), "bool")
+    sieve[wanted & (len(sieve) - 1)] = True
+    return sieve
+
+
+def document_windows(
+    docs: DataFrame, wanted: np.ndarray | None, ways: list[tuple[int, int]]
+) -> DataFrame:
     """``doc_id, text_key, window, at, slots``: windows of documents, of those ``wanted`` if given."""
     schema = "doc_id long, text_key long, window long, at long, slots array<long>"
     fields = pa.schema(
@@ -170,17 +222,19 @@ def document_windows(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates, sought = Templates(), shared.value
+        sieve = None if sought is None else _sieve(sought)
         for part in parts:
             docs_, keys, out = part.column(0).to_pylist(), part.column(1).to_pylist(), []
             for doc, key, text in zip(docs_, keys, part.column(2).to_pylist(), strict=True):
-                window, _, slots = templates.windows(text or "")
-                window = window.view("int64")
-                at = np.arange(len(window))
-                if sought is not None:
-                    place = np.minimum(np.searchsorted(sought, window), len(sought) - 1)
-                    at = np.flatnonzero(sought[place] == window) if len(sought) else at[:0]
-                for i in at:
-                    out.append((doc, key, window[i], i, slots[i].view("int64")))
+                for _, _, window, _, slots in templates.windows(text or "", ways):
+                    window = window.view("int64")
+                    at = np.arange(len(window))
+                    if sought is not None:
+                        at = np.flatnonzero(sieve[window & (len(sieve) - 1)])
+                        place = np.minimum(np.searchsorted(sought, window[at]), len(sought) - 1)
+                        at = at[sought[place] == window[at]] if len(at) else at
+                    for i in at:
+                        out.append((doc, key, window[i], i, slots[i].view("int64")))
                 if len(out) > 50_000:
                     yield _batch(out, fields)
                     out = []
@@ -200,6 +254,18 @@ def _batch(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def _longest(places):
+    """Tokens in a row that windows at these places hold; a window begins where another ends, or before."""
+    start = F.struct(*(F.lit(0).cast("long").alias(x) for x in ("first", "next", "best")))
+
+    def step(state, at):
+        first = F.when((at > state["next"]) | (state["best"] == 0), at).otherwise(state["first"])
+        best = F.greatest(state["best"], at + WINDOW - first)
+        return F.struct(first.alias("first"), (at + WINDOW).alias("next"), best.alias("best"))
+
+    return F.aggregate(places, start, step, lambda state: state["best"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_key, item_id, windows, coverage, slots, changed, kind``: a row for each leak.
 
@@ -212,11 +278,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         wanted = np.unique(
             index.select("window").distinct().toPandas()["window"].to_numpy(dtype="int64")
         )
-    found = stored(
-        document_windows(docs.select("doc_id", "text"), wanted).join(index, "window"), "window-hits"
-    )
+    ways = sorted((x.way, x.length) for x in index.select("way", "length").distinct().collect())
+    found = document_windows(docs.select("doc_id", "text"), wanted, ways).join(index, "window")
+    found = stored(found, "window-hits")
     found = found.withColumn("shift", F.col("at") - F.col("item_at"))
-    own = ["doc_id", "text_key", "item_id", "shift"]
+    own = ["doc_id", "text_key", "item_id", "way", "shift"]
     pair = F.explode(F.arrays_zip("item_slots", "slots")).alias("pair")
     values = (
         found.select(*own, pair)
@@ -240,7 +306,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     null_safe = [F.col(f"a.{x}").eqNullSafe(F.col(f"b.{x}")) for x in own]
     windows = found.groupBy(*own).agg(
-        F.collect_set("window").alias("seen"), F.first("item_windows").alias("item_windows")
+        F.collect_set("window").alias("seen"),
+        F.first("item_windows").alias("item_windows"),
+        _longest(F.array_sort(F.collect_set("item_at"))).alias("run"),
     )
     passages = (
         windows.alias("a")
@@ -249,18 +317,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .where(F.col("broken") * 4 <= F.col("slots"))
     )
     seen = F.size(F.array_distinct(F.flatten(F.collect_list("seen"))))
+    columns = ["windows", "coverage", "slots", "changed"]
     return (
-        passages.groupBy("doc_id", "text_key", "item_id")
+        passages.groupBy("doc_id", "text_key", "item_id", "way")
         .agg(
             seen.cast("long").alias("windows"),
             F.first("item_windows").alias("item_windows"),
             F.max("slots").alias("slots"),
             F.min("changed").alias("changed"),
+            F.max("run").alias("run"),
         )
         .withColumn("coverage", F.col("windows") / F.col("item_windows"))
-        .where(F.col("coverage") >= SHARE)
+        .where((F.col("coverage") >= SHARE) | (F.col("run") >= RUN))
+        .groupBy("doc_id", "text_key", "item_id")
+        .agg(F.min(F.struct("way", *columns)).alias("leak"))
+        .select("doc_id", "text_key", "item_id", *(F.col(f"leak.{x}") for x in columns))
         .withColumn("kind", F.when(F.col("changed") > 0, "reparameterised").otherwise("verbatim"))
-        .select("doc_id", "text_key", "item_id", "windows", "coverage", "slots", "changed", "kind")
     )
 
 

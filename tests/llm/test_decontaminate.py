@@ -81,6 +81,20 @@ def test_short_item_is_one_window(spark, frame):
     assert set(found(frame((1, "so it begins here"), (2, "so it ends")), items(spark, (1, "So it begins here.")))) == {(1, 1)}
 
 
+def test_long_passage_and_short_items(spark, frame, prose):
+    long = prose(31, 200).lower()
+    bench = items(spark, (1, long), (2, "So it begins here."), (3, "Is 7 of 12?"), (4, "Yes."))
+    docs = frame(
+        (1, prose(32) + ". " + " ".join(long.split()[90:120]) + ". " + prose(33)),
+        (2, prose(34) + " and so it begins here, " + prose(35)),
+        (3, prose(36) + " so it begins " + prose(37)),
+        (4, prose(38) + ". Is 7 of 12? " + prose(39)),
+        (5, prose(40) + ". Is 8 of 13, yes? " + prose(41)),
+        (6, "yes"),
+    )
+    assert set(found(docs, bench)) == {(1, 1), (2, 2), (4, 3), (6, 4)}
+
+
 def test_stage_keeps_the_rest(spark, frame, prose):
     docs = frame((1, QUESTION), (2, prose(1)), (2, prose(1)), (3, None), (None, ""))
     got = uncontaminated(docs, items(spark, (1, QUESTION)))
