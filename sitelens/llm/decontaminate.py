@@ -9,8 +9,8 @@ shift, leaks it, either verbatim or with other slot values.
 Tokens are runs of letters, lower-cased, and numbers with their points and commas. A number, also a
 small one in words, is a number slot. A unit right after a number is a unit slot. A capitalised word
 (not all capitals) that does not begin a sentence is a name slot; names in a row are one. Case and
-punctuation decide on names, so short items are also compared blind to both, with numbers and units
-as the only slots; either way is enough.
+punctuation decide on names, so texts are also compared blind to both, with numbers and units as the
+only slots; either way is enough.
 
 Defined results: null and empty texts leak nothing, nor do items without a token. An item shorter
 than a window is one window: of a whole document as short, and, from ``LEAST`` tokens on, anywhere in
@@ -156,7 +156,7 @@ def _marked(kinds: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _ways(named: int, blind: int) -> list[tuple[int, int]]:
     """The ways to look for an item of so many tokens, and the lengths of its windows."""
-    ways = [(_NAMED, WINDOW)]
+    ways = [(_NAMED, WINDOW), (_BLIND, WINDOW)]
     if LEAST <= named < WINDOW:
         ways.append((_SHORT_NAMED, named))
     if LEAST <= blind < WINDOW:

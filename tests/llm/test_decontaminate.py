@@ -95,6 +95,20 @@ def test_long_passage_and_short_items(spark, frame, prose):
     assert set(found(docs, bench)) == {(1, 1), (2, 2), (4, 3), (6, 4)}
 
 
+def test_light_edits(spark, frame, prose):
+    import re
+
+    item = "The old mill stands by Mary Ann. Every wheel turns at dawn. Nobody knows why it is so."
+    bare = re.sub("[.]", "", item)
+    docs = frame(
+        (1, prose(1) + " " + bare + " " + prose(2)),
+        (2, prose(3) + ". " + item.title() + " " + prose(4)),
+        (3, prose(5) + ". " + item.upper() + " " + prose(6)),
+        (4, prose(7, 400)),
+    )
+    assert set(found(docs, items(spark, (1, item)))) == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_stage_keeps_the_rest(spark, frame, prose):
     docs = frame((1, QUESTION), (2, prose(1)), (2, prose(1)), (3, None), (None, ""))
     got = uncontaminated(docs, items(spark, (1, QUESTION)))
