@@ -9,6 +9,7 @@ from sitelens.llm.licenses import license_notices
 from sitelens.llm.near_dedup import near_duplicates
 from sitelens.llm.neighbours import nearest
 from sitelens.llm.packing import pack_documents
+from sitelens.llm.prefix_trie import prefix_tree
 from sitelens.llm.quality import quality_scores
 from sitelens.llm.rollups import maintained
 from sitelens.llm.sharding import sampled_splitters
@@ -59,6 +60,10 @@ def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintained(docs, labels, scratch_path(spark, "token-ledger"))
 
 
+def op12_z_fast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     registered = (
         op1_sampled_splitters,
@@ -71,12 +76,13 @@ def queries() -> dict:
         op8_simple8b_files,
         op9_license_paragraphs,
         op10_delta_rollups,
+        op12_z_fast_trie,
     )
     return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_bayesian_minhash": NEAR_DUPLICATES}
+    return {"op3_bayesian_minhash": NEAR_DUPLICATES, "op12_z_fast_trie": PREFIX_TREE}
 
 
 #: All pairs of shingle sets, and components by recursion; for small tables.
@@ -112,3 +118,45 @@ select x.doc_id, len(x.s)::bigint as n_shingles,
        coalesce(n.component, k.c, x.doc_id) = x.doc_id as kept
 from sets x left join classes k on k.s = list_sort(x.s) left join named n on n.node = k.c
 """
+
+#: Every prefix of every conversation as a list of its turns; crc32 by its eight steps a byte.
+PREFIX_TREE = r"""with own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id
+             order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null),
+ids as (
+  select conv_id, conv_id - conv_id % 5 as base,
+         list_reduce(
+           list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ord(c)::bigint)),
+           lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda s, i: case when s % 2 = 1 then xor(s // 2, 3988292384) else s // 2 end)) as crc
+  from own group by conv_id),
+heads as (select conv_id, base, xor(crc, 4294967295) % 9 as h from ids),
+turns as (
+  select h.conv_id, 0 as part, o.pos, o.role, o.text
+  from heads h join own o on o.conv_id = h.base and o.pos <= h.h
+  union all
+  select h.conv_id, 1, o.pos, o.role, o.text
+  from heads h join own o on o.conv_id = h.conv_id and o.pos > h.h),
+whole as (
+  select conv_id, list({'role': role, 'text': text} order by part, pos) as t from turns group by conv_id),
+seqs as (
+  select conv_id, case when t is null then [] else t end as t from heads left join whole using (conv_id)),
+prefixes as (select conv_id, t, d, t[1:d] as p from (select *, unnest(range(0, len(t) + 1)) as d from seqs)),
+nodes as (
+  select p, d, min(conv_id) as conv_id, count(*) as n,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(t) = d), '')) as ends
+  from prefixes group by p, d),
+kids as (select p[1:d - 1] as p, count(*) as k from nodes where d > 0 group by 1),
+weighed as (
+  select x.*, coalesce(k, 0) as k, case when d = 0 then 0 else (n - 1) * strlen(x.p[d].text) end as w
+  from nodes x left join kids using (p)),
+below as (
+  select p[1:up] as p, sum((k = 0)::int) as leaves, sum(w) as saved
+  from (select *, unnest(range(0, d + 1)) as up from weighed) group by 1)
+select w.conv_id, w.d::bigint as depth, u.conv_id as parent_conv_id, w.n::bigint as n_convs,
+       w.k::bigint as n_children, b.leaves::bigint as n_leaves, b.saved::bigint as saved_tokens,
+       w.ends as ends_sha256
+from weighed w join below b using (p) left join nodes u on w.d > 0 and u.p = w.p[1:w.d - 1]
+"""
