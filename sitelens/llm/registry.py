@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.llm.common import table
+from sitelens.llm.cross_align import alignment
 from sitelens.llm.decontaminate import leaks
 from sitelens.llm.licenses import license_notices
 from sitelens.llm.near_dedup import near_duplicates
@@ -64,6 +65,10 @@ def op12_z_fast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tree(table(spark, sf_dir, "conversations"))
 
 
+def op13_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     registered = (
         op1_sampled_splitters,
@@ -77,6 +82,7 @@ def queries() -> dict:
         op9_license_paragraphs,
         op10_delta_rollups,
         op12_z_fast_trie,
+        op13_shared_cuts,
     )
     return {f.__name__: f for f in registered}
 
