@@ -11,6 +11,7 @@ from sitelens.llm.near_dedup import near_duplicates
 from sitelens.llm.neighbours import nearest
 from sitelens.llm.packing import pack_documents
 from sitelens.llm.prefix_trie import prefix_tree
+from sitelens.llm.private_data import personal_data
 from sitelens.llm.quality import quality_scores
 from sitelens.llm.rollups import maintained
 from sitelens.llm.sharding import sampled_splitters
@@ -61,6 +62,10 @@ def op10_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintained(docs, labels, scratch_path(spark, "token-ledger"))
 
 
+def op11_contextual_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op12_z_fast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tree(table(spark, sf_dir, "conversations"))
 
@@ -81,6 +86,7 @@ def queries() -> dict:
         op8_simple8b_files,
         op9_license_paragraphs,
         op10_delta_rollups,
+        op11_contextual_identifiers,
         op12_z_fast_trie,
         op13_shared_cuts,
     )
