@@ -5,7 +5,9 @@ vocabulary (B, which adds the blank itself). A shared cut is a byte offset where
 An interval of both token runs is divided at the shared cut nearest its middle: ends of A around the
 middle are looked up among the ends of B by bisection, in windows that widen until one is found. Both
 halves are divided again; an interval without a cut inside is a group. All intervals of a run of
-texts take a step together, so a step is a few array operations.
+texts take a step together, so a step is a few array operations. Blanks and line ends between words
+are shared cuts of any text, so a word is divided once and its groups are used wherever it occurs;
+texts where such a cut is not certain (runs of white space) are divided as a whole.
 
 A link is a pair of an A and a B token that end together. Counts of id pairs are needed over all
 texts, so texts are cut and divided once: tasks write their links as numbers of a dictionary of their
@@ -19,7 +21,12 @@ result. Other columns are ignored, whatever their names.
 """
 
 import hashlib
+import os
+import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +35,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.llm.common import stored
-from sitelens.llm.token_ids import WordEncoder, batches, tokenizer_path
+from sitelens.llm.token_ids import batches, tokenizer_path
 
 #: Pairs in a dictionary, at most (and one run of texts more); then a task begins another.
 DICTIONARY = 1 << 19
+#: Words that a task remembers; then it starts anew. Bounds memory only.
+REMEMBERED = 700_000
 #: Characters of a run of texts, about.
 RUN = 2_000_000
 
@@ -108,26 +117,18 @@ def shared_cuts(ends_a, ends_b, a_from, a_to, b_from, b_to) -> tuple[np.ndarray,
     return ends[0], ends[1]
 
 
-class _Led(WordEncoder):
-    """Ids of texts that begin with a blank, whose first word is remembered like any other."""
-
-    def _cut(self, text):
-        return text[1:].replace("\n", " \n").split(" ")
-
-    def _certain(self, word):
-        return "\0" not in word and super()._certain(word)
-
-
 class Pair:
     """Both vocabularies: ids, and the bytes of each token."""
 
     def __init__(self, path_a: str, path_b: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
+        from tokenizers import Tokenizer
 
-        self.a, self.b = _Led(path_a), SentencePieceProcessor(model_file=path_b)
-        self.a.tokenizer.encode_special_tokens = True
+        self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
+        self.a.encode_special_tokens = True
         letters = _byte_letters()
-        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=True)
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else b""
@@ -147,21 +148,35 @@ class Pair:
         self.text += [f"{i}{x}" for i in range(len(self.bytes_b)) for x in ",;"]
         self.from_b = 2 * len(self.bytes_a)
 
-    def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both for each text; none where either's tokens are not its bytes."""
-        led = [" " + x if x else "" for x in texts]
-        found_a = [np.frombuffer(x, dtype="<u4") for x in self.a.ids(led)]
-        found_b = self.b.encode(texts, num_threads=1)
-        none, out_a, out_b = np.zeros(0, dtype=np.int64), [], []
-        for text, a, b in zip(led, found_a, found_b, strict=True):
+        # no piece of B goes on after a blank or a line's end, so both end a token before either
+        joints = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.cuts_at_blanks = not any(re.search("[^▁]▁|\n", x) for x in joints)
+        self.lead = self.b.piece_to_id("▁")
+        self.cuts_before_stops = not any(re.search("[A-Za-z][.,]", x) for x in joints)
+        self.stops = (
+            [x.ids for x in self.a.encode_batch_fast([".", ","], add_special_tokens=False)],
+            [[self.b.piece_to_id(x)] for x in ".,"],
+        )
+
+    def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both for each text, led by a blank unless a line's end comes first; none where
+        either's tokens are not its bytes."""
+        return self._same([" " + x if x else "" for x in texts], self.b.encode(texts, num_threads=1))
+
+    def word_ids(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """As ``ids``, of words: those with a line's end before them have no blank."""
+        found = self.b.encode(words, num_threads=1)
+        found = [x[1:] if w[0] == "\n" and x[:1] == [self.lead] else x for w, x in zip(words, found, strict=True)]
+        return self._same([w if w[0] == "\n" else " " + w for w in words], found)
+
+    def _same(self, led: list[str], found_b: list[list[int]]) -> tuple[list[list[int]], list[list[int]]]:
+        found_a = [x.ids for x in self.a.encode_batch_fast(led, add_special_tokens=False)]
+        for i, (text, a, b) in enumerate(zip(led, found_a, found_b, strict=True)):
             whole = text.encode()
-            same = bool(whole) and all(
-                b"".join(map(table.__getitem__, ids)) == whole
-                for table, ids in ((self.bytes_a, a.tolist()), (self.bytes_b, b))
-            )
-            out_a.append(a.astype(np.int64) if same else none)
-            out_b.append(np.array(b, dtype=np.int64) if same else none)
-        return out_a, out_b
+            for table, ids in ((self.bytes_a, a), (self.bytes_b, b)):
+                if b"".join(map(table.__getitem__, ids)) != whole:
+                    found_a[i], found_b[i] = [], []
+        return found_a, found_b
 
 
 def _byte_letters() -> dict[str, int]:
@@ -179,82 +194,173 @@ def pair(path_a: str, path_b: str) -> Pair:
     return _ENCODERS[path_a, path_b]
 
 
-def aligned(both: Pair, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each text its ids of A and of B, and the last tokens of its groups in either."""
-    ids_a, ids_b = both.ids(texts)
+class Divided(NamedTuple):
+    """Texts one after the other: their ids, and the last tokens of all groups in either run. Text
+    ``i`` ends before A token ``to_a[i]``, B token ``to_b[i]`` and group ``groups[i]``."""
+
+    a: np.ndarray
+    b: np.ndarray
+    last_a: np.ndarray
+    last_b: np.ndarray
+    to_a: np.ndarray
+    to_b: np.ndarray
+    groups: np.ndarray
+
+
+def divided(both: Pair, ids_a: list[list[int]], ids_b: list[list[int]]) -> Divided:
+    """The groups of texts, each given by its ids of A and of B (of both, or of neither)."""
     n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b))
+    a, b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64) for ids in (ids_a, ids_b))
     to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
-    ends_a = np.cumsum(both.size_a[np.concatenate(ids_a)])
-    ends_b = np.cumsum(both.size_b[np.concatenate(ids_b)])
+    ends_a, ends_b = np.cumsum(both.size_a[a]), np.cumsum(both.size_b[b])
     full = n_a > 0
     last_a, last_b = shared_cuts(
         ends_a, ends_b, (to_a - n_a)[full], to_a[full], (to_b - n_b)[full], to_b[full]
     )
-    groups = np.searchsorted(last_a, to_a)
-    out, start = [], 0
-    for i, stop in enumerate(groups):
-        out.append(
-            (ids_a[i], ids_b[i], last_a[start:stop] - (to_a[i] - n_a[i]), last_b[start:stop] - (to_b[i] - n_b[i]))
-        )
+    return Divided(a, b, last_a, last_b, to_a, to_b, np.searchsorted(last_a, to_a))
+
+
+def groups_texts(both: Pair, x: Divided) -> list[str]:
+    """Of each text ``a1,a2|b1;a3|b2,b3``: decimal ids, group by group."""
+    per_a, per_b = np.diff(x.last_a, prepend=-1), np.diff(x.last_b, prepend=-1)
+    order = np.empty(len(x.a) + len(x.b), dtype=np.int64)
+    marked = 2 * x.a
+    marked[x.last_a] += 1
+    order[np.arange(len(x.a)) + np.repeat(x.last_b + 1 - per_b, per_a)] = marked
+    marked = both.from_b + 2 * x.b
+    marked[x.last_b] += 1
+    order[np.arange(len(x.b)) + np.repeat(x.last_a + 1, per_b)] = marked
+    said, out, start = list(map(both.text.__getitem__, order.tolist())), [], 0
+    for stop in (x.to_a + x.to_b).tolist():
+        out.append("".join(said[start:stop])[:-1])
         start = stop
     return out
 
 
-def groups_text(both: Pair, a, b, last_a, last_b) -> str:
-    """``a1,a2|b1;a3|b2,b3``: decimal ids, group by group."""
-    if not len(last_a):
-        return ""
-    per_a, per_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
-    order = np.empty(len(a) + len(b), dtype=np.int64)
-    marked = 2 * a
-    marked[last_a] += 1
-    order[np.arange(len(a)) + np.repeat(last_b + 1 - per_b, per_a)] = marked
-    marked = both.from_b + 2 * b
-    marked[last_b] += 1
-    order[np.arange(len(b)) + np.repeat(last_a + 1, per_b)] = marked
-    return "".join(map(both.text.__getitem__, order.tolist()))[:-1]
-
+class _Task:
+    """What a task keeps: words with their groups and links, and the numbers of pairs.
 
-class _Dictionary:
-    """Numbers of the pairs that a task has met, in order of their first run."""
+    Both vocabularies end a token before a blank and before a line's end, so those are shared cuts
+    in any text, and what lies between two of them is divided once for all its occurrences.
+    """
 
-    def __init__(self, number: int):
-        self.number = number
+    def __init__(self, both: Pair, number: int):
+        self.both, self.number = both, number
         self.pairs = np.zeros(0, dtype=np.int64)  # sorted
         self.codes = np.zeros(0, dtype=np.int64)
         self.times = np.zeros(0, dtype=np.int64)  # by number
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.said: list[str] = []
+        self.links: list[bytes] = []
+        self.n_a, self.n_b = array("q"), array("q")
 
-    def add(self, pairs: np.ndarray) -> np.ndarray:
-        found, inverse, times = np.unique(pairs, return_inverse=True, return_counts=True)
+    def _code(self, pairs: np.ndarray) -> np.ndarray:
+        found, inverse = np.unique(pairs, return_inverse=True)
         place = np.searchsorted(self.pairs, found)
         known = place < len(self.pairs)
         known[known] = self.pairs[place[known]] == found[known]
         codes = np.empty(len(found), dtype=np.int64)
         codes[known] = self.codes[place[known]]
-        # the frequent ones first, for small numbers
-        new = np.flatnonzero(~known)
-        new = new[np.argsort(-times[new], kind="stable")]
-        codes[new] = len(self.times) + np.arange(len(new))
-        self.times = np.concatenate([self.times, np.zeros(len(new), dtype=np.int64)])
-        self.times[codes] += times
+        codes[~known] = len(self.times) + np.arange((~known).sum())
+        self.times = np.concatenate([self.times, np.zeros((~known).sum(), dtype=np.int64)])
         self.pairs = np.insert(self.pairs, place[~known], found[~known])
         self.codes = np.insert(self.codes, place[~known], codes[~known])
         return codes[inverse]
 
+    def _keep(self, ids_a: list, ids_b: list) -> list[tuple[str, bytes, int, int]]:
+        """Text of the groups, numbers of the links, and tokens of either."""
+        found = divided(self.both, ids_a, ids_b)
+        codes = self._code((found.a[found.last_a] << 32) | found.b[found.last_b])
+        codes, at, out = codes.astype("<u4").tobytes(), 0, []
+        ends = (4 * found.groups).tolist()
+        for said, stop, a, b in zip(groups_texts(self.both, found), ends, ids_a, ids_b, strict=True):
+            out.append((said, codes[at:stop], len(a), len(b)))
+            at = stop
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        self.words.update(dict.fromkeys(words, -1))
+        sure = {w for w in words if _certain(w)}
+        # a full stop or comma after a letter, at a word's end, is a group of its own in the same way
+        ended = {w for w in sure if self.both.cuts_before_stops and re.search("[A-Za-z][.,]$", w)}
+        bare = {w[:-1] for w in ended} | (sure - ended)
+        bare = [w for w in bare if self.words.get(w, -1) < 0]
+        found = self._keep(*self.both.word_ids(bare))
+        for word, (said, links, n_a, n_b) in zip(bare, found, strict=True):
+            if n_a:
+                self._add(word, said, links, n_a, n_b)
+        if ended:
+            stops = dict(zip(".,", self._keep(*self.both.stops), strict=True))
+            for word in ended:
+                if (at := self.words[word[:-1]]) >= 0:
+                    said, links, n_a, n_b = stops[word[-1]]
+                    parts = f"{self.said[at]};{said}", self.links[at] + links
+                    self._add(word, *parts, self.n_a[at] + n_a, self.n_b[at] + n_b)
+
+    def _add(self, word: str, said: str, links: bytes, n_a: int, n_b: int) -> None:
+        self.words[word] = len(self.said)
+        self.said.append(said)
+        self.links.append(links)
+        self.n_a.append(n_a)
+        self.n_b.append(n_b)
+
+    def run(self, ids: list, texts: list[str]) -> dict:
+        """The row of a run of texts."""
+        if len(self.words) > REMEMBERED:
+            self._forget()
+        cut = [x.replace("\n", " \n").split(" ") if x else [] for x in texts]
+        if not self.both.cuts_at_blanks:
+            cut = [["", ""] if x else [] for x in texts]
+        if new := set().union(*cut) - self.words.keys():
+            self._learn(new)
+        n_a, n_b = np.frombuffer(self.n_a, dtype=np.int64), np.frombuffer(self.n_b, dtype=np.int64)
+        out, whole = [], []
+        for i, own in enumerate(cut):
+            places = list(map(self.words.__getitem__, own))
+            if -1 in places:
+                whole.append(i)
+                out.append(None)
+            else:
+                said = ";".join(map(self.said.__getitem__, places))
+                out.append((said, b"".join(map(self.links.__getitem__, places)), int(n_a[places].sum()), int(n_b[places].sum())))
+        if whole:
+            for i, found in zip(whole, self._keep(*self.both.ids([texts[i] for i in whole])), strict=True):
+                out[i] = found
+        codes = b"".join(x[1] for x in out)
+        self.times += np.bincount(np.frombuffer(codes, dtype="<u4"), minlength=len(self.times))
+        return {
+            "dictionary": self.number,
+            "doc_id": ids,
+            "n_a": [x[2] for x in out],
+            "n_b": [x[3] for x in out],
+            "n_groups": [len(x[1]) // 4 for x in out],
+            "groups_sha256": [hashlib.sha256(x[0].encode()).hexdigest() if x[0] else "" for x in out],
+            "codes": _planes(codes),
+        }
+
     def row(self) -> pa.RecordBatch:
         by_number = np.argsort(self.codes)
         row = {"dictionary": self.number, "pairs": self.pairs[by_number], "times": self.times}
         return _rows([row])
 
 
+def _certain(word: str) -> bool:
+    """Whether a word's tokens do not depend on what stands beside it."""
+    inner = word[1:] if word[:1] == "\n" else word
+    return bool(inner) and not (inner[0].isspace() or inner[-1].isspace())
+
+
 def _rows(rows: list[dict]) -> pa.RecordBatch:
     columns = [pa.array([r.get(f.name) for r in rows], type=f.type) for f in _LINKED]
     return pa.RecordBatch.from_arrays(columns, schema=_LINKED)
 
 
-def _planes(codes: np.ndarray) -> bytes:
+def _planes(numbers: bytes) -> bytes:
     """32-bit numbers, their lowest bytes first, then the next: high ones are mostly zero."""
-    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return np.frombuffer(numbers, dtype=np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _numbers(planes: bytes) -> np.ndarray:
@@ -267,28 +373,16 @@ def linked_runs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(path_a, path_b)
         base, used = TaskContext.get().partitionId() << 32, 0
-        own = _Dictionary(base)
+        own = _Task(both, base)
         for part in parts:
             ids, at = part.column(0).to_pylist(), 0
             for texts in batches([x or "" for x in part.column(1).to_pylist()], RUN):
-                found = aligned(both, texts)
-                pairs = np.concatenate([(a[x] << 32) | b[y] for a, b, x, y in found])
-                said = (groups_text(both, *x) for x in found)
-                row = {
-                    "dictionary": own.number,
-                    "doc_id": ids[at : at + len(texts)],
-                    "n_a": [len(x[0]) for x in found],
-                    "n_b": [len(x[1]) for x in found],
-                    "n_groups": [len(x[2]) for x in found],
-                    "groups_sha256": [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in said],
-                    "codes": _planes(own.add(pairs)),
-                }
+                yield _rows([own.run(ids[at : at + len(texts)], texts)])
                 at += len(texts)
-                yield _rows([row])
                 if len(own.times) >= DICTIONARY:
                     yield own.row()
                     used += 1
-                    own = _Dictionary(base + used)
+                    own = _Task(both, base + used)
         yield own.row()
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))

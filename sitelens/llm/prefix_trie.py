@@ -192,17 +192,18 @@ def locate(nodes: DataFrame, paths: DataFrame, keys: DataFrame, longest: int) ->
         *(zero.alias(c) for c in ("e1", "e2", "edge_rep")),
     )
     for done, level in enumerate(reversed(range(longest.bit_length())), 1):
-        probes = paths.where(_level(F.col("d"), level)).select("rep", "d", *_SIGN)
-        asked = probes.join(state.select("rep", "low", "high"), "rep").where("d > low and d <= high")
+        probes = paths.where(_level(F.col("d"), level)).select(
+            F.col("rep").alias("asked"), "d", *_SIGN
+        )
+        # one prefix at most: the range holds one multiple of this power
+        here = (F.col("rep") == F.col("asked")) & (F.col("d") > F.col("low")) & (F.col("d") <= F.col("high"))
+        asked = state.join(probes, here, "left")
         handles = nodes.where(_level(F.col("handle"), level)).select(
             F.col("handle").alias("d"), F.col("h1").alias("s1"), F.col("h2").alias("s2"),
             F.col("depth").alias("hit"), F.col("parent").alias("hit_parent"),
             F.col("s1").alias("hit1"), F.col("s2").alias("hit2"), F.col("rep").alias("hit_rep"),
         )
-        answers = asked.join(handles, ["d", *_SIGN], "left").select(
-            "rep", "d", "hit", "hit_parent", "hit1", "hit2", "hit_rep"
-        )
-        state = state.join(answers, "rep", "left").selectExpr(
+        state = asked.join(handles, ["d", *_SIGN], "left").selectExpr(
             "rep",
             "length",
             "coalesce(hit, low) as low",

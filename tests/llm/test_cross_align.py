@@ -135,5 +135,15 @@ def test_ids_are_the_libraries(text):
     plain = Tokenizer.from_file(A)
     plain.encode_special_tokens = True
     (a,), (b,) = both.ids([text])
-    assert a.tolist() == plain.encode(" " + text, add_special_tokens=False).ids
-    assert b.tolist() == both.b.encode(text)
+    assert a == plain.encode(" " + text, add_special_tokens=False).ids
+    assert b == both.b.encode(text)
+
+
+def test_words_are_divided_as_whole_texts_are(prose):
+    both = Pair(A, B)
+    texts = [x or "" for x in ODD] + [prose(i, 300) for i in range(5)] + ["a\nb c\n d", "x\n", "\n", "a,b. c's"]
+    task = cross_align._Task(both, 0)
+    row = task.run(list(range(len(texts))), texts)
+    whole = cross_align.groups_texts(both, cross_align.divided(both, *both.ids(texts)))
+    assert row["groups_sha256"] == [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in whole]
+    assert sum(task.times) == sum(row["n_groups"])
