@@ -3,12 +3,25 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.operators.sizing import is_small, profile, sized_join_side, within
+from sitelens.operators.sizing import (
+    Profile,
+    bins_between,
+    bounds,
+    broadcast_bound,
+    is_small,
+    level_of,
+    profile,
+    row_size,
+    sized_join_side,
+)
 
 # Numbers of one block of an exploded range.
 _BLOCK_BITS = 16
-# Least width of the cells that sites are reduced by before a large sample is joined.
-_CELL_BITS = 12
+# Cells by which sites are thinned before a large sample is joined: the least width, the widths
+# that are measured above it, and the cells of one word of a bitmap.
+_CELL_BITS = 8
+_COARSER = (0, 3, 6, 9, 12, 15, 18, 20)
+_WORD_BITS = 6
 
 
 def bin_of(position: Column, bin_bits: int) -> Column:
@@ -45,19 +58,75 @@ def explode_intervals(intervals: DataFrame) -> DataFrame:
     return rows.select(*kept, "mutation_pos")
 
 
-def near_cells(sites: DataFrame, cells: DataFrame, place: Column) -> DataFrame:
-    """Sites in any of the sample's ``cells`` (``chromosome, _cell``), before any of them moves.
+def cell_words(sample: DataFrame, measured: Profile) -> tuple[DataFrame, int] | None:
+    """The sample's cells as bitmaps ``chromosome, _word, _bits``, and the cells' width.
 
-    Only where the distinct cells were measured to fit a broadcast; else the sites come back whole.
+    ``sample`` holds ``chromosome, start, stop``. The finest width is taken whose words were measured
+    to fit a broadcast; a word has 64 cells, so even a sample that covers a genome needs few. None
+    if not even one word a chromosome fits.
     """
-    cells = cells.select("chromosome", "_cell").distinct()
-    if not is_small(cells):
+    finest = _CELL_BITS
+    while measured.span >> (finest + _WORD_BITS) > 4 * measured.rows + (1 << 20):
+        finest += 1
+    first, last = bins_between(F.col("start"), F.col("stop"), finest + _WORD_BITS)
+    words = explode_range(sample.select("chromosome", "start", "stop"), "_word", first, last)
+    counts = words.agg(
+        *(
+            F.count_distinct("chromosome", F.shiftright("_word", n)).alias(f"n{n}") for n in _COARSER
+        )
+    ).first()
+    bound = broadcast_bound(sample.sparkSession)
+    fits = [n for n in _COARSER if counts[f"n{n}"] * row_size(3) <= bound]
+    if not fits:
+        return None
+    bits = finest + fits[0]
+    first, last = bins_between(F.col("start"), F.col("stop"), bits + _WORD_BITS)
+    words = explode_range(sample.select("chromosome", "start", "stop"), "_word", first, last)
+    zero = F.shiftleft("_word", _WORD_BITS)
+    low = F.greatest(bin_of(F.col("start"), bits) - zero, F.lit(0))
+    high = F.least(bin_of(F.col("stop"), bits) - zero, F.lit(63))
+    # ones from bit ``low`` to bit ``high``
+    ones = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), (63 - high + low).cast("int"))
+    mask = F.call_function("shiftleft", ones, low.cast("int"))
+    return words.groupBy("chromosome", "_word").agg(F.bit_or(mask).alias("_bits")), bits
+
+
+def thinned(sites: DataFrame, sample: DataFrame, measured: Profile) -> DataFrame:
+    """Sites in a cell that the sample touches, before any of them moves."""
+    found = cell_words(sample, measured)
+    if found is None:
         return sites
-    return (
-        sites.withColumn("_cell", place)
-        .join(F.broadcast(cells), ["chromosome", "_cell"], "left_semi")
-        .select(*sites.columns)
-    )
+    words, bits = found
+    cell = bin_of(F.col("mutation_pos"), bits)
+    marked = sites.withColumns({"_cell": cell, "_word": F.shiftright(cell, _WORD_BITS)})
+    words = F.broadcast(words.withColumnsRenamed({"chromosome": "_chromosome", "_word": "_held"}))
+    bit = F.call_function("getbit", F.col("_bits"), F.col("_cell").bitwiseAND(63).cast("int"))
+    met = (F.col("chromosome") == F.col("_chromosome")) & (F.col("_word") == F.col("_held")) & (bit == 1)
+    return marked.join(words, met, "left_semi").select(*sites.columns)
+
+
+def leveled(intervals: DataFrame, bin_bits: int | None = None) -> DataFrame:
+    """Intervals copied to the bins ``_level, _bin`` that they touch at the level of their length.
+
+    A bin is over half as wide as the interval and at most twice as wide, so an interval has three
+    copies at most, and not many more sites in its bins than in itself.
+    """
+    level = level_of(F.col("stop") - F.col("start") + 1) if bin_bits is None else F.lit(bin_bits)
+    rows = intervals.withColumn("_level", level)
+    first, last = bins_between(F.col("start"), F.col("stop"), F.col("_level"))
+    return explode_range(rows, "_bin", first, last)
+
+
+def probes(sites: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """Sites with the bin they lie in, once for each level."""
+    if len(levels) == 1:
+        return sites.withColumns(
+            {"_level": F.lit(levels[0]), "_bin": bin_of(F.col("mutation_pos"), levels[0])}
+        )
+    each = [
+        F.struct(F.lit(n).alias("_level"), bin_of(F.col("mutation_pos"), n).alias("_bin")) for n in levels
+    ]
+    return sites.select("*", F.inline(F.array(*each)))
 
 
 def overlap_join(
@@ -68,29 +137,21 @@ def overlap_join(
 ) -> DataFrame:
     """Every (site, interval) pair where the site lies in the interval.
 
-    Intervals are copied to the bins they touch and joined on chromosome and bin, with the exact
-    containment as residual. A site is in one bin and an interval at most once in each, so no pair
-    comes twice. The bin width follows the measured lengths unless ``bin_bits`` sets it. Output:
-    the columns of ``sites`` plus the interval's other columns.
+    Intervals are copied to bins at the level of their own length, and sites look into one bin of
+    each level in use: an equi-join on chromosome, level and bin, with the exact containment as
+    residual. A site is in one bin of a level and an interval at most once in each, so no pair comes
+    twice, and long intervals among short ones make no wide bins. ``bin_bits`` sets one level for
+    all. Output: the columns of ``sites`` plus the interval's other columns.
     """
     usable = closed_intervals(intervals, half_open)
-    measured = profile(usable, "start", "stop")
-    if bin_bits is None:
-        bin_bits = measured.bin_bits()
-    bounds = within(measured.ranges, F.col("chromosome"), F.col("mutation_pos"))
-    if bounds is not None:
-        sites = sites.where(bounds)
-    first, last = bin_of(F.col("start"), bin_bits), bin_of(F.col("stop"), bin_bits)
-    small = measured.small(1 << bin_bits)
+    measured = profile(usable, "start", "stop", bin_bits)
+    sites = sites.where(bounds(usable, measured, "start", "stop"))
+    small = measured.small(copied=True)
     if not small:
-        cell_bits = max(bin_bits, _CELL_BITS)
-        ends = (bin_of(F.col(x), cell_bits) for x in ("start", "stop"))
-        sites = near_cells(
-            sites, explode_range(usable, "_cell", *ends), bin_of(F.col("mutation_pos"), cell_bits)
-        )
-    binned = explode_range(usable, "_bin", first, last)
-    joined = sites.withColumn("_bin", bin_of(F.col("mutation_pos"), bin_bits)).join(
-        sized_join_side(binned, small), ["chromosome", "_bin"]
+        sites = thinned(sites, usable, measured)
+    binned = leveled(usable, bin_bits)
+    joined = probes(sites, measured.levels or (0,)).join(
+        sized_join_side(binned, small), ["chromosome", "_level", "_bin"]
     )
     others = [c for c in intervals.columns if c not in ("chromosome", "start", "stop")]
     return joined.where(F.col("mutation_pos").between(F.col("start"), F.col("stop"))).select(
@@ -101,12 +162,11 @@ def overlap_join(
 def position_join(sites: DataFrame, positions: DataFrame) -> DataFrame:
     """Inner join on chromosome and position; duplicates on either side multiply."""
     measured = profile(positions, "mutation_pos", "mutation_pos")
-    bounds = within(measured.ranges, F.col("chromosome"), F.col("mutation_pos"))
-    if bounds is not None:
-        sites = sites.where(bounds)
-    cell = bin_of(F.col("mutation_pos"), _CELL_BITS)
+    sites = sites.where(bounds(positions, measured, "mutation_pos", "mutation_pos"))
     if not measured.small():
-        sites = near_cells(sites, positions.withColumn("_cell", cell), cell)
+        place = F.col("mutation_pos")
+        points = positions.select("chromosome", place.alias("start"), place.alias("stop"))
+        sites = thinned(sites, points.where("chromosome is not null and start is not null"), measured)
     return sites.join(
         sized_join_side(positions, measured.small()), ["chromosome", "mutation_pos"]
     )

@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens.operators import sizing
-from sitelens.operators.overlap import explode_intervals, overlap_join, position_join
+from sitelens.operators.overlap import (
+    cell_words,
+    explode_intervals,
+    leveled,
+    overlap_join,
+    position_join,
+    probes,
+)
+from sitelens.operators.sizing import merged_ranges
 from sitelens.plans.intersect import annotate_variants, intersect_intervals, select_motifs
 from sitelens.schemas import SITES
 
@@ -86,11 +94,66 @@ def test_empty_sample(spark):
     assert rows(overlap_join(sites, spark.createDataFrame([], INTERVAL))) == []
 
 
-def test_copies_stay_bounded(spark):
-    lengths = [0] * 50 + [3, 200, 10**6]
-    intervals = spark.createDataFrame([(1, 7, 7 + n, "x") for n in lengths], INTERVAL)
-    bits = sizing.profile(intervals, "start", "stop").bin_bits()
-    assert sum(((7 + n) >> bits) - (7 >> bits) + 1 for n in lengths) <= 3 * len(lengths)
+def test_mixed_lengths_copy_and_test_little(spark, side):
+    """Lengths from 1 to 1e8: few copies of each interval, few pairs tested for each match."""
+    rng = random.Random(11)
+    intervals = []
+    for n in range(300):
+        length = int(10 ** (8 * n / 299))
+        start = rng.randint(0, 10**8)
+        intervals.append((1, start, start + length - 1, f"i{n}"))
+    sample = spark.createDataFrame(intervals, INTERVAL)
+    copies = leveled(sample).groupBy("bed_name").count().agg(F.max("count")).first()[0]
+    assert copies <= 3
+    near = [p for _, a, b, _ in intervals for p in (a, b, (a + b) // 2, a + 1)]
+    sites = [(1, p, n) for n, p in enumerate([*near, *(rng.randint(0, 2 * 10**8) for _ in range(2000))])]
+    places = positions(spark, sites)
+    levels = sizing.profile(sample, "start", "stop").levels
+    assert levels == tuple(range(0, 28, 2))
+    tested = probes(places, levels).join(leveled(sample), ["chromosome", "_level", "_bin"]).count()
+    expected = brute(sites, intervals)
+    assert tested <= 4 * len(expected)
+    assert rows(overlap_join(places, sample)) == expected
+
+
+def test_merged_ranges_keep_the_widest_gaps():
+    covered = [(1, 0, 9), (1, 10, 15), (1, 100, 110), (1, 5000, 5001), (2, 7, 8), (1, 120, 130)]
+    assert merged_ranges(covered, 3) == [(1, 0, 130), (1, 5000, 5001), (2, 7, 8)]
+    assert merged_ranges(covered, 4) == [(1, 0, 15), (1, 100, 130), (1, 5000, 5001), (2, 7, 8)]
+    assert merged_ranges(covered, 1) == [(1, 0, 5001), (2, 7, 8)]
+    assert merged_ranges([], 5) == []
+
+
+def test_bounds_are_pushed_where_they_leave_out_much(spark):
+    dense = spark.createDataFrame([(c, 10 * n, 10 * n + 12, "x") for c in (1, 2) for n in range(50)], INTERVAL)
+    measured = sizing.profile(dense, "start", "stop")
+    said = str(sizing.bounds(dense, measured, "start", "stop"))
+    assert " OR " not in said.upper() and "IN" in said.upper()
+    sparse = spark.createDataFrame([(1, 10, 20, "x"), (1, 90_000, 90_020, "y")], INTERVAL)
+    measured = sizing.profile(sparse, "start", "stop")
+    sites = positions(spark, [(1, p, 0) for p in (5, 15, 30_000, 90_010, 100_000)])
+    kept = sites.where(sizing.bounds(sparse, measured, "start", "stop"))
+    assert sorted(r.mutation_pos for r in kept.collect()) == [15, 90_010]
+
+
+def test_cells_of_any_sample_fit(spark):
+    """A sample that covers much, and one of many points, both thin the sites under a small bound."""
+    for lengths, bound in (([10**7] * 40, "200000"), ([0] * 3000, "50000"), ([0, 10**8] * 20, "20000")):
+        rng = random.Random(4)
+        starts = [rng.randint(0, 10**8) for _ in lengths]
+        sample = spark.createDataFrame(
+            [(1 + n % 3, a, a + w, "x") for n, (a, w) in enumerate(zip(starts, lengths))], INTERVAL
+        )
+        spark.conf.set("spark.sitelens.broadcastBytes", bound)
+        try:
+            words, bits = cell_words(sample, sizing.profile(sample, "start", "stop"))
+        finally:
+            spark.conf.unset("spark.sitelens.broadcastBytes")
+        held = {(r.chromosome, 64 * r._word + n) for r in words.collect() for n in range(64) if r._bits >> n & 1}
+        expected = {
+            (1 + n % 3, cell) for n, (a, w) in enumerate(zip(starts, lengths)) for cell in range(a >> bits, (a + w >> bits) + 1)
+        }
+        assert held == expected
 
 
 def test_few_extents_reach_the_scan(spark, tmp_path):
