@@ -35,7 +35,11 @@ from sitelens.plans import intersect as plans  # noqa: E402
 from sitelens.plans import tables  # noqa: E402
 from sitelens.schemas import MOTIFS, SITES, STRAND_SCORES  # noqa: E402
 from sitelens.session import scratch_path  # noqa: E402
-from sitelens.sinks.tables import write_motifs, write_sites  # noqa: E402
+from sitelens.sinks.tables import (  # noqa: E402
+    write_motifs,
+    write_sites,
+    write_sites_by_position,
+)
 from sitelens.sinks.text import preview, write_csv, write_hits  # noqa: E402
 from sitelens.sources.hits import parse_hits, read_hits  # noqa: E402
 from sitelens.sources.motif_info import parse_motif_info, read_motif_info  # noqa: E402
@@ -154,6 +158,36 @@ def sample_dispatch_ez(spark, d):
     return plans.intersect(spark, _sites(spark, d), _motifs(spark, d), sample)
 
 
+def _saved_samples(spark, lines, name):
+    """A file for each of four samples, dealt by the lines' positions."""
+    folder = scratch_path(spark, "samples")
+    dealt = lines.withColumn("n", F.split("value", r"\s+")[1].cast("bigint") % 4)
+    paths = []
+    for n in range(4):
+        paths.append(f"{folder}/{n}.{name}")
+        dealt.where(F.col("n") == n).select("value").coalesce(1).write.text(paths[-1])
+    return paths
+
+
+@_query
+def intersect_many_intervals(spark, d):
+    """All sample files in one pass over the sites."""
+    paths = _saved_samples(spark, fx.interval_lines(spark, d, bad=False), "bed")
+    found = plans.intersect_samples(spark, _sites(spark, d), _motifs(spark, d), paths)[".bed"]
+    return found.withColumn("sample", _sample_number())
+
+
+@_query
+def intersect_many_variants(spark, d):
+    paths = _saved_samples(spark, fx.variant_lines(spark, d, bad=False), "vcf")
+    found = plans.intersect_samples(spark, _sites(spark, d), _motifs(spark, d), paths)[".vcf"]
+    return found.withColumn("sample", _sample_number())
+
+
+def _sample_number():
+    return F.regexp_extract("sample", "/([0-9])[.]", 1).cast("bigint")
+
+
 # Parsers and readers
 
 
@@ -315,6 +349,42 @@ def write_read_sites(spark, d):
     return read_sites(spark, path)
 
 
+@_query
+def write_read_sites_by_position(spark, d):
+    path = scratch_path(spark, "tfbs.pq")
+    write_sites_by_position(_sites(spark, d), path)
+    return read_sites(spark, path)
+
+
+@_query
+def interval_intersect_by_position(spark, d):
+    """The interval query over sites that are stored by position."""
+    path = scratch_path(spark, "tfbs.pq")
+    write_sites_by_position(_sites(spark, d), path)
+    return plans.intersect_intervals(read_sites(spark, path), _motifs(spark, d), _intervals(spark, d))
+
+
+@_query
+def written_site_figures(spark, d):
+    """Rows and scores a motif, as a write of the sites measured them on its way."""
+    written = write_sites(_sites(spark, d), scratch_path(spark, "tfbs.pq"))
+    rows = [(m, n, written.rows, written.total_score) for m, n in written.by_motif.items()]
+    columns = "pwmid long, n_rows long, all_rows long, total_score double"
+    return _rounded(spark.createDataFrame(rows, columns), ["total_score"], 2)
+
+
+@_query
+def compact_scattered_sites(spark, d):
+    """Motifs of many files are compacted in place; those of one file stay as they are."""
+    path = scratch_path(spark, "tfbs.pq")
+    sites = _sites(spark, d)
+    write_sites(sites.where("pwmid % 2 = 0"), path)
+    scattered = sites.where("pwmid % 2 = 1 or pwmid is null").repartition(8)
+    scattered.write.mode("append").partitionBy("pwmid").parquet(path)
+    tables.compact_scattered(spark, path)
+    return read_sites(spark, path)
+
+
 @_query
 def compact_site_table(spark, d):
     scattered, path = scratch_path(spark, "scattered.pq"), scratch_path(spark, "tfbs.pq")
@@ -718,6 +788,17 @@ def _own_oracles() -> dict[str, str]:
         "read_pwm_directory": f"""with {_PWMS}
             select pwmid, threshold, i, b, round(p, 9) + 0.0 as p from pwms""",
         "write_read_sites": site_rows,
+        "write_read_sites_by_position": site_rows,
+        "compact_scattered_sites": site_rows,
+        "interval_intersect_by_position": _INTERVALS,
+        "intersect_many_intervals": _INTERVALS.replace("i.bed_name", "i.bed_name, i.start % 4 as sample"),
+        "intersect_many_variants": _VARIANTS.replace(
+            "as vcf_name", "as vcf_name, v.mutation_pos % 4 as sample"
+        ),
+        "written_site_figures": f"""{sites}
+            select pwmid, count(*) as n_rows, cast(sum(count(*)) over () as bigint) as all_rows,
+                   round(sum(sum(wt_max_score)) over (), 2) + 0.0 as total_score
+            from sites group by pwmid""",
         "compact_site_table": site_rows,
         "write_read_motifs": f"{_with('motifs')} select {_MOTIF_COLUMNS}, row_id from motifs",
         "build_site_tables": f"{_HITS}, sites as ({hit_sites}), intervals as ({_T['intervals']})"

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from sitelens.functions.pwm import EVEN_BACKGROUND
 from sitelens.operators.scan import scan_motifs
 from sitelens.plans import tables
-from sitelens.plans.intersect import intersect
+from sitelens.plans.intersect import intersect, intersect_samples
 from sitelens.sinks.tables import TARGET_BYTES
 from sitelens.sinks.text import preview, write_csv, write_hits
 from sitelens.sources.motif_info import read_motif_info
@@ -36,6 +36,22 @@ def _intersect(spark, args):
     write_csv(result, args.output, args.partitions)
 
 
+def _intersect_many(spark, args):
+    sites, motifs = load_tables(spark, args.tables)
+    found = intersect_samples(
+        spark,
+        sites,
+        motifs,
+        args.samples.split(","),
+        bed_col=args.bed_col,
+        n_cols=args.n_cols,
+        half_open=args.half_open,
+        only_gains=args.only_gains,
+    )
+    for kind, result in found.items():
+        write_csv(result, f"{args.output}/{kind.removeprefix('.')}", by=["sample"])
+
+
 def _scan(spark, args):
     thresholds = read_thresholds(spark, args.thresholds)
     if args.motifs:
@@ -51,10 +67,13 @@ def _scan(spark, args):
 
 
 def _build(spark, args):
-    tables.build_tables(spark, args.motifs, args.hits, args.output)
+    print(tables.build_tables(spark, args.motifs, args.hits, args.output, args.by_position))
 
 
 def _compact(spark, args):
+    if not args.output:
+        tables.compact_scattered(spark, args.source, args.target_bytes)
+        return
     tables.compact_sites(spark, args.source, args.output, args.target_bytes)
 
 
@@ -75,7 +94,8 @@ COMMANDS = {
     "intersect": (_intersect, ["tables", "sample", "output"]),
     "scan": (_scan, ["fragments", "thresholds", "pwms", "output"]),
     "build": (_build, ["motifs", "hits", "output"]),
-    "compact": (_compact, ["source", "output"]),
+    "intersect_many": (_intersect_many, ["tables", "samples", "output"]),
+    "compact": (_compact, ["source"]),
     "count": (_count, ["tables"]),
     "preview": (_preview, ["tables"]),
 }
@@ -90,6 +110,7 @@ def main(argv=None):
             command.add_argument(f"--{option}", required=True)
         if name == "intersect":
             command.add_argument("--partitions", type=int)
+        if name in ("intersect", "intersect_many"):
             command.add_argument("--bed_col", type=int, default=0)
             command.add_argument("--n_cols", type=int)
             command.add_argument("--half_open", action="store_true")
@@ -98,7 +119,10 @@ def main(argv=None):
             command.add_argument("--motifs", help="metadata whose order numbers the motifs")
             command.add_argument("--background", type=float, nargs=4, default=EVEN_BACKGROUND)
             command.add_argument("--no_smoothing", action="store_true")
+        if name == "build":
+            command.add_argument("--by_position", action="store_true")
         if name == "compact":
+            command.add_argument("--output", help="another directory; without, in place")
             command.add_argument("--target_bytes", type=int, default=TARGET_BYTES)
         if name == "preview":
             command.add_argument("--chromosome", type=int)

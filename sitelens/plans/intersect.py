@@ -14,7 +14,13 @@ from sitelens.operators.overlap import (
 )
 from sitelens.operators.selection import selected_motifs
 from sitelens.schemas import LOWER_BASES, MUTATION_SCORES, USE_COLUMNS
-from sitelens.sources.samples import read_intervals, read_selection, read_variants
+from sitelens.sources.samples import (
+    read_interval_samples,
+    read_intervals,
+    read_selection,
+    read_variant_samples,
+    read_variants,
+)
 
 _SITE_COLUMNS = ["chromosome", "mutation_pos", *USE_COLUMNS, "wt_max_score", *MUTATION_SCORES]
 
@@ -34,7 +40,8 @@ def intersect_intervals(
     found = overlap_join(
         sites.select(*_SITE_COLUMNS, "pwmid"), intervals, half_open=half_open, bin_bits=bin_bits
     )
-    return with_motif(found, motifs).select(*_SITE_COLUMNS, *_motif_columns(), "bed_name")
+    own = [c for c in intervals.columns if c not in ("chromosome", "start", "stop")]
+    return with_motif(found, motifs).select(*_SITE_COLUMNS, *_motif_columns(), *own)
 
 
 def intersect_positions(sites: DataFrame, motifs: DataFrame, intervals: DataFrame) -> DataFrame:
@@ -70,6 +77,7 @@ def annotate_variants(
         "name",
         "vcf_name",
         *(F.col(f"use_{b}").alias(f"alt_{b}") for b in LOWER_BASES),
+        *_sample_column(variants),
     )
     scores = {b: F.col(f"{b}_mutation_max_score") for b in LOWER_BASES}
     wanted = ["chromosome", "mutation_pos", "pwmid", "wt_max_score", *MUTATION_SCORES]
@@ -93,9 +101,14 @@ def annotate_variants(
         "tf_info_name",
         "score_threshold",
         "vcf_name",
+        *_sample_column(variants),
     )
 
 
+def _sample_column(sample: DataFrame) -> list[str]:
+    return [c for c in sample.columns if c == "sample"]
+
+
 def select_motifs(
     sites: DataFrame, motifs: DataFrame, ids: DataFrame, names: DataFrame
 ) -> DataFrame:
@@ -105,6 +118,36 @@ def select_motifs(
     return found.select(*_SITE_COLUMNS, *_motif_columns())
 
 
+def intersect_samples(
+    spark: SparkSession,
+    sites: DataFrame,
+    motifs: DataFrame,
+    samples: list[str],
+    bed_col: int = 0,
+    n_cols: int | None = None,
+    half_open: bool = False,
+    only_gains: bool = False,
+) -> dict[str, DataFrame]:
+    """Many sample files in one pass over the sites for each kind of file.
+
+    By extension (``.bed``, ``.vcf``) the rows that :func:`intersect` gives for each file, with the
+    file's path as ``sample``; written ``partitionBy("sample")`` they are a result a file.
+    """
+    kinds: dict[str, list[str]] = {}
+    for path in samples:
+        kinds.setdefault(posixpath.splitext(path)[1].lower(), []).append(path)
+    if unknown := kinds.keys() - {".bed", ".vcf"}:
+        raise ValueError(f"sample file extensions that have no common pass: {sorted(unknown)}")
+    found = {}
+    if ".bed" in kinds:
+        intervals = read_interval_samples(spark, kinds[".bed"], bed_col, n_cols)
+        found[".bed"] = intersect_intervals(sites, motifs, intervals, half_open=half_open)
+    if ".vcf" in kinds:
+        variants = read_variant_samples(spark, kinds[".vcf"])
+        found[".vcf"] = annotate_variants(sites, motifs, variants, only_gains=only_gains)
+    return found
+
+
 def intersect(
     spark: SparkSession,
     sites: DataFrame,

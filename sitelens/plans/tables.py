@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.sites import event_flags, strand_max
 from sitelens.schemas import LOWER_BASES, MOTIFS_DIR, SITES, SITES_DIR
-from sitelens.sinks.tables import TARGET_BYTES, write_motifs, write_sites
+from sitelens.session import scratch_path
+from sitelens.sinks.tables import (
+    FILE_BYTES,
+    TARGET_BYTES,
+    Written,
+    write_motifs,
+    write_sites,
+    write_sites_by_position,
+)
 from sitelens.sources.hits import read_hits
 from sitelens.sources.motif_info import read_motif_info
 from sitelens.sources.tables import read_sites
@@ -30,17 +38,66 @@ def sites_from_hits(hits: DataFrame) -> DataFrame:
     return rows.select(*SITES.names)
 
 
-def build_tables(spark: SparkSession, motif_csv: str, hits: str, directory: str) -> None:
-    """Write both tables of a table directory from the metadata file and the scanner's output."""
+def build_tables(
+    spark: SparkSession, motif_csv: str, hits: str, directory: str, by_position: bool = False
+) -> Written:
+    """Write both tables of a table directory from the metadata file and the scanner's output.
+
+    Sites are laid out by motif, or ``by_position``. The result has the figures that the write of
+    the sites measured, so no further scan is needed to check it.
+    """
     write_motifs(read_motif_info(spark, motif_csv), posixpath.join(directory, MOTIFS_DIR))
-    write_sites(sites_from_hits(read_hits(spark, hits)), posixpath.join(directory, SITES_DIR))
+    write = write_sites_by_position if by_position else write_sites
+    return write(sites_from_hits(read_hits(spark, hits)), posixpath.join(directory, SITES_DIR))
 
 
 def compact_sites(
     spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_BYTES
-) -> None:
+) -> Written:
     """Rewrite a site table of many small files as few large ones per motif."""
-    write_sites(read_sites(spark, source), target, target_bytes=target_bytes)
+    return write_sites(read_sites(spark, source), target, target_bytes=target_bytes)
+
+
+def scattered_motifs(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``pwmid, files, bytes`` of the motifs with more files than their bytes ask for.
+
+    Only the listing is read: names and lengths of files, never their contents.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select("path", "length")
+    )
+    motif = F.regexp_extract("path", "/pwmid=([^/]+)/", 1)
+    sums = files.groupBy(motif.try_cast("bigint").alias("pwmid")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+    )
+    # a motif just above a target may have one file more than its bytes fill
+    return sums.where(F.col("files") > F.ceil(F.col("bytes") / file_bytes) + 1)
+
+
+def compact_scattered(
+    spark: SparkSession,
+    path: str,
+    target_bytes: int = TARGET_BYTES,
+    file_bytes: int = FILE_BYTES,
+) -> Written | None:
+    """Compact in place the motifs that need it, and leave the files of the others alone.
+
+    Their rows are copied to the scratch folder first, so that a failure while directories are
+    replaced loses nothing. Returns what was rewritten, None if nothing had to be.
+    """
+    wanted = [r.pwmid for r in scattered_motifs(spark, path, file_bytes).select("pwmid").collect()]
+    if not wanted:
+        return None
+    chosen = F.col("pwmid").isin([x for x in wanted if x is not None])
+    if None in wanted:
+        chosen = chosen | F.col("pwmid").isNull()
+    copy = scratch_path(spark, "scattered")
+    read_sites(spark, path).where(chosen).write.partitionBy("pwmid").parquet(copy)
+    return write_sites(read_sites(spark, copy), path, target_bytes=target_bytes, only_given=True)
 
 
 def table_counts(sites: DataFrame, motifs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Writers of the stored tables."""
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sitelens.schemas import MOTIFS, SITES
@@ -8,20 +10,39 @@ from sitelens.schemas import MOTIFS, SITES
 # Bytes of shuffled rows behind one output file. Sites compress to about a third of that, and a
 # file of some 1 GB is the aim on a cluster.
 TARGET_BYTES = 3 << 30
+# Bytes of a file that holds a target, about.
+FILE_BYTES = 1 << 30
 # Bytes of one shuffled row.
 ROW_BYTES = 8 * (len(SITES.names) + 2)
 
 
+@dataclass(frozen=True)
+class Written:
+    """What a write of sites measured on the way: rows, sum of wild-type scores, rows a motif."""
+
+    rows: int
+    total_score: float | None
+    by_motif: dict[int | None, int]
+
+
 def write_sites(
-    sites: DataFrame, path: str, mode: str = "error", target_bytes: int = TARGET_BYTES
-) -> None:
+    sites: DataFrame,
+    path: str,
+    mode: str = "error",
+    target_bytes: int = TARGET_BYTES,
+    only_given: bool = False,
+) -> Written:
     """Write sites below one ``pwmid=`` directory per motif, sorted by chromosome and position.
 
     Rows are counted per motif first. A motif gets as many pieces as it holds targets, and each
     piece is written by one task as one file: a motif below the target is one file, and no task
     holds a whole hot motif. Small motifs share tasks; the tasks number the targets in the table,
     or the session's shuffle partitions if those are more. The driver holds a count per motif, as
-    it does for the directories.
+    it does for the directories. ``only_given`` replaces the directories of the motifs that ``sites``
+    holds and leaves the others as they are.
+
+    Rows and scores are summed while they are written. The result says what was measured; the write
+    fails if it did not write as many rows as were counted.
     """
     spark = sites.sparkSession
     sites = sites.select(*SITES.names)
@@ -46,7 +67,48 @@ def write_sites(
         .select(*SITES.names)
         .sortWithinPartitions("pwmid", "chromosome", "mutation_pos")
     )
-    rows.write.mode(mode).partitionBy("pwmid").option("compression", "snappy").parquet(path)
+    seen = Observation("sites")
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum("wt_max_score").alias("score"))
+    writer = rows.write.mode("overwrite" if only_given else mode).partitionBy("pwmid")
+    if only_given:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", "snappy").parquet(path)
+    by_motif = {r.pwmid: r.n for r in counts}
+    return _checked(seen, by_motif)
+
+
+def _checked(seen: Observation, by_motif: dict) -> Written:
+    found = seen.get
+    if found["rows"] != sum(by_motif.values()):
+        raise RuntimeError(f"{found['rows']} rows written, {sum(by_motif.values())} counted")
+    return Written(found["rows"], found["score"], by_motif)
+
+
+def write_sites_by_position(
+    sites: DataFrame, path: str, mode: str = "error", target_bytes: int = TARGET_BYTES
+) -> Written:
+    """Write sites below one ``chromosome=`` directory each, in files of neighbouring positions.
+
+    Rows are range-partitioned and sorted by chromosome, position and motif, so a position that many
+    rows share is cut too. A query about some places reads the directories of their chromosomes and
+    the row groups that hold their positions, where the layout by motif makes it open every motif.
+    ``read_sites`` reads either layout.
+    """
+    spark = sites.sparkSession
+    sites = sites.select(*SITES.names)
+    counts = sites.groupBy("pwmid").agg(F.count(F.lit(1)).alias("n")).collect()
+    by_motif = {r.pwmid: r.n for r in counts}
+    wanted = -(-sum(by_motif.values()) * ROW_BYTES // target_bytes)
+    tasks = max(1, wanted, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * wanted))
+    order = ["chromosome", "mutation_pos", "pwmid", "chromosome_chunk"]
+    seen = Observation("sites")
+    rows = (
+        sites.repartitionByRange(tasks, *order)
+        .sortWithinPartitions(*order)
+        .observe(seen, F.count(F.lit(1)).alias("rows"), F.sum("wt_max_score").alias("score"))
+    )
+    rows.write.mode(mode).partitionBy("chromosome").option("compression", "snappy").parquet(path)
+    return _checked(seen, by_motif)
 
 
 def write_motifs(motifs: DataFrame, path: str, mode: str = "error") -> None:

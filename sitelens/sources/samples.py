@@ -8,18 +8,25 @@ from sitelens.functions.sites import allele_flags
 from sitelens.functions.text import complete, field, fields, is_blank, strip
 
 
-def _first_line_width(lines: DataFrame) -> int | None:
-    """Field count of the first line in file order (a top-1, not a sort)."""
-    first = (
-        lines.select(
-            F.size(fields(F.col("value"))).alias("width"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("mono"),
-        )
-        .orderBy("file", "block", "mono")
-        .first()
+_FILE = "_metadata.file_path"
+
+
+def _first_widths(lines: DataFrame) -> DataFrame:
+    """``sample, width``: the field count of each file's first line.
+
+    Only the first split of a file is looked at, and there only its first line.
+    """
+    first = lines.where("_metadata.file_block_start = 0").select(
+        F.col(_FILE).alias("sample"),
+        F.monotonically_increasing_id().alias("place"),
+        F.size(fields(F.col("value"))).alias("width"),
     )
+    return first.groupBy("sample").agg(F.min_by("width", "place").alias("width"))
+
+
+def _first_line_width(lines: DataFrame) -> int | None:
+    """Field count of the first line in file order."""
+    first = _first_widths(lines).orderBy("sample").first()
     return first.width if first else None
 
 
@@ -29,16 +36,20 @@ def parse_intervals(lines: DataFrame, n_cols: int, bed_col: int = 0) -> DataFram
     Lines whose field count is not ``n_cols`` are dropped. The name is the fourth of exactly four
     fields, else field ``bed_col`` (0 to 2, anything else means 0).
     """
+    rows = lines.select(fields(F.col("value")).alias("f")).where(F.size("f") == n_cols)
+    return rows.select(*_interval_columns(bed_col))
+
+
+def _interval_columns(bed_col: int) -> list:
     if bed_col not in (0, 1, 2):
         bed_col = 0
     f = F.col("f")
-    rows = lines.select(fields(F.col("value")).alias("f")).where(F.size(f) == n_cols)
-    return rows.select(
+    return [
         chromosome_code(field(f, 0)).alias("chromosome"),
         field(f, 1).cast("bigint").alias("start"),
         field(f, 2).cast("bigint").alias("stop"),
         F.when(F.size(f) == 4, field(f, 3)).otherwise(field(f, bed_col)).alias("bed_name"),
-    )
+    ]
 
 
 def read_intervals(
@@ -51,14 +62,36 @@ def read_intervals(
     return parse_intervals(lines, n_cols, bed_col)
 
 
-def parse_variants(lines: DataFrame) -> DataFrame:
+def read_interval_samples(
+    spark: SparkSession, paths: list[str], bed_col: int = 0, n_cols: int | None = None
+) -> DataFrame:
+    """Intervals of many files at once, each with its file as ``sample``.
+
+    Without ``n_cols`` each file's own first line sets its field count.
+    """
+    lines = spark.read.text(paths)
+    rows = lines.select(F.col(_FILE).alias("sample"), fields(F.col("value")).alias("f"))
+    if n_cols is None:
+        # a row a file
+        rows = rows.join(F.broadcast(_first_widths(lines)), "sample")
+    else:
+        rows = rows.withColumn("width", F.lit(n_cols))
+    return rows.where(F.size("f") == F.col("width")).select(*_interval_columns(bed_col), "sample")
+
+
+def read_variant_samples(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Variants of many files at once, each with its file as ``sample``."""
+    return parse_variants(spark.read.text(paths).withColumn("sample", F.col(_FILE)), "sample")
+
+
+def parse_variants(lines: DataFrame, *others: str) -> DataFrame:
     """Variants from tab-separated lines; ``#`` lines and blank lines are dropped.
 
-    A line of under 5 fields fails.
+    A line of under 5 fields fails. ``others`` are columns of ``lines`` to keep.
     """
     value, f = F.col("value"), F.col("f")
     rows = lines.where(~value.startswith("#") & ~is_blank(value)).select(
-        complete(F.split(value, "\t"), value, "variant", 5).alias("f")
+        complete(F.split(value, "\t"), value, "variant", 5).alias("f"), *others
     )
     alt = strip(field(f, 4))
     return rows.select(
@@ -69,6 +102,7 @@ def parse_variants(lines: DataFrame) -> DataFrame:
         alt.alias("alt"),
         *(flag.alias(c) for c, flag in allele_flags(alt).items()),
         field(f, 2).alias("vcf_name"),
+        *others,
     )
 
 

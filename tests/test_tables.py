@@ -6,11 +6,17 @@ from pyspark.sql import functions as F
 
 from sitelens import cli
 from sitelens.operators.windows import positions, substitutions, tiles_of, windows
-from sitelens.plans.intersect import intersect
-from sitelens.plans.tables import compact_sites, table_counts
+from sitelens.plans.intersect import intersect, intersect_minimal, intersect_samples
+from sitelens.plans.tables import (
+    compact_scattered,
+    compact_sites,
+    scattered_motifs,
+    score_total,
+    table_counts,
+)
 from sitelens.schemas import SITES
 from sitelens.session import scratch_path
-from sitelens.sinks.tables import ROW_BYTES, write_motifs, write_sites
+from sitelens.sinks.tables import ROW_BYTES, write_motifs, write_sites, write_sites_by_position
 from sitelens.sinks.text import preview, write_csv
 from sitelens.sources.tables import read_motifs, read_sites
 
@@ -201,3 +207,132 @@ def test_command_line_from_fragments_to_results(spark, tmp_path, monkeypatch):
             assert (got[0].mutation_max_score, got[0].tf_info_name) == ("3.089", "TF2")
     views = {t.name for t in spark.catalog.listTables()}
     assert {"tfbs", "tf_info", "bed", "vcf", "pwmid", "tf_name"} <= views
+
+
+def scan_figures(df):
+    """Files that a query's scan of sites opens and rows that come out of it."""
+    execution = df._jdf.queryExecution()
+    df._jdf.rdd().count()
+    found, todo = [], [execution.executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getName()
+        if "AdaptiveSparkPlanExec" in kind:
+            todo.append(node.executedPlan())
+        elif "QueryStageExec" in kind:
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        if "FileSourceScanExec" in kind:
+            metrics = node.metrics()
+            found.append(tuple(metrics.apply(k).value() for k in ("numFiles", "numOutputRows")))
+    return found
+
+
+def test_sites_by_position_are_read_in_part(spark, tmp_path):
+    sites = many_sites(spark, 60_000).repartition(6)
+    by_motif, by_position = str(tmp_path / "m.pq"), str(tmp_path / "p.pq")
+    write_sites(sites, by_motif)
+    written = write_sites_by_position(sites, by_position, target_bytes=400_000)
+    assert written.rows == 60_000 and sum(written.by_motif.values()) == 60_000
+    stored = read_sites(spark, by_position)
+    assert stored.schema == SITES
+    assert rows(stored) == rows(sites)
+    sample = spark.createDataFrame(
+        [(2, 100, 130, "a"), (2, 59_000, 59_010, "b")], "chromosome long, start long, stop long, bed_name string"
+    )
+    results, figures = [], []
+    for path in (by_motif, by_position):
+        found = intersect_minimal(read_sites(spark, path), sample)
+        results.append(rows(found))
+        figures.append(scan_figures(found))
+    assert results[0] == results[1] and len(results[0]) == 14
+    (motif_files, motif_rows_), (position_files, position_rows) = figures[0][0], figures[1][0]
+    every = sum(name.endswith(".parquet") for _, _, names in os.walk(by_position) for name in names)
+    assert motif_files == 7 and position_files <= every // 2
+    assert 3 * position_rows < motif_rows_
+
+
+def test_a_hot_position_is_cut(spark, tmp_path):
+    path = str(tmp_path / "p.pq")
+    sites = many_sites(spark, 20_000).withColumn(
+        "mutation_pos", F.when(F.col("pwmid") < 4, 7).otherwise(F.col("mutation_pos")).cast("long")
+    ).withColumn("chromosome", F.when(F.col("pwmid") == 5, None).otherwise(2).cast("long"))
+    write_sites_by_position(sites, path, target_bytes=200_000)
+    assert rows(read_sites(spark, path).fillna(0)) == rows(sites.fillna(0))
+    largest = spark.read.parquet(path).groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0]
+    assert largest < 6_000
+
+
+def test_a_write_measures_what_it_wrote(spark, tmp_path):
+    sites = many_sites(spark)
+    written = write_sites(sites, str(tmp_path / "tfbs.pq"))
+    stored = read_sites(spark, str(tmp_path / "tfbs.pq"))
+    assert written.rows == stored.count()
+    assert written.total_score == pytest.approx(score_total(stored).first()[0])
+    assert written.by_motif == {r.pwmid: r["count"] for r in stored.groupBy("pwmid").count().collect()}
+    nothing = write_sites(sites.limit(0), str(tmp_path / "none.pq"))
+    assert (nothing.rows, nothing.by_motif) == (0, {})
+
+
+def listing(path):
+    return {
+        os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+        for d, _, names in os.walk(path)
+        for f in names
+        if f.endswith(".parquet")
+    }
+
+
+def test_only_scattered_motifs_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "tfbs.pq")
+    sites = many_sites(spark).withColumn(
+        "pwmid", F.when(F.col("pwmid") == 6, None).otherwise(F.col("pwmid"))
+    )
+    write_sites(sites.where("pwmid < 4"), path)
+    loose = sites.where("pwmid >= 4 or pwmid is null").repartition(5)
+    loose.write.mode("append").partitionBy("pwmid").parquet(path)
+    before = listing(path)
+    assert sorted(str(r.pwmid) for r in scattered_motifs(spark, path).collect()) == ["4", "5", "None"]
+    written = compact_scattered(spark, path)
+    assert sorted(map(str, written.by_motif)) == ["4", "5", "None"]
+    after = listing(path)
+    kept = {f for f in before if any(f"pwmid={n}/" in f for n in range(4))}
+    assert {f: before[f] for f in kept} == {f: after[f] for f in kept}
+    assert len(after) == len(kept) + 3
+    assert rows(read_sites(spark, path).fillna(-1)) == rows(sites.fillna(-1))
+    # nothing is left to do
+    assert compact_scattered(spark, path) is None
+    assert listing(path) == after
+
+
+def test_many_samples_in_one_pass(spark, tmp_path):
+    sites_path = str(tmp_path / "tfbs.pq")
+    write_sites(many_sites(spark), sites_path)
+    sites = read_sites(spark, sites_path)
+    motifs = spark.createDataFrame(
+        [(n, f"M{n}", f"TF{n}", 1.5) for n in range(7)],
+        "row_id long, motif_id string, name string, score_threshold double",
+    )
+    beds, vcfs = [], []
+    for n in range(50):
+        beds.append(tmp_path / f"s{n}.bed")
+        # files of three and of four columns: each file's first line says which lines count
+        extra = " name" if n % 2 else ""
+        beds[-1].write_text(f"chr{n % 3 + 1}\t{100 * n} {100 * n + 40}{extra}\nchr1 5\nchr2\t7 9{extra}\n")
+        vcfs.append(tmp_path / f"s{n}.vcf")
+        vcfs[-1].write_text(f"#x\nchr{n % 3 + 1}\t{100 * n + 1}\tv{n}\tA\tC\n")
+    found = intersect_samples(spark, sites, motifs, [str(p) for p in beds + vcfs])
+    for kind, files in ((".bed", beds), (".vcf", vcfs)):
+        got = sorted((os.path.basename(r.sample), *r[:-1]) for r in found[kind].collect())
+        # eight of them one by one
+        some = files[:8]
+        each = [(p.name, *r) for p in some for r in intersect(spark, sites, motifs, str(p)).collect()]
+        assert [g for g in got if g[0] in {p.name for p in some}] == sorted(each) and each
+        assert len({g[0] for g in got}) > 15
+        plan = found[kind]._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[0].count("tfbs.pq") == 1
+    write_csv(found[".bed"], str(tmp_path / "out"), by=["sample"])
+    assert any(d.startswith("sample=") and d.endswith(".bed") for d in os.listdir(tmp_path / "out"))
+    with pytest.raises(ValueError, match="common pass"):
+        intersect_samples(spark, sites, motifs, ["x.ez"])
