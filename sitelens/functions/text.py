@@ -27,11 +27,16 @@ def is_blank(line: Column) -> Column:
     return strip(line) == ""
 
 
-def complete(array: Column, line: Column, what: str, least: int, most: int | None = None) -> Column:
-    """The fields of a line; reading any of them fails if their number is out of bounds."""
+def complete(array: Column, what: str, least: int, most: int | None = None) -> Column:
+    """The fields of a line; reading any of them fails if their number is out of bounds.
+
+    ``array`` is to be a column of its own, so that a line is cut once.
+    """
     count = F.size(array)
     good = count >= least if most is None else count.between(least, most)
-    said = F.concat(F.lit(f"{what} line of "), count, F.lit(" fields: "), F.substring(line, 1, 200))
+    said = F.concat(
+        F.lit(f"{what} line of "), count, F.lit(" fields: "), F.substring(F.concat_ws(" ", array), 1, 200)
+    )
     return F.when(good, array).otherwise(F.raise_error(said))
 
 

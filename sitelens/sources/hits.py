@@ -14,9 +14,8 @@ def parse_hits(lines: DataFrame) -> DataFrame:
     Blank lines are dropped; a line without 16 fields fails.
     """
     f, value = F.col("f"), F.col("value")
-    rows = lines.where(~is_blank(value)).select(
-        complete(fields(value), value, "hit", 16, 16).alias("f")
-    )
+    rows = lines.where(~is_blank(value)).select(fields(value).alias("f"))
+    rows = rows.select(complete(f, "hit", 16, 16).alias("f"))
     score = lambda n: F.nanvl(field(f, n).cast("double"), F.lit(None).cast("double"))
     return rows.select(
         chromosome_code(field(f, 0), strip_prefix=False).alias("chromosome"),

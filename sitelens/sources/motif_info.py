@@ -23,9 +23,8 @@ def parse_motif_info(lines: DataFrame) -> DataFrame:
     """
     f, value = F.col("_fields"), F.col("value")
     kept = [c for c in lines.columns if c != "value"]
-    rows = lines.where(is_data_line(value)).withColumn(
-        "_fields", complete(F.split(value, ","), value, "motif", 13)
-    )
+    rows = lines.where(is_data_line(value)).withColumn("_fields", F.split(value, ","))
+    rows = rows.withColumn("_fields", complete(f, "motif", 13))
     return rows.select(
         *(field(f, n).alias(c) for n, c in enumerate(MOTIF_TEXT_COLUMNS)),
         strip(field(f, 10)).cast("bigint").alias("pmid"),

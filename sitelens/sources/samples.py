@@ -90,9 +90,9 @@ def parse_variants(lines: DataFrame, *others: str) -> DataFrame:
     A line of under 5 fields fails. ``others`` are columns of ``lines`` to keep.
     """
     value, f = F.col("value"), F.col("f")
-    rows = lines.where(~value.startswith("#") & ~is_blank(value)).select(
-        complete(F.split(value, "\t"), value, "variant", 5).alias("f"), *others
-    )
+    rows = lines.where(~value.startswith("#") & ~is_blank(value))
+    rows = rows.select(F.split(value, "\t").alias("f"), *others)
+    rows = rows.withColumn("f", complete(f, "variant", 5))
     alt = strip(field(f, 4))
     return rows.select(
         chromosome_code(field(f, 0)).alias("chromosome"),

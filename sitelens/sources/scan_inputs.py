@@ -20,8 +20,9 @@ def read_fragments(spark: SparkSession, path: str) -> DataFrame:
     )
     f, value = F.col("f"), F.col("value")
     rows = with_row_id(lines, "chunk_id").select(
-        "chunk_id", complete(F.split(value, "\t"), value, "fragment", 8).alias("f")
+        "chunk_id", F.split(value, "\t").alias("f")
     )
+    rows = rows.withColumn("f", complete(f, "fragment", 8))
     return rows.select(
         "chunk_id",
         chromosome_code(field(f, 0)).alias("chromosome"),
@@ -38,8 +39,9 @@ def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.csv(path, schema="value string", sep="\x01", quote="")
     f, value = F.col("f"), F.col("value")
     rows = with_row_id(lines.where(~is_blank(value)), "pwmid").select(
-        "pwmid", complete(F.split(value, "\t"), value, "threshold", 2).alias("f")
+        "pwmid", F.split(value, "\t").alias("f")
     )
+    rows = rows.withColumn("f", complete(f, "threshold", 2))
     return rows.select(
         "pwmid", field(f, 0).alias("motif_file"), number(field(f, 1), "threshold").alias("threshold")
     )

@@ -336,3 +336,27 @@ def test_many_samples_in_one_pass(spark, tmp_path):
     assert any(d.startswith("sample=") and d.endswith(".bed") for d in os.listdir(tmp_path / "out"))
     with pytest.raises(ValueError, match="common pass"):
         intersect_samples(spark, sites, motifs, ["x.ez"])
+
+
+def test_numbers_of_parquet_rows_need_no_copy(spark, tmp_path):
+    from sitelens.operators import row_id
+
+    path = str(tmp_path / "rows")
+    wide = spark.range(5000).select("id", F.repeat(F.lit("x"), 500).alias("text"))
+    wide.repartitionByRange(7, "id").write.option("parquet.block.size", 50_000).parquet(path)
+    copies = []
+    plain, row_id.scratch_path = row_id.scratch_path, lambda s, n: copies.append(n) or plain(s, n)
+    try:
+        numbered = row_id.with_row_id(spark.read.parquet(path))
+    finally:
+        row_id.scratch_path = plain
+    assert copies == ["split-sizes"]
+    # splits of another size change nothing
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = sorted((r.row_id, r.id) for r in numbered.select("row_id", "id").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(n + 1, n) for n in range(5000)]
+    filtered = row_id.with_row_id(spark.read.parquet(path).where("id % 2 = 1"))
+    assert sorted(r.row_id for r in filtered.collect()) == list(range(1, 2501))
