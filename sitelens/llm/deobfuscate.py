@@ -162,6 +162,8 @@ class Restorer:
 
     def _restore(self, token: str) -> tuple[str, ...]:
         word = token.translate(_INVISIBLE).lower().strip(_EDGES).rstrip("!")
+        if word == token:  # one string for both
+            word = token
         if word.isalpha():
             return (word,) if not _runs_of_three(word) else self._decoded(word)
         letters = sum(map(str.isalpha, word))

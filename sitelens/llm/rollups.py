@@ -8,7 +8,9 @@ committed under its own name, once: writing it again, after a failure or by mist
 Defined results: a null text has no tokens; null sources and languages are groups of their own. Rows
 with equal ids are inserted each by itself and go together. Changes of an id that is absent, and rows
 of a deletion or revision without an id, do nothing (a revision of an absent id inserts nothing).
-Empty batches are committed too; without any entry the totals are empty.
+Insertions of nothing are committed too; a deletion or revision on a ledger without entries is not, as
+there is nothing that it could change. Without any entry the totals are empty. Texts of any length are
+counted whole; other columns are ignored, whatever their names.
 """
 
 from collections.abc import Iterator
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sitelens.llm.common import stored
 from sitelens.llm.token_ids import batches, encoder, tokenizer_path
+from sitelens.operators.sizing import is_small
 
 _GROUP = ["source", "lang", "tokenizer"]
 _ENTRY = ["doc_id", *_GROUP, "documents", "tokens"]
@@ -52,6 +55,27 @@ def counted(docs: DataFrame, path: str, version: str) -> DataFrame:
     ).select(*_ENTRY)
 
 
+#: Bits of the map that thins rows before ids too many for a broadcast are joined, as a power of two.
+MAP_BITS = 24
+
+
+def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``doc_id`` is among ``ids``, without moving the others.
+
+    Ids that were measured to fit are broadcast. More are hashed to a bit map of fixed size, which is
+    broadcast instead; only rows that it lets through are shuffled and compared with the ids.
+    """
+    ids = ids.select("doc_id").where("doc_id is not null").distinct()
+    if is_small(ids):
+        return rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MAP_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    words = ids.groupBy(F.shiftright(place, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    marked = rows.withColumn("_word", F.shiftright(place, 6)).join(F.broadcast(words), "_word")
+    set_ = F.call_function("getbit", "_bits", place.bitwiseAND(63).cast("int")) == 1
+    return marked.where(set_).select(*rows.columns).join(ids.hint("merge"), "doc_id", "left_semi")
+
+
 class Ledger:
     """Committed batches in a folder that all executors share."""
 
@@ -89,7 +113,7 @@ class Ledger:
         entries = self._read("entries")
         if entries is None:
             return None
-        own = entries.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+        own = with_ids(entries, ids)
         sums = [F.sum(x).alias(x) for x in ("documents", "tokens")]
         return own.groupBy("doc_id", *_GROUP).agg(*sums).where("documents != 0 or tokens != 0")
 
@@ -127,7 +151,7 @@ class Ledger:
         gone = there.join(F.broadcast(versions), "tokenizer", "left_semi")
         known = there.where("documents > 0").select("doc_id").distinct()
         return self._commit(
-            batch, _negative(gone).unionByName(counts.join(known, "doc_id", "left_semi"))
+            batch, _negative(gone).unionByName(with_ids(counts, known).select(*_ENTRY))
         )
 
     def totals(self) -> DataFrame:
@@ -154,9 +178,9 @@ def maintained(docs: DataFrame, labels: DataFrame, path: str) -> DataFrame:
     ledger = Ledger(docs.sparkSession, path)
     file, version = tokenizer_path("byte_bpe_50k.json"), "byte_bpe_50k"
     rejected = labels.where("quality = 0").select(F.col("doc_id").cast("long").alias("doc_id"))
-    toxic = labels.where("toxic = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    toxic = labels.where("toxic = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text", "source", "lang")
-    revised = docs.join(toxic, "doc_id", "left_semi").withColumn("text", F.lower("text"))
+    revised = with_ids(docs, toxic).withColumn("text", F.lower("text"))
     for _ in range(2):  # every batch comes again, as after a failure
         ledger.insert(1, counted(docs, file, version))
         ledger.delete(2, rejected)

@@ -5,11 +5,11 @@ and their beginnings gives its score. Those that stand out in toxic documents of
 are its vocabulary.
 
 Defined results: a null text is an empty one and gets the score of a text without any such word.
-Rows are scored one by one, whatever their ids. Without usable labels every score is 0. An empty
+Rows are scored one by one, whatever their ids. A text that is labelled toxic once is toxic, whatever
+other labels it or its copies have. Without usable labels every score is 0. An empty
 table gives an empty result.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +29,8 @@ REJECT = 0.5
 #: Toxic documents that a word must be in, and the least log-likelihood ratio of its share of them.
 LEAST_DOCUMENTS, LEAST_RATIO = 3, 25.0
 STEPS, PENALTY = 3000, 1e-4
+#: Texts whose words a worker holds at a time while it hands them on.
+SLICE = 256
 
 
 def signs(word: str) -> list[str]:
@@ -60,7 +62,7 @@ class Model:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic`` of labelled documents that may be learned from; equal texts count once."""
+    """``key, text, toxic`` of labelled documents that may be learned from; equal texts count once."""
     usable = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     usable = usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("toxic").cast("int").alias("toxic")
@@ -70,40 +72,41 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     usable = usable.where(ticket < int(share * (1 << 30)))
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
     rows = docs.where("text is not null").join(F.broadcast(usable), "doc_id")
-    return rows.withColumn("key", F.xxhash64("text")).dropDuplicates(["key"]).select("text", "toxic")
+    return rows.groupBy(F.xxhash64("text").alias("key")).agg(
+        F.first("text").alias("text"), F.max("toxic").alias("toxic")
+    )
 
 
 def _restored(rows: DataFrame, chances) -> DataFrame:
+    """``key, toxic, words``: the distinct restored words of each text."""
+
     def restore(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(chances.value)
         for part in parts:
-            words = [
-                sorted({y for w in restorer.words(x) for y in signs(w)}) for x in part["text"]
-            ]
-            yield pd.DataFrame({"toxic": part["toxic"], "words": words})
+            # the words of a few hundred texts at a time
+            for at in range(0, len(part), SLICE):
+                some = part.iloc[at : at + SLICE]
+                words = [sorted(restorer.words(x)) for x in some["text"]]
+                yield pd.DataFrame({"key": some["key"], "toxic": some["toxic"], "words": words})
 
-    return rows.mapInPandas(restore, "toxic int, words array<string>")
+    return rows.mapInPandas(restore, "key long, toxic int, words array<string>")
 
 
-def _standing_out(restored: DataFrame, toxic: int, clean: int) -> list[str]:
-    """At most ``VOCABULARY`` words that toxic documents hold more often than clean ones."""
+def _by_sign(restored: DataFrame) -> DataFrame:
+    """A row for each text and each of its words and beginnings, as ``signs`` gives them."""
+    starts = lambda n: F.transform(
+        F.filter("words", lambda x: F.length(x) > n), lambda x: F.concat(F.left(x, F.lit(n)), F.lit("-"))
+    )
+    every = F.array_distinct(F.concat("words", *(starts(n) for n in BEGINNINGS)))
+    return restored.select("key", "toxic", F.explode(every).alias("word"))
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            of = [Counter(), Counter()]
-            for label, words in zip(part["toxic"], part["words"], strict=True):
-                of[label].update(words)
-            words = [*of[1]]
-            yield pd.DataFrame(
-                {"word": words, "toxic": [of[1][x] for x in words], "clean": [of[0][x] for x in words]}
-            )
-            rest = [x for x in of[0] if x not in of[1]]
-            yield pd.DataFrame({"word": rest, "toxic": 0, "clean": [of[0][x] for x in rest]})
 
+def _standing_out(restored: DataFrame, toxic: int, clean: int) -> list[str]:
+    """At most ``VOCABULARY`` words that toxic documents hold more often than clean ones."""
     counted = (
-        restored.mapInPandas(count, "word string, toxic long, clean long")
+        _by_sign(restored)
         .groupBy("word")
-        .agg(F.sum("toxic").alias("n1"), F.sum("clean").alias("n0"))
+        .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
         .where(F.col("n1") >= LEAST_DOCUMENTS)
     )
     both, share = F.col("n1") + F.col("n0"), toxic / max(1, toxic + clean)
@@ -158,18 +161,15 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(chances, {}, -40.0)
     words = _standing_out(restored, n.get(1, 0), n.get(0, 0))
     place = {x: i for i, x in enumerate(words)}
-    own = context.broadcast(place)
-
-    def keep(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            found = [[own.value[x] for x in row if x in own.value] for row in part["words"]]
-            yield pd.DataFrame({"toxic": part["toxic"], "found": found})
-
-    kept = restored.mapInPandas(keep, "toxic int, found array<int>").toPandas()
-    rows = np.repeat(np.arange(len(kept)), kept["found"].map(len))
-    columns = np.concatenate([*kept["found"], np.zeros(0, int)]).astype("int64")
+    # at most VOCABULARY rows; a text in the sample has a row for each of these that it holds
+    known = docs.sparkSession.createDataFrame([*place.items()], "word string, place int")
+    texts = restored.select("key", "toxic").toPandas().sort_values("key", ignore_index=True)
+    held = _by_sign(restored).join(F.broadcast(known), "word").select("key", "place").toPandas()
+    held = held.sort_values(["key", "place"])
+    rows = np.searchsorted(texts["key"].to_numpy(), held["key"].to_numpy())
+    columns = held["place"].to_numpy(dtype="int64")
     weights, base = sparse_logistic(
-        rows, columns, kept["toxic"].to_numpy(dtype="float64"), len(words)
+        rows, columns, texts["toxic"].to_numpy(dtype="float64"), len(words)
     )
     return Model(chances, {x: float(weights[i]) for x, i in place.items() if weights[i]}, base)
 

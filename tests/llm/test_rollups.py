@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from sitelens.llm.rollups import Ledger, counted, maintained
+from sitelens.llm.rollups import Ledger, counted, maintained, with_ids
 from sitelens.llm.token_ids import WordEncoder, tokenizer_path
 
 FILE = "byte_bpe_50k.json"
@@ -71,3 +71,34 @@ def test_query_against_recount(spark, prose, tmp_path):
     assert totals(maintained(docs, labels, str(tmp_path / "l"))) == recounted(want)
     none = maintained(docs.where(F.lit(False)), labels, str(tmp_path / "m"))
     assert none.count() == 0
+
+
+def test_rows_are_found_by_id_whatever_their_number(spark):
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 50 == 7, None).otherwise(F.col("id") % 700).alias("doc_id"),
+        F.repeat(F.lit("text "), 20).alias("text"),
+        F.lit(1).alias("_extra"),
+    )
+    ids = spark.createDataFrame([(x,) for x in [None, 5, 5, 6, 699, 10_000]], "doc_id long")
+    expected = sorted(r.doc_id for r in rows.collect() if r.doc_id in (5, 6, 699))
+    for bound in ("1000000", "0"):
+        spark.conf.set("spark.sitelens.broadcastBytes", bound)
+        try:
+            found = with_ids(rows, ids)
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sitelens.broadcastBytes")
+        assert found.columns == rows.columns
+        assert sorted(r.doc_id for r in found.collect()) == expected
+        assert ("bit_or" in plan) == (bound == "0")
+
+
+def test_long_texts_and_clashing_columns(spark, tmp_path):
+    text = "word " * 400_000
+    full = spark.createDataFrame(
+        [(1, text, "s", "en", 3, "x", 1)],
+        "doc_id long, text string, source string, lang string, documents int, tokenizer string, batch int",
+    )
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.insert(1, counted(full, tokenizer_path(FILE), "byte_bpe_50k"))
+    assert totals(ledger.totals()) == recounted([("s", "en", text)])

@@ -121,3 +121,27 @@ def test_without_labels(spark, frame):
     labels = spark.createDataFrame([], LABELS)
     assert [r.score < 0.5 for r in toxicity_scores(frame((1, "a")), labels).collect()] == [True]
     assert toxicity_scores(frame(), labels).count() == 0
+
+
+def test_equal_texts_with_opposite_labels_are_toxic(spark, frame):
+    from sitelens.llm.toxicity import _labelled
+
+    rows = [(i, "the same text") for i in range(20)]
+    for order in (rows, rows[::-1]):
+        labels = spark.createDataFrame([(i, i % 2) for i, _ in order], "doc_id long, toxic int")
+        (row,) = _labelled(frame(*order), labels).collect()
+        assert row.toxic == 1
+
+
+def test_signs_in_spark_are_those_of_words(spark):
+    from sitelens.llm.toxicity import _by_sign, signs
+
+    words = ["a", "abcd", "abcde", "éàüöß", "ab😀cdefgh", "abcdefghij"]
+    frame_ = spark.createDataFrame([(1, 1, words)], "key long, toxic int, words array<string>")
+    assert sorted(r.word for r in _by_sign(frame_).collect()) == sorted({x for w in words for x in signs(w)})
+
+
+def test_very_long_text(spark, frame):
+    text = "word " * 200_000 + "idiot"
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity_scores(frame((1, text), (2, None)), labels).count() == 2
