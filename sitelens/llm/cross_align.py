@@ -40,9 +40,9 @@ from sitelens.llm.token_ids import batches, tokenizer_path
 #: Pairs in a dictionary, at most (and one run of texts more); then a task begins another.
 DICTIONARY = 1 << 19
 #: Words that a task remembers; then it starts anew. Bounds memory only.
-REMEMBERED = 700_000
+REMEMBERED = 250_000
 #: Characters of a run of texts, about.
-RUN = 2_000_000
+RUN = 1_000_000
 
 _ENCODERS = {}
 _LINKED = pa.schema(
