@@ -39,6 +39,8 @@ from sitelens.llm.token_ids import batches, tokenizer_path
 
 #: Pairs in a dictionary, at most (and one run of texts more); then a task begins another.
 DICTIONARY = 1 << 19
+#: Links under one dictionary, about: what a task reads together when the answers come back.
+LINKS = 1 << 21
 #: Words that a task remembers; then it starts anew. Bounds memory only.
 REMEMBERED = 250_000
 #: Characters of a run of texts, about.
@@ -251,6 +253,11 @@ class _Task:
         self.times = np.zeros(0, dtype=np.int64)  # by number
         self._forget()
 
+    def begin(self, number: int) -> None:
+        """Another dictionary, which goes on with the same numbers."""
+        self.number = number
+        self.times[:] = 0
+
     def _forget(self) -> None:
         self.words: dict[str, int] = {}
         self.said: list[str] = []
@@ -379,10 +386,13 @@ def linked_runs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for texts in batches([x or "" for x in part.column(1).to_pylist()], RUN):
                 yield _rows([own.run(ids[at : at + len(texts)], texts)])
                 at += len(texts)
-                if len(own.times) >= DICTIONARY:
+                if own.times.sum() >= LINKS or len(own.times) >= DICTIONARY:
                     yield own.row()
                     used += 1
-                    own = _Task(both, base + used)
+                    if len(own.times) >= DICTIONARY:
+                        own = _Task(both, base + used)
+                    else:
+                        own.begin(base + used)
         yield own.row()
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))

@@ -83,7 +83,8 @@ ODD = [
 
 def test_equals_brute_force(spark, frame, prose, monkeypatch):
     monkeypatch.setattr(cross_align, "RUN", 500)
-    monkeypatch.setattr(cross_align, "DICTIONARY", 40)
+    monkeypatch.setattr(cross_align, "DICTIONARY", 400)
+    monkeypatch.setattr(cross_align, "LINKS", 150)
     rows = [(i, t) for i, t in enumerate(ODD)] + [(i, prose(i % 17, 60)) for i in range(100, 140)]
     rows += [(None, prose(3, 60)), (7, "the same id again"), (200, prose(9, 20_000))]
     got = alignment(frame(*rows).repartition(3))
