@@ -8,21 +8,25 @@ each query are read, their vectors are compared exactly, and the windows' best a
 How many ranks are read is measured: some queries are compared with every vector, and windows are
 widened, then more of them read, until enough of the true nearest would have been met.
 
-Equal vectors are one numbered entry of the index with its smallest ids, so a vector that a third of
-all rows share is neither a large window nor many candidates.
+Parallel vectors, equal ones included, are one numbered entry of the index with its smallest ids, so
+a direction that a third of all rows share is neither a large window nor many candidates.
+
+Scores are computed one way for every candidate, from the original vectors, and kept to 13 decimals,
+below which sums of doubles differ by their order only; 1 is the largest. So vectors of equal
+cosine tie, whatever their lengths, and of a window's ties those with the smallest ids are kept.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component takes no
 part; vectors of other lengths are separate indexes; rows with equal ids are rows of their own, but
-no neighbours of each other, and ask once if their vectors are equal too; a row without an id takes
-no part. Fewer candidates than asked for give fewer rows, an empty table
-none.
+no neighbours of each other, and ask once if their vectors are parallel too; a row without an id
+takes no part. Fewer candidates than asked for give fewer rows, an empty table none. Other columns
+of the table are left out, whatever their names.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.llm.common import stored
@@ -37,6 +41,8 @@ RECALL = 0.9
 SAMPLE = 256
 #: Vectors at most that fit centre and widths of an index.
 FIT_ROWS = 4096
+#: Decimals of a score, of a direction that parallel vectors share, and what a product may be off.
+DECIMALS, SAME, SLACK = 13, 1e12, 1e-9
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -103,13 +109,7 @@ class Fitted:
 
 def _fit(entries: DataFrame) -> dict[int, Fitted]:
     """An index for each length of vector, from at most ``FIT_ROWS`` vectors of it."""
-    order = Window.partitionBy("dims").orderBy("entry")
-    drawn = (
-        entries.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= FIT_ROWS)
-        .select("dims", "embedding")
-        .toPandas()
-    )
+    drawn = _drawn(entries, FIT_ROWS).select("dims", "embedding").toPandas()
     return {
         int(dims): Fitted(np.array(part["embedding"].tolist(), dtype="float64"))
         for dims, part in drawn.groupby("dims")
@@ -150,7 +150,7 @@ def _ranked(entries: DataFrame, fitted: dict[int, Fitted]) -> DataFrame:
 def _true_nearest(entries: DataFrame, top: int) -> dict[int, dict[int, list[int]]]:
     """Of each length of vector, some queries and their nearest entries among all."""
     long = entries.groupBy("dims").count().where(F.col("count") > 2 * WINDOW).select("dims")
-    drawn = _at_most(entries.where("asks").join(F.broadcast(long), "dims"), ["dims"], ["entry"], SAMPLE)
+    drawn = _drawn(entries.where("asks").join(F.broadcast(long), "dims"), SAMPLE)
     drawn = drawn.select("dims", "entry", "embedding").toPandas()
     if not len(drawn):
         return {}
@@ -228,42 +228,58 @@ def widths(entries: DataFrame, ranked: DataFrame, top: int) -> dict[int, tuple[i
     return out
 
 
+def cosines(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Cosine of each row with a vector, the same for a pair in whatever company it is computed."""
+    length = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((one * one).sum())
+    return np.clip(np.round((rows * one).sum(axis=1) / length, DECIMALS), -1, 1)
+
+
 def _best(top: int):
     schema = "query long, entry long, score double"
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.array(part["embedding"].tolist(), dtype="float64")
-        vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-        entry, kin = part["entry"].to_numpy(), part["kin"].to_numpy()
+        given = np.array(part["embedding"].tolist(), dtype="float64")
+        vectors = given / np.sqrt((given * given).sum(axis=1, keepdims=True))
+        entry, kin, low = (part[x].to_numpy() for x in ("entry", "kin", "low"))
         own = np.flatnonzero(part["holds"].to_numpy())
         asking = np.flatnonzero(part["asks"].to_numpy())
         alone = len(np.unique(kin[own])) == len(own)
         out = []
         for i in asking if len(own) else ():
-            score = vectors[own] @ vectors[i]
-            if alone:
-                some = np.argpartition(-score, 2 * top)[: 2 * top] if len(own) > 2 * top else slice(None)
-                best = np.arange(len(own))[some]
-            else:  # entries of one id alone, of which no query needs more than ``top``
-                best = np.argsort(-score, kind="stable")
-                best = best[(pd.Series(kin[own[best]]).groupby(kin[own[best]]).cumcount() < top).to_numpy()]
-                best = best[: 2 * top]
-            out.append(pd.DataFrame({"query": entry[i], "entry": entry[own[best]], "score": score[best]}))
+            some = own
+            if alone and len(own) > 2 * top:
+                score = vectors[own] @ vectors[i]
+                some = own[score >= np.partition(score, -2 * top)[-2 * top] - SLACK]
+            score = cosines(given[some], given[i])
+            best = np.lexsort((entry[some], low[some], -score))
+            if not alone:  # entries of one id alone, of which no query needs more than ``top``
+                same = kin[some[best]]
+                best = best[(pd.Series(same).groupby(same).cumcount() < top).to_numpy()]
+            best = best[: 2 * top]
+            out.append(pd.DataFrame({"query": entry[i], "entry": entry[some[best]], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "entry": [], "score": []})
 
     return compare, schema
 
 
+def _direction(vector: Column) -> Column:
+    """What parallel vectors share: the unit vector in whole steps, by way of the largest component."""
+    largest = F.array_max(F.transform(vector, F.abs)).cast("double")
+    scaled = F.transform(vector, lambda x: x.cast("double") / largest)
+    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x))
+    return F.transform(scaled, lambda x: F.rint(x / length * SAME).cast("long"))
+
+
 def _entries(rows: DataFrame) -> DataFrame:
-    """``entry, key, key2, embedding, dims, asks, kin``: a row for each class of equal vectors.
+    """``entry, key, key2, embedding, dims, asks, low, kin``: a row for each class of parallel vectors.
 
-    Entries are numbered in the order of their hashes. ``kin`` is shared by entries whose rows all
-    have the same one id.
+    Entries are numbered in the order of their hashes and hold the vector of their smallest id,
+    ``low``. ``kin`` is shared by entries whose rows all have the same one id.
     """
     same = ["key", "key2"]
     one = F.when(F.col("low") == F.col("high"), F.xxhash64(F.lit(0), "low"))
     classes = rows.groupBy(*same).agg(
-        F.first("embedding").alias("embedding"),
+        F.min_by("embedding", F.struct("vec_id", "embedding")).alias("embedding"),
         F.max("asked").alias("asks"),
         F.min("vec_id").alias("low"),
         F.max("vec_id").alias("high"),
@@ -274,6 +290,7 @@ def _entries(rows: DataFrame) -> DataFrame:
             "embedding",
             F.size("embedding").alias("dims"),
             "asks",
+            "low",
             F.coalesce(one, F.xxhash64(F.lit(1), *same)).alias("kin"),
         ),
         "classes",
@@ -288,16 +305,29 @@ def _at_most(rows: DataFrame, of: list[str], order: list, most: int) -> DataFram
     return rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
 
 
+def _drawn(entries: DataFrame, most: int) -> DataFrame:
+    """Of each length of vector, ``most`` entries by chance, or all if there are fewer.
+
+    A first draw by hash leaves about twice as many of a length, so that few rows are ranked.
+    """
+    counts = entries.groupBy("dims").agg(F.count("*").alias("n"))
+    ticket = F.pmod(F.xxhash64(F.lit(1), "entry"), F.lit(1 << 40)) / float(1 << 40)
+    few = entries.withColumn("ticket", ticket).join(F.broadcast(counts), "dims")
+    few = few.where(F.col("ticket") * F.col("n") <= 2 * most)
+    return _at_most(few, ["dims"], ["ticket", "entry"], most).drop("ticket", "n")
+
+
 def nearest(vectors: DataFrame, asked, top: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``top`` nearest found of every row where ``asked``.
 
     ``asked`` is a condition on ``vec_id``. Nearness is the cosine of the original vectors.
     """
-    rows = usable(vectors).select(
+    rows = usable(vectors).withColumn("direction", _direction(F.col("embedding")))
+    rows = rows.select(
         "vec_id",
         "embedding",
-        F.xxhash64("embedding").alias("key"),
-        F.xxhash64(F.lit(1), F.reverse("embedding")).alias("key2"),
+        F.xxhash64("direction").alias("key"),
+        F.xxhash64(F.lit(1), F.reverse("direction")).alias("key2"),
         asked.alias("asked"),
     )
     rows = stored(rows, "vectors")
@@ -320,7 +350,7 @@ def nearest(vectors: DataFrame, asked, top: int = 5) -> DataFrame:
     beside = F.explode(F.sequence(F.col("window") - F.col("reach"), F.col("window") + F.col("reach")))
     held = placed.withColumn("holds", F.lit(True)).withColumn("asks", F.lit(False))
     asking = placed.where("asks").withColumn("window", beside).withColumn("holds", F.lit(False))
-    columns = ["dims", "curve", "window", "entry", "embedding", "kin", "asks", "holds"]
+    columns = ["dims", "curve", "window", "entry", "embedding", "low", "kin", "asks", "holds"]
     compare, schema = _best(top)
     found = (
         held.select(*columns)

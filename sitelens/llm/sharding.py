@@ -2,10 +2,13 @@
 
 Records are ordered by a key whose high bits are a hash of the text and whose low bits are a hash
 of the id: equal texts stand side by side, and yet a group of copies of any size can be cut. A
-size-weighted sample of keys gives range boundaries; ranges that turn out overfull are sampled
-again and subdivided. Within a range, records are numbered in order, and running byte totals of
+size-weighted sample of keys gives range boundaries; ranges that turn out overfull, by bytes or by
+records, are sampled again and subdivided until none is. A record's weight is its size plus the mean
+size, so that a great many empty texts get boundaries too. Within a range, records are numbered in order, and running byte totals of
 ranges and records say which shard each record falls into.
 
+Only copies of one text under one id, or under ids of one 24-bit hash, can overfill a range.
+
 Defined results: a null text counts one byte and crc32 0, as does an empty one; rows with equal
 ids, or without an id, are placed each by itself; an empty table gives an empty result; other
 columns of the input are left out.
@@ -13,7 +16,7 @@ columns of the input are left out.
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.llm.common import stored
@@ -21,9 +24,8 @@ from sitelens.llm.common import stored
 #: Records that one range should hold, and draws of the sample for each range.
 RANGE_ROWS = 1_000_000
 DRAWS = 64
-#: Ranges for each shard at least, and how often overfull ranges are subdivided.
+#: Ranges for each shard at least.
 RANGES_PER_SHARD = 16
-ROUNDS = 3
 
 
 def records(docs: DataFrame) -> DataFrame:
@@ -45,42 +47,49 @@ def _in_range(bounds: np.ndarray):
     return number(F.col("place"))
 
 
-def _draw(kept: DataFrame, every: float, seed: int) -> np.ndarray:
-    """Keys drawn with a chance of size / ``every``; ``every`` bounds how many come back."""
+def _draw(kept: DataFrame, weight: Column, every: float, seed: int) -> np.ndarray:
+    """Keys drawn with a chance of ``weight`` / ``every``; ``every`` bounds how many come back."""
     ticket = F.pmod(F.xxhash64(F.lit(seed), "place", "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = kept.where(ticket * every < F.col("size")).select("place").toPandas()
+    drawn = kept.where(ticket * every < weight).select("place").toPandas()
     return np.sort(drawn["place"].to_numpy(dtype="int64"))
 
 
 def split_points(kept: DataFrame, shards: int) -> np.ndarray:
     """Range boundaries: quantiles of a weighted sample, then of samples in overfull ranges.
 
-    The driver holds the sample: at most ``DRAWS`` keys a range, and ranges number the records over
-    ``RANGE_ROWS``.
+    A range is overfull above twice its share of the bytes or above twice ``RANGE_ROWS`` records.
+    The driver holds the sample: some ``DRAWS`` keys a range, and ranges number the records over
+    ``RANGE_ROWS``. Each overfull range is also cut at the middle of its keys, so subdividing ends.
     """
     rows, total = kept.agg(F.count("*"), F.sum("size")).first()
     if not rows:
         return np.array([], "int64")
     ranges = max(shards * RANGES_PER_SHARD, -(-rows // RANGE_ROWS))
-    every = total / (ranges * DRAWS)
-    bounds = np.unique(_draw(kept, every, 0)[DRAWS // 2 :: DRAWS])
-    for turn in range(1, ROUNDS + 1):
+    weight = F.col("size") + total / rows
+    every = 2 * total / (ranges * DRAWS)
+    bounds = np.unique(_draw(kept, weight, every, 0)[DRAWS // 2 :: DRAWS])
+    too_long = (F.col("size") > 2.0 * total / ranges) | (F.col("rows") > 2 * RANGE_ROWS)
+    turn = 0
+    while True:
+        turn += 1
         held = (
             kept.groupBy(_in_range(bounds).alias("range"))
             .agg(
                 F.sum("size").alias("size"),
+                F.count("*").alias("rows"),
                 F.min("place").alias("low"),
                 F.max("place").alias("high"),
             )
-            .where((F.col("size") > 2.0 * total / ranges) & (F.col("low") < F.col("high")))
+            .where(too_long & (F.col("low") < F.col("high")))
             .toPandas()
         )
         if not len(held):
-            break
+            return bounds
         over = kept.where(_in_range(bounds).isin([int(x) for x in held["range"]]))
-        drawn = _draw(over, every / 2, turn)
-        bounds = np.unique(np.concatenate([bounds, drawn[DRAWS // 2 :: DRAWS]]))
-    return bounds
+        drawn = _draw(over, weight, every / 2, turn)
+        low, high = (held[x].to_numpy(dtype="int64") for x in ("low", "high"))
+        middle = (low >> 1) + (high >> 1) + (low & high & 1) + 1
+        bounds = np.unique(np.concatenate([bounds, drawn[DRAWS // 2 :: DRAWS], middle]))
 
 
 def sampled_splitters(docs: DataFrame, shards: int = 8) -> DataFrame:

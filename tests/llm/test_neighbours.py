@@ -84,3 +84,40 @@ def test_few_candidates_and_other_lengths(spark):
 
 def test_empty(spark):
     assert found(spark, []) == []
+
+
+def test_ties_go_to_the_smallest_ids(spark):
+    """Multiples of one vector have cosine 1, whatever rounding makes of their components."""
+    for one in ([1.0, 0.0, 0.0, 0.0], [0.1, 0.3, 0.7], [-2.0, 5.0]):
+        rows = [(i, [k * x for x in one]) for i, k in zip(range(60), range(1, 61))]
+        want = [(q, k + 1, i, 1.0) for q in (0, 50) for k, i in enumerate([x for x in range(6) if x != q][:5])]
+        assert found(spark, rows) == want
+
+
+def test_ties_in_many_windows(spark, monkeypatch):
+    """A direction that most rows share, and ties of other directions, in windows of eight ranks."""
+    from sitelens.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "WINDOW", 8)
+    rows = [(i, [2.0 ** (i % 7), 0.0, 0.0]) for i in range(0, 400, 2)]
+    rows += [(i, [3.0, 4.0 * (-1) ** i, 0.0]) for i in (1, 3, 5, 7, 9, 14_002)]
+    rows += [(i, [1.0, 0.0, float(i)]) for i in range(1001, 1100, 2)]
+    got = found(spark, rows)
+    shared = [x for x in got if x[0] % 100 == 0 or x[0] in (50, 150, 250, 350)]
+    want = [
+        (q, k + 1, i, 1.0)
+        for q in range(0, 400, 50)
+        for k, i in enumerate([x for x in range(0, 12, 2) if x != q][:5])
+    ]
+    assert shared == want
+
+
+def test_clashing_columns(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for name in ("entry", "key", "key2", "dims", "asks", "low", "kin", "rank", "score", "query_id", "n"):
+        df = df.withColumn(name, F.lit("x"))
+    got = sorted(tuple(x) for x in nearest(df, F.col("vec_id") % 50 == 0).collect())
+    want = brute([(i, v) for i, v in rows], lambda i: i % 50 == 0)
+    assert [x[:3] for x in got] == [x[:3] for x in want]
