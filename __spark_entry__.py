@@ -23,7 +23,7 @@ from sitelens.functions.pwm import log_odds, smooth  # noqa: E402
 from sitelens.functions.sites import allele_flags  # noqa: E402
 from sitelens.functions.sequence import code_text, reverse_complement  # noqa: E402
 from sitelens.operators.row_id import with_row_id  # noqa: E402
-from sitelens.operators.scan import scan_motifs  # noqa: E402
+from sitelens.operators.scan import scan_motifs, scan_tiles  # noqa: E402
 from sitelens.operators.sizing import extents  # noqa: E402
 from sitelens.operators.windows import (  # noqa: E402
     base_codes,
@@ -42,6 +42,7 @@ from sitelens.sinks.tables import (  # noqa: E402
 )
 from sitelens.sinks.text import preview, write_csv, write_hits  # noqa: E402
 from sitelens.sources.hits import parse_hits, read_hits  # noqa: E402
+from sitelens.sources.long_lines import read_fragment_tiles  # noqa: E402
 from sitelens.sources.motif_info import parse_motif_info, read_motif_info  # noqa: E402
 from sitelens.sources.samples import (  # noqa: E402
     parse_intervals,
@@ -251,8 +252,7 @@ def row_index(spark, d):
     return parts.select("row_id", "p_partkey", "p_name")
 
 
-@_query
-def read_fragment_file(spark, d):
+def _fragment_file(spark, d):
     fragments = fx.derived(spark, d, "fragments").orderBy("chunk_id")
     lines = fragments.selectExpr(
         "case chromosome when -1 then 'chrX' when -2 then 'chrY' else concat('chr', chromosome) end"
@@ -263,7 +263,18 @@ def read_fragment_file(spark, d):
     )
     path = scratch_path(spark, "fragments.tsv")
     lines.write.option("header", True).option("sep", "\t").option("emptyValue", "").csv(path)
-    return read_fragments(spark, path)
+    return path
+
+
+@_query
+def read_fragment_file(spark, d):
+    return read_fragments(spark, _fragment_file(spark, d))
+
+
+@_query
+def read_tiled_fragments(spark, d):
+    tiles = read_fragment_tiles(spark, _fragment_file(spark, d), tile=256, split=1 << 20)
+    return tiles.withColumn("tile", F.col("tile").cast("string"))
 
 
 def _saved_thresholds(spark, d):
@@ -519,6 +530,12 @@ def motif_scan(spark, d):
     return _rounded(hits, STRAND_SCORES)
 
 
+@_query
+def scan_tiled_fragments(spark, d):
+    tiles = read_fragment_tiles(spark, _fragment_file(spark, d))
+    return _rounded(scan_tiles(tiles, fx.nation_pwms(spark, d)), STRAND_SCORES)
+
+
 @_query
 def scan_then_annotate(spark, d):
     hits = scan_motifs(fx.derived(spark, d, "fragments"), fx.nation_pwms(spark, d))
@@ -779,6 +796,10 @@ def _own_oracles() -> dict[str, str]:
             from part""",
         "read_fragment_file": f"""{_with("fragments")}
             select chunk_id, chromosome, start, seq from fragments""",
+        "read_tiled_fragments": f"""{_with("fragments")}, placed as (
+                select *, unnest(range(0, length(seq) - 58, 256)) as place from fragments)
+            select chunk_id, chromosome, start, place as "offset",
+                substr(seq, place + 1, 314) as tile from placed""",
         "read_threshold_file": f"""with {_PWMS}
             select distinct pwmid, concat('nation', pwmid - 1, '.txt') as motif_file, threshold
             from pwms""",
@@ -844,6 +865,7 @@ def _own_oracles() -> dict[str, str]:
                         from (select *, unnest(range(0, 5)) as place from counted
                               where "window" not like '%N%')))""",
         "motif_scan": f"{_SCAN} {_HIT_ROWS}",
+        "scan_tiled_fragments": f"{_SCAN} {_HIT_ROWS}",
         "scan_then_annotate": f"""{_SCAN}, motifs as ({_T["motifs"]}),
             variants as ({_T["variants"]}), found as ({_HIT_ROWS}),
             sites as (select chromosome, mutation_pos, pwmid,

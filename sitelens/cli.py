@@ -5,11 +5,13 @@ import argparse
 from pyspark.sql import SparkSession
 
 from sitelens.functions.pwm import EVEN_BACKGROUND
-from sitelens.operators.scan import scan_motifs
+from sitelens.operators.scan import scan_tiles
+from sitelens.operators.windows import tiles_of
 from sitelens.plans import tables
 from sitelens.plans.intersect import intersect, intersect_samples
 from sitelens.sinks.tables import TARGET_BYTES
 from sitelens.sinks.text import preview, write_csv, write_hits
+from sitelens.sources.long_lines import read_fragment_tiles
 from sitelens.sources.motif_info import read_motif_info
 from sitelens.sources.scan_inputs import (
     number_pwms,
@@ -57,11 +59,12 @@ def _scan(spark, args):
     if args.motifs:
         thresholds = with_motif_numbers(thresholds, read_motif_info(spark, args.motifs))
     pwms = number_pwms(read_pwms(spark, args.pwms), thresholds)
-    hits = scan_motifs(
-        read_fragments(spark, args.fragments),
-        pwms,
-        background=tuple(args.background),
-        smoothing=not args.no_smoothing,
+    if args.long_lines:
+        tiles = read_fragment_tiles(spark, args.fragments)
+    else:
+        tiles = tiles_of(read_fragments(spark, args.fragments))
+    hits = scan_tiles(
+        tiles, pwms, background=tuple(args.background), smoothing=not args.no_smoothing
     )
     write_hits(hits, args.output)
 
@@ -119,6 +122,7 @@ def main(argv=None):
             command.add_argument("--motifs", help="metadata whose order numbers the motifs")
             command.add_argument("--background", type=float, nargs=4, default=EVEN_BACKGROUND)
             command.add_argument("--no_smoothing", action="store_true")
+            command.add_argument("--long_lines", action="store_true")
         if name == "build":
             command.add_argument("--by_position", action="store_true")
         if name == "compact":

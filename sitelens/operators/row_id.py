@@ -40,6 +40,19 @@ def with_row_id(scan: DataFrame, name: str = "row_id") -> DataFrame:
     return joined.withColumn(name, F.col("_place") + F.col("_shift")).select(*scan.columns, name)
 
 
+def dense_numbers(rows: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+    """Number stored rows 1, 2, ... by ``keys``, then by ``order``, which is unique among equal keys.
+
+    Rows of equal keys are numbered in one task, so keys are to hold a bounded number of rows.
+    """
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("long")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_first", F.lit(1))
+    shifts = _shifts(sizes, keys)
+    joined = rows.withColumn("_place", place).join(sized_join_side(shifts, is_small(shifts)), keys)
+    number = (F.col("_place") + F.col("_shift")).alias(name)
+    return joined.select(*(c for c in rows.columns if c != name), number)
+
+
 def _with_places(scan: DataFrame) -> DataFrame | None:
     """The rows with their file and place in it, if the files have them and no filter is on top."""
     if scan._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":

@@ -141,6 +141,12 @@ def scan_motifs(
 
     Returns hits in the shape of ``schemas.HITS``. The position of the first base is ``start + 1``.
     """
-    motifs = pack_motifs(pwms, background, smoothing)
-    hits = keep_hits(best_scores(tiles_of(fragments, tile, partitions), motifs))
+    return scan_tiles(tiles_of(fragments, tile, partitions), pwms, background, smoothing)
+
+
+def scan_tiles(
+    tiles: DataFrame, pwms: DataFrame, background=EVEN_BACKGROUND, smoothing: bool = True
+) -> DataFrame:
+    """As :func:`scan_motifs`, for fragments that are cut into tiles already."""
+    hits = keep_hits(best_scores(tiles, pack_motifs(pwms, background, smoothing)))
     return hits.select(*HITS.names)
