@@ -8,12 +8,14 @@ every case.
 """
 
 import os
+import re
 from array import array
 
 #: Words that a worker remembers; then it starts anew. Bounds memory only.
 REMEMBERED = 1_000_000
 
 _ENCODERS = {}
+_LETTERS = re.compile("[a-zA-Z]+").fullmatch
 
 
 class WordEncoder:
@@ -59,9 +61,17 @@ class WordEncoder:
         # a full stop or comma after an ASCII letter is a piece of its own for either vocabulary
         ended = {w for w in ask if w[-1] in ".," and w[-2:-1].isascii() and w[-2:-1].isalpha()}
         bare = [w for w in {w[:-1] for w in ended} | (ask - ended) if w not in self.words]
-        given = [w.lstrip("\0") if w[0] in "\0\n" else " " + w for w in bare]
-        *found, stop, comma = self._encode([*(given if self.keeps_blanks else bare), ".", ","])
-        self.words.update(zip(bare, found, strict=True))
+        # no rule of either vocabulary cuts or changes a run of these letters, but for their case
+        plain, rest = [], []
+        for w in bare:
+            (plain if _LETTERS(w) else rest).append(w)
+        cut = self.tokenizer.model.tokenize
+        for w in plain:
+            pieces = cut("\u0120" + w if self.keeps_blanks else w.lower())
+            self.words[w] = array("I", [x.id for x in pieces]).tobytes()
+        given = [w.lstrip("\0") if w[0] in "\0\n" else " " + w for w in rest]
+        *found, stop, comma = self._encode([*(given if self.keeps_blanks else rest), ".", ","])
+        self.words.update(zip(rest, found, strict=True))
         for word in ended:
             self.words[word] = self.words[word[:-1]] + (stop if word[-1] == "." else comma)
 
@@ -74,12 +84,11 @@ class WordEncoder:
             self._learn(new)
         out, whole = [], []
         for i, own in enumerate(cut):
-            found = [words[w] for w in own]
-            if None in found:
+            try:
+                out.append(b"".join(map(words.__getitem__, own)))
+            except TypeError:  # a word without ids of its own
                 whole.append(i)
                 out.append(b"")
-            else:
-                out.append(b"".join(found))
         for i, found in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = found
         return out
