@@ -9,13 +9,19 @@ every case.
 
 import os
 import re
+import string
 from array import array
 
 #: Words that a worker remembers; then it starts anew. Bounds memory only.
 REMEMBERED = 1_000_000
 
 _ENCODERS = {}
-_LETTERS = re.compile("[a-zA-Z]+").fullmatch
+_LATIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch
+# signs but for the apostrophe, which can begin a suffix
+_SIGNS = string.punctuation.replace("'", "")
+# byte-level vocabularies show a byte without a printable sign as one from U+0100 on, in order
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 
 
 class WordEncoder:
@@ -58,22 +64,34 @@ class WordEncoder:
                 self.words[word] = b""
             else:
                 ask.add(word)
-        # a full stop or comma after an ASCII letter is a piece of its own for either vocabulary
-        ended = {w for w in ask if w[-1] in ".," and w[-2:-1].isascii() and w[-2:-1].isalpha()}
-        bare = [w for w in {w[:-1] for w in ended} | (ask - ended) if w not in self.words]
-        # no rule of either vocabulary cuts or changes a run of these letters, but for their case
-        plain, rest = [], []
-        for w in bare:
-            (plain if _LETTERS(w) else rest).append(w)
-        cut = self.tokenizer.model.tokenize
-        for w in plain:
-            pieces = cut("\u0120" + w if self.keeps_blanks else w.lower())
-            self.words[w] = array("I", [x.id for x in pieces]).tobytes()
-        given = [w.lstrip("\0") if w[0] in "\0\n" else " " + w for w in rest]
-        *found, stop, comma = self._encode([*(given if self.keeps_blanks else rest), ".", ","])
-        self.words.update(zip(rest, found, strict=True))
-        for word in ended:
-            self.words[word] = self.words[word[:-1]] + (stop if word[-1] == "." else comma)
+        # signs after letters are a piece of their own for either vocabulary, whatever the letters
+        bare, ended, rest = set(), {}, []
+        for word in ask:
+            letters = word.rstrip(_SIGNS)
+            if not (letters.isascii() and letters.isalpha() or _LATIN(letters)):
+                rest.append(word)
+                continue
+            bare.add(letters)
+            if letters != word:
+                ended[word] = letters, word[len(letters) :]
+        for word in bare - self.words.keys():
+            self.words[word] = self._letters(word)
+        signs = [*{x for _, x in ended.values()}]
+        given = [w.lstrip("\0") if w[0] in "\0\n" else " " + w for w in rest] if self.keeps_blanks else rest
+        found = self._encode([*given, *signs])
+        self.words.update(zip(rest, found))
+        after = dict(zip(signs, found[len(rest) :], strict=True))
+        for word, (letters, own) in ended.items():
+            self.words[word] = self.words[letters] + after[own]
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of Latin letters, of which no rule of either vocabulary cuts or changes any
+        but for their case; so the merges apply to it as it is.
+        """
+        word = " " + word if self.keeps_blanks else word.lower()
+        if self.keeps_blanks or not word.isascii():
+            word = word.encode().decode("latin-1").translate(_SHOWN)
+        return array("I", [x.id for x in self.tokenizer.model.tokenize(word)]).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(x) for x in texts]

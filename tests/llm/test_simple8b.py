@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from sitelens.llm.simple8b import Chunk, token_files, write_chunk
-from sitelens.llm.token_ids import tokenizer_path
+from sitelens.llm.token_ids import WordEncoder, tokenizer_path
 
 IDS = st.one_of(st.integers(0, 3), st.integers(0, 70_000), st.integers(0, (1 << 64) - 1))
 
@@ -49,3 +49,20 @@ def test_files_hold_every_document_in_order(frame, prose):
 
 def test_empty(frame):
     assert token_files(frame()).count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_remembered_words_have_the_ids_of_the_library(name):
+    encoder = WordEncoder(tokenizer_path(name))
+    letters = st.text("aBeEsStTyéÉßñÿÀ'×÷İſΣ́", max_size=7)
+    signs = st.text(".,!$#*'’<|_-9 \n", max_size=4)
+
+    @given(st.lists(st.tuples(letters, signs), max_size=12))
+    @settings(max_examples=300, deadline=None)
+    def check(words):
+        text = " ".join(a + b for a, b in words)
+        (got,) = encoder.ids([text])
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert list(np.frombuffer(got, "<u4")) == want
+
+    check()
