@@ -122,29 +122,34 @@ class Templates:
         return _marked(kinds, value), blind
 
     def windows(self, text: str, ways: list[tuple[int, int]]) -> Iterator[tuple]:
-        """Of each way and length: hash, number of slots and slot values of the window at each place."""
+        """Of each way and length: hash of the window at each place, and the text's slot values."""
         named, blind = self.tokens(text)
-        sums: dict[tuple, np.ndarray] = {}
+        sums: dict[tuple, tuple] = {}
         for way, length in ways:
-            token, slot = named if way in (_NAMED, _SHORT_NAMED) else blind
-            if way == _SHORT_VALUES:
-                token, slot = np.where(slot != 0, slot, token), np.zeros_like(slot)
-            short = max(0, length - len(token)) if len(token) and length == WINDOW else 0
-            if short:
-                token = np.concatenate([token, np.zeros(short, "uint64")])
-                slot = np.concatenate([slot, np.zeros(short, "uint64")])
-            n = max(0, len(token) - length + 1)
-            same = (named is blind or way in (_NAMED, _SHORT_NAMED), way == _SHORT_VALUES, length)
+            same = (named is blind or way in (_NAMED, _SHORT_NAMED), way == _SHORT_VALUES)
             if same not in sums:
-                total = np.zeros(n, "uint64")
-                for i, by in enumerate(_PLACE[:length]):
-                    total += token[i : i + n] * by
-                sums[same] = total
-            total = sums[same] + np.uint64(way * 16 + length) * _PLACE[-1]
+                token, slot = named if way in (_NAMED, _SHORT_NAMED) else blind
+                if way == _SHORT_VALUES:
+                    token, slot = np.where(slot != 0, slot, token), np.zeros_like(slot)
+                if 0 < len(token) < WINDOW:  # the text is one window of full length
+                    slot = np.concatenate([slot, np.zeros(WINDOW - len(slot), "uint64")])
+                sums[same] = _sums(token), slot
+            total, slot = sums[same]
+            total = total[length] + np.uint64(way * 16 + length) * _PLACE[-1]
             total = (total ^ (total >> np.uint64(32))) * _MIX
-            held = np.concatenate([[0], np.cumsum(slot != 0)])
-            slots = np.lib.stride_tricks.sliding_window_view(slot, length) if n else np.zeros((0, length))
-            yield way, length, total ^ (total >> np.uint64(29)), held[length:][:n] - held[:n], slots
+            yield way, length, total ^ (total >> np.uint64(29)), slot
+
+
+def _sums(token: np.ndarray) -> list[np.ndarray]:
+    """Weighted sums of the tokens from each place on, by the number of tokens up to a window's."""
+    total, out = np.zeros(len(token), "uint64"), [token[:0]]
+    for i, by in enumerate(_PLACE):
+        if i < len(token):
+            total = total[: len(token) - i] + token[i:] * by
+            out.append(total)
+        else:
+            out.append(total[:0] if i + 1 < WINDOW else total)
+    return out
 
 
 def _marked(kinds: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +180,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         for part in parts:
             for item, text in zip(part["item_id"], part["text"], strict=True):
                 sizes = (len(token) for token, _ in templates.tokens(text))
-                for way, length, window, held, slots in templates.windows(text, _ways(*sizes)):
+                for way, length, window, slot in templates.windows(text, _ways(*sizes)):
+                    if not len(window):
+                        continue
+                    slots = np.lib.stride_tricks.sliding_window_view(slot, length)[: len(window)]
+                    held = (slots != 0).sum(axis=1)
                     telling = held * WINDOW <= SLOTS * length
                     if length < WINDOW and not telling.all():
                         continue
@@ -226,7 +235,7 @@ def document_windows(
         for part in parts:
             docs_, keys, out = part.column(0).to_pylist(), part.column(1).to_pylist(), []
             for doc, key, text in zip(docs_, keys, part.column(2).to_pylist(), strict=True):
-                for _, _, window, _, slots in templates.windows(text or "", ways):
+                for _, length, window, slot in templates.windows(text or "", ways):
                     window = window.view("int64")
                     at = np.arange(len(window))
                     if sought is not None:
@@ -234,7 +243,7 @@ def document_windows(
                         place = np.minimum(np.searchsorted(sought, window[at]), len(sought) - 1)
                         at = at[sought[place] == window[at]] if len(at) else at
                     for i in at:
-                        out.append((doc, key, window[i], i, slots[i].view("int64")))
+                        out.append((doc, key, window[i], i, slot[i : i + length].view("int64")))
                 if len(out) > 50_000:
                     yield _batch(out, fields)
                     out = []
