@@ -36,6 +36,7 @@ from sitelens.plans import tables  # noqa: E402
 from sitelens.schemas import MOTIFS, SITES, STRAND_SCORES  # noqa: E402
 from sitelens.session import scratch_path  # noqa: E402
 from sitelens.sinks.tables import (  # noqa: E402
+    append_sites,
     write_motifs,
     write_sites,
     write_sites_by_position,
@@ -390,8 +391,7 @@ def compact_scattered_sites(spark, d):
     path = scratch_path(spark, "tfbs.pq")
     sites = _sites(spark, d)
     write_sites(sites.where("pwmid % 2 = 0"), path)
-    scattered = sites.where("pwmid % 2 = 1 or pwmid is null").repartition(8)
-    scattered.write.mode("append").partitionBy("pwmid").parquet(path)
+    append_sites(sites.where("pwmid % 2 = 1 or pwmid is null").repartition(8), path)
     tables.compact_scattered(spark, path)
     return read_sites(spark, path)
 

@@ -12,6 +12,7 @@ from sitelens.sinks.tables import (
     FILE_BYTES,
     TARGET_BYTES,
     Written,
+    directories,
     write_motifs,
     write_sites,
     write_sites_by_position,
@@ -59,23 +60,17 @@ def compact_sites(
 
 
 def scattered_motifs(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """``pwmid, files, bytes`` of the motifs with more files than their bytes ask for.
-
-    Only the listing is read: names and lengths of files, never their contents.
+    """``pwmid, files, bytes`` of the motifs with more files than their bytes ask for, in a table
+    with a directory for each motif.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length")
-    )
-    motif = F.regexp_extract("path", "/pwmid=([^/]+)/", 1)
-    sums = files.groupBy(motif.try_cast("bigint").alias("pwmid")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
-    )
+    found = scattered_directories(spark, path, file_bytes)
+    return found.where(F.col("kind") == "pwmid").select(F.col("number").alias("pwmid"), "files", "bytes")
+
+
+def scattered_directories(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``kind, number, files, bytes`` of the directories with more files than their bytes ask for."""
     # a motif just above a target may have one file more than its bytes fill
-    return sums.where(F.col("files") > F.ceil(F.col("bytes") / file_bytes) + 1)
+    return directories(spark, path).where(F.col("files") > F.ceil(F.col("bytes") / file_bytes) + 1)
 
 
 def compact_scattered(
@@ -86,17 +81,21 @@ def compact_scattered(
 ) -> Written | None:
     """Compact in place the motifs that need it, and leave the files of the others alone.
 
-    Their rows are copied to the scratch folder first, so that a failure while directories are
-    replaced loses nothing. Returns what was rewritten, None if nothing had to be.
+    Motifs that share a directory are compacted together. Their rows are copied to the scratch
+    folder first, so that a failure while directories are replaced loses nothing. Returns what was
+    rewritten, None if nothing had to be.
     """
-    wanted = [r.pwmid for r in scattered_motifs(spark, path, file_bytes).select("pwmid").collect()]
-    if not wanted:
+    found = scattered_directories(spark, path, file_bytes).where("kind != ''").collect()
+    if not found:
         return None
-    chosen = F.col("pwmid").isin([x for x in wanted if x is not None])
+    kind, wanted = found[0].kind, [r.number for r in found]
+    chosen = F.col(kind).isin([x for x in wanted if x is not None])
     if None in wanted:
-        chosen = chosen | F.col("pwmid").isNull()
+        chosen = chosen | F.col(kind).isNull()
     copy = scratch_path(spark, "scattered")
-    read_sites(spark, path).where(chosen).write.partitionBy("pwmid").parquet(copy)
+    stored = spark.read.schema(SITES).parquet(path).where(chosen)
+    # files of the table's own sizes: tasks times motifs of them would be a second scatter
+    stored.select(*SITES.names).write.parquet(copy)
     return write_sites(read_sites(spark, copy), path, target_bytes=target_bytes, only_given=True)
 
 

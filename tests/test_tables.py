@@ -16,7 +16,13 @@ from sitelens.plans.tables import (
 )
 from sitelens.schemas import SITES
 from sitelens.session import scratch_path
-from sitelens.sinks.tables import ROW_BYTES, write_motifs, write_sites, write_sites_by_position
+from sitelens.sinks.tables import (
+    ROW_BYTES,
+    append_sites,
+    write_motifs,
+    write_sites,
+    write_sites_by_position,
+)
 from sitelens.sinks.text import preview, write_csv
 from sitelens.sources.tables import read_motifs, read_sites
 
@@ -360,3 +366,31 @@ def test_numbers_of_parquet_rows_need_no_copy(spark, tmp_path):
     assert got == [(n + 1, n) for n in range(5000)]
     filtered = row_id.with_row_id(spark.read.parquet(path).where("id % 2 = 1"))
     assert sorted(r.row_id for r in filtered.collect()) == list(range(1, 2501))
+
+
+def test_many_motifs_share_directories(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sitelens.sinks.tables.MOTIF_DIRECTORIES", 50)
+    monkeypatch.setattr("sitelens.sinks.tables.SHARED_DIRECTORIES", 8)
+    path = str(tmp_path / "tfbs.pq")
+    motif = F.when(F.col("mutation_pos") % 300 == 0, None).otherwise(F.col("mutation_pos") % 300)
+    sites = many_sites(spark).withColumn("pwmid", motif.cast("long"))
+    first = sites.where("pwmid % 2 = 0 or pwmid is null")
+    written = write_sites(first, path)
+    assert len(written.by_motif) == 150
+    made = [d for d in os.listdir(path) if "=" in d]
+    assert 8 <= len(made) <= 12 and all(d.startswith("first_pwmid=") for d in made)
+    assert rows(read_sites(spark, path).fillna(-1)) == rows(first.select(*SITES.names).fillna(-1))
+    # rows added in small files join the directories that are there, and are compacted with them
+    append_sites(sites.where("pwmid % 2 = 1 and pwmid < 200").repartition(5), path)
+    before = listing(path)
+    compact_scattered(spark, path)
+    after = listing(path)
+    kept = {f for f in before if f in after}
+    assert kept and len(after) == len(made) and {f: after[f] for f in kept} == {f: before[f] for f in kept}
+    wanted = sites.where("pwmid % 2 = 0 or pwmid < 200 or pwmid is null").select(*SITES.names)
+    assert rows(read_sites(spark, path).fillna(-1)) == rows(wanted.fillna(-1))
+    for name in after:
+        one = spark.read.parquet(name).coalesce(1).select("pwmid", "chromosome", "mutation_pos")
+        keys = [tuple(r) for r in one.fillna(-1).collect()]
+        assert keys == sorted(keys)
+    assert compact_scattered(spark, path) is None
