@@ -161,14 +161,17 @@ def sample_dispatch_ez(spark, d):
 
 
 def _saved_samples(spark, lines, name):
-    """A file for each of four samples, dealt by the lines' positions."""
+    """Files of four samples, dealt by the lines' positions, in one pass."""
     folder = scratch_path(spark, "samples")
-    dealt = lines.withColumn("n", F.split("value", r"\s+")[1].cast("bigint") % 4)
-    paths = []
-    for n in range(4):
-        paths.append(f"{folder}/{n}.{name}")
-        dealt.where(F.col("n") == n).select("value").coalesce(1).write.text(paths[-1])
-    return paths
+    n = F.split("value", r"\s+")[1].cast("bigint") % 4
+    dealt = lines.withColumn("n", n).where(F.col("n").between(0, 3))
+    dealt = dealt.select("value", F.concat("n", F.lit(f".{name}")).alias("file"))
+    dealt.write.partitionBy("file").text(folder)
+    made = {x.file for x in dealt.select("file").distinct().collect()}
+    paths = {f"{x}.{name}": f"{folder}/file={x}.{name}" for x in range(4)}
+    for missing in paths.keys() - made:
+        spark.createDataFrame([], "value string").write.text(paths[missing])
+    return list(paths.values())
 
 
 @_query
@@ -187,7 +190,7 @@ def intersect_many_variants(spark, d):
 
 
 def _sample_number():
-    return F.regexp_extract("sample", "/([0-9])[.]", 1).cast("bigint")
+    return F.regexp_extract("sample", "/file=([0-9])[.]", 1).cast("bigint")
 
 
 # Parsers and readers

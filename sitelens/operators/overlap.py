@@ -22,6 +22,9 @@ _BLOCK_BITS = 16
 _CELL_BITS = 8
 _COARSER = (0, 3, 6, 9, 12, 15, 18, 20)
 _WORD_BITS = 6
+# Levels up to this are taken as one in a join: its bins of 16 positions hold few more pairs than
+# finer ones, and every level less saves a copy of all sites.
+_LEAST_LEVEL = 4
 
 
 def bin_of(position: Column, bin_bits: int) -> Column:
@@ -105,13 +108,17 @@ def thinned(sites: DataFrame, sample: DataFrame, measured: Profile) -> DataFrame
     return marked.join(words, met, "left_semi").select(*sites.columns)
 
 
-def leveled(intervals: DataFrame, bin_bits: int | None = None) -> DataFrame:
-    """Intervals copied to the bins ``_level, _bin`` that they touch at the level of their length.
+def leveled(intervals: DataFrame, bin_bits: int | None = None, least: int = 0) -> DataFrame:
+    """Intervals copied to the bins ``_level, _bin`` that they touch at the level of their length,
+    which counts as ``least`` if it is lower.
 
     A bin is over half as wide as the interval and at most twice as wide, so an interval has three
     copies at most, and not many more sites in its bins than in itself.
     """
-    level = level_of(F.col("stop") - F.col("start") + 1) if bin_bits is None else F.lit(bin_bits)
+    if bin_bits is None:
+        level = F.greatest(level_of(F.col("stop") - F.col("start") + 1), F.lit(least))
+    else:
+        level = F.lit(bin_bits)
     rows = intervals.withColumn("_level", level)
     first, last = bins_between(F.col("start"), F.col("stop"), F.col("_level"))
     return explode_range(rows, "_bin", first, last)
@@ -149,8 +156,12 @@ def overlap_join(
     small = measured.small(copied=True)
     if not small:
         sites = thinned(sites, usable, measured)
-    binned = leveled(usable, bin_bits)
-    joined = probes(sites, measured.levels or (0,)).join(
+    levels, least = measured.levels or (0,), 0
+    if bin_bits is None:
+        least = max((x for x in levels if x <= _LEAST_LEVEL), default=0)
+        levels = tuple(x for x in levels if x >= least)
+    binned = leveled(usable, bin_bits, least)
+    joined = probes(sites, levels).join(
         sized_join_side(binned, small), ["chromosome", "_level", "_bin"]
     )
     others = [c for c in intervals.columns if c not in ("chromosome", "start", "stop")]

@@ -14,6 +14,7 @@ from sitelens.operators.overlap import (
 )
 from sitelens.operators.selection import selected_motifs
 from sitelens.schemas import LOWER_BASES, MUTATION_SCORES, USE_COLUMNS
+from sitelens.session import written_once
 from sitelens.sources.samples import (
     read_interval_samples,
     read_intervals,
@@ -140,10 +141,13 @@ def intersect_samples(
         raise ValueError(f"sample file extensions that have no common pass: {sorted(unknown)}")
     found = {}
     if ".bed" in kinds:
-        intervals = read_interval_samples(spark, kinds[".bed"], bed_col, n_cols)
+        # a join measures its sample in several passes, so the lines are parsed for all of them
+        intervals = written_once(
+            read_interval_samples(spark, kinds[".bed"], bed_col, n_cols), "intervals"
+        )
         found[".bed"] = intersect_intervals(sites, motifs, intervals, half_open=half_open)
     if ".vcf" in kinds:
-        variants = read_variant_samples(spark, kinds[".vcf"])
+        variants = written_once(read_variant_samples(spark, kinds[".vcf"]), "variants")
         found[".vcf"] = annotate_variants(sites, motifs, variants, only_gains=only_gains)
     return found
 
@@ -167,11 +171,11 @@ def intersect(
     """
     extension = posixpath.splitext(sample)[1].lower()
     if extension == ".bed":
-        intervals = read_intervals(spark, sample, bed_col, n_cols)
+        intervals = written_once(read_intervals(spark, sample, bed_col, n_cols), "intervals")
         explode_intervals(intervals).createOrReplaceTempView("bed")
         return intersect_intervals(sites, motifs, intervals, half_open=half_open)
     if extension == ".vcf":
-        variants = read_variants(spark, sample)
+        variants = written_once(read_variants(spark, sample), "variants")
         variants.createOrReplaceTempView("vcf")
         return annotate_variants(sites, motifs, variants, only_gains=only_gains)
     if extension == ".ez":

@@ -4,7 +4,7 @@ import posixpath
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sitelens-")
     return posixpath.join(root, f"sitelens-{uuid.uuid4().hex}", name)
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to the scratch folder and read from there, for what is read several times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

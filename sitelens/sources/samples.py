@@ -19,9 +19,11 @@ def _first_widths(lines: DataFrame) -> DataFrame:
     first = lines.where("_metadata.file_block_start = 0").select(
         F.col(_FILE).alias("sample"),
         F.monotonically_increasing_id().alias("place"),
-        F.size(fields(F.col("value"))).alias("width"),
+        "value",
     )
-    return first.groupBy("sample").agg(F.min_by("width", "place").alias("width"))
+    # only a file's first line is cut into fields
+    lines = first.groupBy("sample").agg(F.min_by("value", "place").alias("value"))
+    return lines.select("sample", F.size(fields(F.col("value"))).alias("width"))
 
 
 def _first_line_width(lines: DataFrame) -> int | None:

@@ -295,3 +295,23 @@ def test_a_long_interval_is_no_long_list(spark):
     rows_ = explode_intervals(one)
     assert rows_.count() == 250_000_000
     assert rows_.agg(F.min("mutation_pos"), F.max("mutation_pos")).first()[:] == (1, 250_000_000)
+
+
+def test_short_intervals_take_one_probe_of_each_site(spark, monkeypatch):
+    from sitelens.operators import overlap
+
+    asked = []
+    plain = overlap.probes
+    monkeypatch.setattr(overlap, "probes", lambda s, levels: asked.append(levels) or plain(s, levels))
+    sites = spark.range(300).selectExpr("1L as chromosome", "id as mutation_pos")
+    sample = spark.range(60).selectExpr(
+        "1L as chromosome", "id * 5 as start", "id * 5 + id % 20 as stop", "string(id) as bed_name"
+    )
+    more = sample.union(spark.createDataFrame([(1, 100, 260, "long")], sample.schema))
+    for intervals, levels in ((sample, (4,)), (more, (4, 8))):
+        got = overlap.overlap_join(sites, intervals).select("mutation_pos", "bed_name").collect()
+        want = [
+            (p, r.bed_name) for r in intervals.collect() for p in range(r.start, min(r.stop, 299) + 1)
+        ]
+        assert sorted(map(tuple, got)) == sorted(want)
+        assert asked.pop() == levels

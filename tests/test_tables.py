@@ -394,3 +394,20 @@ def test_many_motifs_share_directories(spark, tmp_path, monkeypatch):
         keys = [tuple(r) for r in one.fillna(-1).collect()]
         assert keys == sorted(keys)
     assert compact_scattered(spark, path) is None
+
+
+def test_samples_are_parsed_once(spark, tmp_path):
+    sites = many_sites(spark)
+    motifs = spark.createDataFrame(
+        [(n, f"M{n}", f"TF{n}", 1.5) for n in range(7)],
+        "row_id long, motif_id string, name string, score_threshold double",
+    )
+    bed, vcf = tmp_path / "a.bed", tmp_path / "a.vcf"
+    bed.write_text("chr1\t100 140\nchr1 5\nchr2\t7 9\n")
+    vcf.write_text("#x\nchr1\t102\tv1\tA\tC\n")
+    found = intersect_samples(spark, sites, motifs, [str(bed), str(vcf)])
+    single = [intersect(spark, sites, motifs, str(x)) for x in (bed, vcf)]
+    for one, many in zip(single, found.values(), strict=True):
+        assert one.count() == many.count() > 0
+        for df in (one, many):
+            assert "FileScan text" not in df._jdf.queryExecution().executedPlan().toString()
