@@ -172,8 +172,18 @@ def fragment_lines(spark: SparkSession, path: str, split: int = SPLIT) -> DataFr
     )
 
 
+_TILES = {
+    "chunk_id": pa.int64(),
+    "chromosome": pa.int64(),
+    "start": pa.int64(),
+    "offset": pa.int64(),
+    "tile": pa.binary(),
+}
+
+
 def _cut(tile: int):
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        """The tiles of each run."""
         path, file = None, None
         for batch in batches:
             for row in batch.to_pylist():
@@ -186,24 +196,30 @@ def _cut(tile: int):
                 held = file.read_at(size, row["first"] + begin)
                 if len(held) != size:
                     raise ValueError(f"{path} has changed while it was read")
-                offsets = range(0, size - 2 * FLANK, tile)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        **{
-                            name: pa.array([row[name]] * len(offsets), kind)
-                            for name, kind in (
-                                ("chunk_id", pa.int64()),
-                                ("chromosome", pa.int64()),
-                                ("start", pa.int64()),
-                            )
-                        },
-                        "offset": pa.array([begin + x for x in offsets], pa.int64()),
-                        "tile": pa.array([held[x : x + tile + 2 * FLANK] for x in offsets], pa.binary()),
-                    }
-                )
+                own = row["chunk_id"], row["chromosome"], row["start"]
+                yield [
+                    (*own, begin + x, held[x : x + tile + 2 * FLANK])
+                    for x in range(0, size - 2 * FLANK, tile)
+                ]
         if file:
             file.close()
 
+    def packed(tiles: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*tiles), _TILES.values())
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in columns], list(_TILES))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # short sequences leave a task together, about a block of them
+        held, size = [], 0
+        for run in rows(batches):
+            held += run
+            size += sum(len(x[-1]) for x in run)
+            if size >= BLOCK:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
     return read
 
 

@@ -72,3 +72,22 @@ def test_bad_lines_fail(spark, tmp_path):
 def test_no_lines(spark, tmp_path):
     (tmp_path / "a.tsv").write_text(HEAD)
     assert read_fragment_tiles(spark, str(tmp_path)).count() == 0
+
+
+def test_tiles_of_short_sequences_leave_together(tmp_path):
+    import pyarrow as pa
+
+    from sitelens.sources.long_lines import _cut
+
+    path = tmp_path / "f.tsv"
+    path.write_bytes(b"acgt" * 25 * 40)
+    rows = [
+        {"path": f"file:{path}", "chunk_id": n, "chromosome": None if n % 9 else 1, "start": n,
+         "first": 100 * n, "length": 100, "run": 0}
+        for n in range(40)
+    ]
+    batches = list(_cut(16)(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert len(batches) == 1 and batches[0].num_rows == 40 * 3
+    got = batches[0].to_pylist()
+    assert [r["offset"] for r in got[:3]] == [0, 16, 32] and len(got[2]["tile"]) == 68
+    assert all(r["tile"] == (b"acgt" * 25)[r["offset"] : r["offset"] + 16 + 58] for r in got)
