@@ -5,8 +5,9 @@ Long ones are read in windows of words that overlap by the longest template's le
 notice lies whole in one. A window's features are the words, pairs and triples that occur in the
 templates of the license families, divided by the root of their number. A multinomial logistic
 regression with a class for anything else is trained on templates, on templates with a tenth of their
-words left out, and on windows of the corpus. A family's chance must exceed what all but a thousandth
-of the corpus' other windows reach; a prediction is confirmed when the window holds most word triples
+words left out, and on all windows of the corpus that share a feature with templates but hold none.
+Windows of equal features count as one of their joint mass. A family's chance must exceed what all but
+a thousandth of those windows reach (read to six decimals); a prediction is confirmed when the window holds most word triples
 of one of the family's templates. The confirmed notice's words are then blotted out and the rest of
 the window is scanned again, until nothing is found, so a paragraph may have several families.
 
@@ -24,8 +25,6 @@ from pyspark.sql import functions as F
 
 from sitelens.llm.common import stored
 
-#: Windows of the corpus, at most, that train the class of anything else.
-FIT_PARAGRAPHS = 20_000
 STEPS, RATE, PENALTY = 30, 60.0, 1e-3
 #: Share of a template's word triples that confirms a prediction.
 CONFIRM = 0.7
@@ -200,8 +199,8 @@ def compared(rows: DataFrame, templates: DataFrame, key: list[str]) -> DataFrame
     )
 
 
-def _training(templates: DataFrame, corpus: DataFrame) -> DataFrame:
-    """``row, class, words``: templates and variants of them, and paragraphs of the corpus."""
+def _training(templates: DataFrame, others: DataFrame) -> DataFrame:
+    """``class, words``: templates and variants of them, and windows of the corpus."""
     drop = lambda w, i: F.pmod(F.xxhash64(w, i, F.col("variant")), F.lit(10)) != 0
     positive = (
         templates.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
@@ -210,18 +209,52 @@ def _training(templates: DataFrame, corpus: DataFrame) -> DataFrame:
         )
         .select(F.col("family").alias("class"), "words")
     )
-    negative = corpus.select(F.lit(OTHER).alias("class"), "words")
-    return positive.unionByName(negative).withColumn("row", F.monotonically_increasing_id())
+    return positive.unionByName(others.select(F.lit(OTHER).alias("class"), "words"))
 
 
-def _others(docs: DataFrame, templates: DataFrame, anchors: list[str]) -> DataFrame:
-    """Paragraphs of the corpus that share a feature with templates, but hold no template."""
-    rows = paragraphs(docs, anchors).withColumn("key", F.xxhash64("words")).dropDuplicates(["key"])
-    rows = stored(rows.select("key", "words"), "license-paragraphs")
-    share = min(1.0, FIT_PARAGRAPHS / max(1, rows.count()))
-    rows = rows.where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30)))
+def _others(windows: DataFrame, templates: DataFrame) -> DataFrame:
+    """Distinct windows of the corpus that hold no template."""
+    rows = windows.select(F.xxhash64("words").alias("key"), "words").dropDuplicates(["key"])
+    rows = stored(rows, "license-paragraphs")
     alike = compared(rows, templates, ["key"]).where(F.col("similarity") >= CONFIRM).select("key")
-    return rows.join(F.broadcast(alike.distinct()), "key", "left_anti")
+    return rows.join(alike.distinct(), "key", "left_anti")
+
+
+def _feature_sets(rows: DataFrame, grams: list[str]) -> DataFrame:
+    """``own, mass, n, value, held``: the sets of features of ``rows`` (``class, words``), once a class.
+
+    ``held`` are places in ``grams``, each of ``value``; the classes have equal masses together.
+    """
+    known = F.array(*map(F.lit, grams))
+    sets = rows.select("class", F.array_sort(F.array_intersect(_features(F.col("words")), known)).alias("set"))
+    sets = stored(sets.groupBy("class", "set").agg(F.count("*").alias("n")), "license-sets")
+    all_of = F.broadcast(sets.groupBy("class").agg(F.sum("n").alias("all")))
+    place = lambda x: (F.array_position(known, x) - 1).cast("int")
+    found = sets.join(all_of, "class").select(
+        (F.array_position(F.array(*map(F.lit, CLASSES)), F.col("class")) - 1).cast("int").alias("own"),
+        (F.col("n") / F.col("all") / len(CLASSES)).alias("mass"),
+        "n",
+        (1 / F.sqrt(F.greatest(F.size("set"), F.lit(1)))).alias("value"),
+        F.transform("set", place).alias("held"),
+    )
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(found.repartition(tasks), "license-training")
+
+
+def _set_chances(sets: DataFrame, grams: list[str], values: dict) -> DataFrame:
+    """``sets`` with ``chances``, one for each class: softmax of the margins."""
+    table = [[values[g, c] for c in CLASSES] for g in grams]
+    weights = sets.sparkSession.createDataFrame([(table,)], "weights array<array<double>>")
+    w, base = F.col("weights"), grams.index("")
+
+    def margin(c):
+        held = F.aggregate("held", F.lit(0.0), lambda total, g: total + w[g][c])
+        return w[base][c] + F.col("value") * held
+
+    raised = F.transform(F.sequence(F.lit(0), F.lit(len(CLASSES) - 1)), lambda c: F.exp(margin(c)))
+    found = sets.join(F.broadcast(weights.coalesce(1))).withColumn("e", raised)
+    found = found.withColumn("whole", F.aggregate("e", F.lit(0.0), lambda total, x: total + x))
+    return found.select(*sets.columns, F.transform("e", lambda x: x / F.col("whole")).alias("chances"))
 
 
 def _chances(held: DataFrame, weights: DataFrame, key: str) -> DataFrame:
@@ -243,55 +276,44 @@ def _weights(spark: SparkSession, values: dict[tuple[str, str], float]) -> DataF
     return spark.createDataFrame(rows, "gram string, class string, weight double").coalesce(1)
 
 
-def train(
-    docs: DataFrame, templates: DataFrame, known: DataFrame, anchors: list[str]
-) -> tuple[DataFrame, float]:
+def train(windows: DataFrame, templates: DataFrame, known: DataFrame) -> tuple[DataFrame, float]:
     """Weights, and the chance that a family must exceed, after full-batch gradient steps.
 
-    Rows of one class with equal features are one row of their joint mass. The driver holds the
-    weights, as many as the templates have features, times the classes.
+    Every one of ``windows`` counts. A step is a pass over the sets of features that sums slopes in
+    the tasks; the driver holds the weights, as many as the templates have features, times the
+    classes.
     """
-    spark = docs.sparkSession
-    rows = stored(_training(templates, _others(docs, templates, anchors)), "license-training")
-    held = stored(_held(rows, known, ["row"]), "license-features")
-    same = held.groupBy("row").agg(F.hash(F.array_sort(F.collect_list("gram"))).alias("features"))
-    one = (
-        rows.join(same, "row")
-        .groupBy("class", "features")
-        .agg(F.min("row").alias("row"), F.count("*").alias("n"))
-        .withColumn("mass", F.col("n") / F.sum("n").over(Window.partitionBy("class")) / len(CLASSES))
-    )
-    one = stored(one.select("row", F.col("class").alias("own"), "mass", "n"), "license-rows")
-    held = stored(held.join(one.select("row"), "row", "left_semi"), "license-held")
-    # the rows are bounded, and in one partition no step has to move them
-    one, held = one.coalesce(1), held.coalesce(1)
+    spark = windows.sparkSession
     grams = sorted(x.gram for x in known.collect())
+    sets = _feature_sets(_training(templates, _others(windows, templates)), grams)
     values = {(g, c): 0.0 for g in grams for c in CLASSES}
+    each = F.struct(F.lit(grams.index("")).alias("gram"), F.lit(1.0).alias("value"))
+    held = F.transform("held", lambda g: F.struct(g.alias("gram"), F.col("value").alias("value")))
     for _ in range(STEPS):
-        chances = _chances(held, _weights(spark, values), "row")
-        hit = (F.col("class") == F.col("own")).cast("double")
-        miss = chances.join(F.broadcast(one), "row").select(
-            "row", "class", ((F.col("chance") - hit) * F.col("mass")).alias("miss")
+        chances = _set_chances(sets, grams, values)
+        miss = F.transform(
+            "chances", lambda x, c: (x - (c == F.col("own")).cast("double")) * F.col("mass")
         )
         slopes = (
-            held.join(F.broadcast(miss), "row")
-            .groupBy("gram", "class")
-            .agg(F.sum(F.col("value") * F.col("miss")).alias("slope"))
+            chances.select(miss.alias("miss"), F.inline(F.concat(F.array(each), held)))
+            .groupBy("gram")
+            .agg(*(F.sum(F.col("value") * F.col("miss")[c]).alias(f"c{c}") for c in range(len(CLASSES))))
         )
         for x in slopes.collect():
-            at = (x["gram"], x["class"])
-            values[at] -= RATE * (x["slope"] + PENALTY * values[at] / len(CLASSES) * bool(x["gram"]))
-    weights = _weights(spark, values)
+            gram = grams[x["gram"]]
+            for c, kind in enumerate(CLASSES):
+                own = PENALTY * values[gram, kind] / len(CLASSES) * bool(gram)
+                values[gram, kind] -= RATE * (x[f"c{c}"] + own)
+    other = CLASSES.index(OTHER)
+    families = F.filter("chances", lambda x, c: c != other)
     reached = (
-        _chances(held, weights, "row")
-        .where(F.col("class") != OTHER)
-        .join(F.broadcast(one.where(F.col("own") == OTHER)), "row")
-        .groupBy("row")
-        .agg(F.max("chance").alias("chance"), F.first("n").alias("n"))
+        _set_chances(sets.where(F.col("own") == other), grams, values)
+        .groupBy(F.round(F.array_max(families), 6).alias("chance"))
+        .agg(F.sum("n").alias("n"))
         .agg(F.expr("percentile(chance, 0.999, n)"))
         .first()[0]
     )
-    return weights, max(LEAST_CHANCE, min(0.95, reached or 0.0))
+    return _weights(spark, values), max(LEAST_CHANCE, min(0.95, reached or 0.0))
 
 
 def _blotted(words, triples):
@@ -332,9 +354,9 @@ def license_notices(docs: DataFrame) -> DataFrame:
     single = known.select(F.explode(F.split("gram", " ")).alias("word")).distinct()
     plain = ~F.col("word").isin([*COMMON, ""]) & ~F.col("word").rlike(r"^\d+$")
     anchors = sorted(x.word for x in single.where(plain).collect())
-    weights, least = train(docs, templates, known, anchors)
     rows = paragraphs(docs, anchors).withColumn("window", F.monotonically_increasing_id())
     rows = stored(rows, "license-candidates")
+    weights, least = train(rows, templates, known)
     of = ["family", "template"]
     triples = _triples(templates).groupBy(*of).agg(F.collect_set("triple").alias("triples"))
     found, left = [], rows.select("window", "words")

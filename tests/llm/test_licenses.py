@@ -118,3 +118,20 @@ def test_extra_columns_with_clashing_names(spark):
         rows, "doc_id int, text string, family string, words string, chance double, `at` int"
     )
     assert [(r.doc_id, r.family) for r in license_notices(docs).collect()] == [(1, "MIT")]
+
+
+def test_every_window_of_the_corpus_counts(frame, prose):
+    """Distinct windows above any former bound stay, and equal sets of features are one row."""
+    from sitelens.llm import licenses
+
+    assert not hasattr(licenses, "FIT_PARAGRAPHS")
+    docs = frame(*((i, f"{prose(i, 5)} license n{i}") for i in range(21_000)))
+    templates = licenses._templates(docs.sparkSession)
+    known = licenses.vocabulary(templates)
+    windows = licenses.paragraphs(docs, ["license"])
+    others = licenses._others(windows, templates)
+    grams = sorted(x.gram for x in known.collect())
+    sets = licenses._feature_sets(licenses._training(templates, others), grams)
+    rows = [r for r in sets.collect() if r.own == licenses.CLASSES.index(licenses.OTHER)]
+    assert sum(r.n for r in rows) == 21_000 and len(rows) == 1
+    assert [grams[g] for g in rows[0].held] == ["license"]
