@@ -46,7 +46,9 @@ SMALL = 32
 #: Texts that are looked up by a broadcast of their keys, 24 bytes each; more are joined.
 BROADCAST_SETS = 1_000_000
 #: Words that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
+#: Texts that a worker works on at once.
+AT_ONCE = 256
 
 _draw = np.random.default_rng(20_240_501)
 _SCALE = _draw.integers(0, 1 << 31, HASHES, "uint32") * 2 + 1
@@ -86,6 +88,13 @@ class Shingles:
         return np.unique(_mixed(total))
 
 
+def _slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``AT_ONCE`` rows, so that few texts and sets are Python objects."""
+    for part in parts:
+        for at in range(0, part.num_rows, AT_ONCE):
+            yield part.slice(at, AT_ONCE)
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The smallest of each of ``HASHES`` hashes over the set."""
     low = (shingles >> np.uint64(16)).astype("uint32")
@@ -126,7 +135,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
-        for part in parts:
+        for part in _slices(parts):
             counts, nodes, sigs = [], [], []
             for text in part.column(3).to_pylist():
                 own = shingles(text)
@@ -291,7 +300,7 @@ def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
-        for part in parts:
+        for part in _slices(parts):
             found = [shingles(x).view("int64") for x in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "members"]
