@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -66,3 +68,15 @@ def test_remembered_words_have_the_ids_of_the_library(name):
         assert list(np.frombuffer(got, "<u4")) == want
 
     check()
+
+
+def test_remembered_words_are_small():
+    """A word remembered is bytes in arrays, not objects."""
+    known, before = WordEncoder(tokenizer_path("word_bpe_49k.json")), pa.total_allocated_bytes()
+    words = [f"{a}{b}{c}" for a in "aeiou" for b in range(100, 150) for c in ("st", "re", "ing", "tion")]
+    tracemalloc.start()
+    ids = known.ids([" ".join(words)])
+    held = tracemalloc.get_traced_memory()[0] - sum(map(len, ids)) + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 100 * len(words)
+    assert ids == [b"".join(known.ids([w])[0] for w in words)]
