@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import stored
+from sitelens.llm.common import held, stored
 
 #: Tokens of a window, and placeholders up to which a window is telling.
 WINDOW, SLOTS = 8, 3
@@ -230,7 +230,7 @@ def document_windows(
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates, sought = Templates(), shared.value
+        templates, sought = held("templates", Templates), shared.value
         sieve = None if sought is None else _sieve(sought)
         for part in parts:
             docs_, keys, out = part.column(0).to_pylist(), part.column(1).to_pylist(), []

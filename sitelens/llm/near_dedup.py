@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import stored
+from sitelens.llm.common import held, stored
 from sitelens.llm.components import components
 
 WORDS = 5
@@ -134,7 +134,7 @@ def signed(docs: DataFrame) -> DataFrame:
     )
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles()
+        shingles = held("shingles", Shingles)
         for part in _slices(parts):
             counts, nodes, sigs = [], [], []
             for text in part.column(3).to_pylist():
@@ -299,7 +299,7 @@ def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
     same = (keyed["text_key"] == wanted["text_key"]) & keyed["doc_id"].eqNullSafe(wanted["doc_id"])
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles()
+        shingles = held("shingles", Shingles)
         for part in _slices(parts):
             found = [shingles(x).view("int64") for x in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

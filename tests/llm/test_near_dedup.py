@@ -1,9 +1,12 @@
 import random
+import weakref
 
 import pytest
 
 from sitelens.llm import near_dedup
-from sitelens.llm.near_dedup import least_matches, near_duplicates, representatives
+from sitelens.llm.common import held
+from sitelens.llm.near_dedup import Shingles, least_matches, near_duplicates, representatives
+from sitelens.llm.token_ids import encoder, tokenizer_path
 
 
 def shingles(text):
@@ -107,3 +110,13 @@ def test_early_stops_miss_rarely():
 def test_empty(frame):
     assert near_duplicates(frame()).count() == 0
     assert near_duplicates(frame((1, None), (2, ""))).where("kept").count() == 2
+
+
+def test_workers_let_go_of_other_operators_words():
+    """A worker that packed documents before has room for shingles."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    known = encoder(path)
+    assert encoder(str(path)) is known
+    known, gone = None, weakref.ref(known)
+    assert len(held("shingles", Shingles)("a b c d e f")) == 2
+    assert gone() is None
