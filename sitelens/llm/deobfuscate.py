@@ -5,9 +5,10 @@ cost. Viterbi decoding finds the path of least cost under the channel and a char
 model, which is counted over the whole corpus.
 """
 
+import re
 import string
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -149,8 +150,9 @@ def decode(slots: list[list[tuple[str, float]]], chances: np.ndarray) -> str:
     return "".join(reversed(out)).strip()
 
 
-def _runs_of_three(word: str) -> bool:
-    return any(a == b == c for a, b, c in zip(word, word[1:], word[2:]))
+_RUN_OF_THREE = re.compile(r"(.)\1\1", re.DOTALL).search
+# three signs that stand alone; every run of single letters has them
+_THREE_ALONE = re.compile(r"(?<!\S)\S\s+\S\s+\S(?!\S)").search
 
 
 class Restorer:
@@ -161,11 +163,14 @@ class Restorer:
         self.known: dict[str, tuple[str, ...]] = {}
 
     def _restore(self, token: str) -> tuple[str, ...]:
-        word = token.translate(_INVISIBLE).lower().strip(_EDGES).rstrip("!")
+        if token.isalpha():  # no signs to strip
+            word = token.lower()
+        else:
+            word = token.translate(_INVISIBLE).lower().strip(_EDGES).rstrip("!")
         if word == token:  # one string for both
             word = token
         if word.isalpha():
-            return (word,) if not _runs_of_three(word) else self._decoded(word)
+            return (word,) if not _RUN_OF_THREE(word) else self._decoded(word)
         letters = sum(map(str.isalpha, word))
         if not letters:
             return ()
@@ -178,16 +183,19 @@ class Restorer:
         return tuple(decode(lattice(word), self.chances).split())
 
     def words(self, text: str | None) -> set[str]:
+        return self.found(text, self.known, lambda words: words)
+
+    def found(self, text: str | None, known: dict, of: Callable[[tuple[str, ...]], tuple]) -> set:
+        """What ``of`` gives for the words of a text; ``known`` keeps it token by token."""
         tokens = (text or "").split()
-        known = self.known
         if len(known) > REMEMBERED:
             known.clear()
         distinct = set(tokens)
         for token in distinct.difference(known):
-            known[token] = self._restore(token)
-        out = {x for token in distinct for x in known[token]}
-        for run in single_letters(tokens):
-            out.update(self._decoded(run))
+            known[token] = of(self._restore(token))
+        out = set().union(*map(known.__getitem__, distinct))
+        for run in single_letters(tokens) if _THREE_ALONE(text or "") else ():
+            out.update(of(self._decoded(run)))
         return out
 
 

@@ -17,8 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import held_out, stored
-from sitelens.llm.deobfuscate import REMEMBERED, Restorer, gram_counts, log_chances
+from sitelens.llm.common import held, held_out, stored
+from sitelens.llm.deobfuscate import Restorer, gram_counts, log_chances
 
 #: Labelled documents, and words, at most that fit the model.
 FIT_ROWS, VOCABULARY = 40_000, 4096
@@ -46,15 +46,13 @@ class Model:
 
     def scorer(self):
         restorer, weights = Restorer(self.chances), self.weights
-        known: dict[str, list[str]] = {}
+        known: dict[str, tuple[str, ...]] = {}
+
+        def telling(words: tuple[str, ...]) -> tuple[str, ...]:
+            return tuple([x for word in words for x in signs(word) if x in weights])
 
         def score(text: str | None) -> float:
-            words = restorer.words(text)
-            if len(known) > REMEMBERED:
-                known.clear()
-            for word in words.difference(known):
-                known[word] = [x for x in signs(word) if x in weights]
-            found = {x for word in words for x in known[word]}
+            found = restorer.found(text, known, telling)
             margin = self.base + sum(weights[x] for x in sorted(found))
             return float(1 / (1 + np.exp(-np.clip(margin, -40, 40))))
 
@@ -81,7 +79,7 @@ def _restored(rows: DataFrame, chances) -> DataFrame:
     """``key, toxic, words``: the distinct restored words of each text."""
 
     def restore(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer = Restorer(chances.value)
+        restorer = held(chances.value, lambda: Restorer(chances.value))
         for part in parts:
             # the words of a few hundred texts at a time
             for at in range(0, len(part), SLICE):
@@ -180,7 +178,7 @@ def chance_of(docs: DataFrame, model: Model):
 
     @F.pandas_udf("double")
     def chance(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        score = shared.value.scorer()
+        score = held(shared.value, shared.value.scorer)
         for texts in parts:
             yield pd.Series([score(x) for x in texts], dtype="float64")
 

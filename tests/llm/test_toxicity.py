@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from sitelens.llm.common import held
 from sitelens.llm.deobfuscate import (
     LETTERS,
     Restorer,
@@ -12,7 +13,7 @@ from sitelens.llm.deobfuscate import (
     log_chances,
     single_letters,
 )
-from sitelens.llm.toxicity import clean_documents, sparse_logistic, toxicity_scores
+from sitelens.llm.toxicity import Model, clean_documents, sparse_logistic, toxicity_scores
 
 LABELS = "doc_id long, quality int, toxic int"
 BAD = ["idiot", "moron", "scum"]
@@ -145,3 +146,14 @@ def test_very_long_text(spark, frame):
     text = "word " * 200_000 + "idiot"
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     assert toxicity_scores(frame((1, text), (2, None)), labels).count() == 2
+
+
+def test_tasks_of_a_worker_share_restored_words(restorer, monkeypatch):
+    asked, restore = [], Restorer._restore
+    monkeypatch.setattr(Restorer, "_restore", lambda self, token: asked.append(token) or restore(self, token))
+    model = Model(restorer.chances, {"idiot": 2.0, "mor-": 1.0}, -1.0)
+    first = held(model, model.scorer)("one id1ot and morons")
+    assert held(model, model.scorer)("morons and one id1ot") == first == 1 / (1 + np.exp(-2.0))
+    assert sorted(asked) == ["and", "id1ot", "morons", "one"]
+    other = Model(restorer.chances, {}, -1.0)
+    assert held(other, other.scorer)("id1ot") == 1 / (1 + np.exp(1.0))
