@@ -23,19 +23,20 @@ result. Other columns are ignored, whatever their names.
 import hashlib
 import os
 import re
-from array import array
+import string
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.llm.common import stored
-from sitelens.llm.token_ids import batches, tokenizer_path
+from sitelens.llm.token_ids import batches, byte_letters, is_latin, numbered, parts, tokenizer_path
 
 #: Pairs in a dictionary, at most (and one run of texts more); then a task begins another.
 DICTIONARY = 1 << 19
@@ -45,8 +46,11 @@ LINKS = 1 << 21
 REMEMBERED = 250_000
 #: Characters of a run of texts, about.
 RUN = 1_000_000
+#: Words whose bytes are compared with their tokens' at once.
+COMPARED = 256
 
 _ENCODERS = {}
+_LETTERS = frozenset(string.ascii_letters)
 _LINKED = pa.schema(
     [
         ("dictionary", pa.int64()),
@@ -171,13 +175,36 @@ class Pair:
         found = [x[1:] if w[0] == "\n" and x[:1] == [self.lead] else x for w, x in zip(words, found, strict=True)]
         return self._same([w if w[0] == "\n" else " " + w for w in words], found)
 
+    def _ids_a(self, led: list[str]) -> list[list[int]]:
+        """Ids of A. No rule cuts or changes a blank and Latin letters, so the merges apply to them as
+        they are."""
+        merged, rest, out = self.a.model.tokenize, [], []
+        for i, text in enumerate(led):
+            if text[:1] == " " and is_latin(text[1:]):
+                out.append([x.id for x in merged(byte_letters(text))])
+            else:
+                rest.append(i)
+                out.append([])
+        for i, x in zip(rest, self.a.encode_batch_fast([led[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = x.ids
+        return out
+
     def _same(self, led: list[str], found_b: list[list[int]]) -> tuple[list[list[int]], list[list[int]]]:
-        found_a = [x.ids for x in self.a.encode_batch_fast(led, add_special_tokens=False)]
-        for i, (text, a, b) in enumerate(zip(led, found_a, found_b, strict=True)):
-            whole = text.encode()
-            for table, ids in ((self.bytes_a, a), (self.bytes_b, b)):
-                if b"".join(map(table.__getitem__, ids)) != whole:
-                    found_a[i], found_b[i] = [], []
+        found_a, tables = self._ids_a(led), (self.bytes_a, self.bytes_b)
+        for at in range(0, len(led), COMPARED):
+            some = range(at, min(at + COMPARED, len(led)))
+            # a byte that no text has shows where each of them ends
+            whole = b"\xff".join([led[i].encode() for i in some])
+            if all(
+                b"\xff".join([b"".join(map(table.__getitem__, ids[i])) for i in some]) == whole
+                for table, ids in zip(tables, (found_a, found_b))
+            ):
+                continue
+            for i in some:
+                whole = led[i].encode()
+                for table, ids in zip(tables, (found_a[i], found_b[i])):
+                    if b"".join(map(table.__getitem__, ids)) != whole:
+                        found_a[i], found_b[i] = [], []
         return found_a, found_b
 
 
@@ -224,6 +251,11 @@ def divided(both: Pair, ids_a: list[list[int]], ids_b: list[list[int]]) -> Divid
 
 def groups_texts(both: Pair, x: Divided) -> list[str]:
     """Of each text ``a1,a2|b1;a3|b2,b3``: decimal ids, group by group."""
+    return [said[:-1] for said in _ended_groups(both, x)]
+
+
+def _ended_groups(both: Pair, x: Divided) -> list[str]:
+    """As ``groups_texts``, with a ``;`` after each group."""
     per_a, per_b = np.diff(x.last_a, prepend=-1), np.diff(x.last_b, prepend=-1)
     order = np.empty(len(x.a) + len(x.b), dtype=np.int64)
     marked = 2 * x.a
@@ -232,11 +264,18 @@ def groups_texts(both: Pair, x: Divided) -> list[str]:
     marked = both.from_b + 2 * x.b
     marked[x.last_b] += 1
     order[np.arange(len(x.b)) + np.repeat(x.last_a + 1, per_b)] = marked
-    said, out, start = list(map(both.text.__getitem__, order.tolist())), [], 0
-    for stop in (x.to_a + x.to_b).tolist():
-        out.append("".join(said[start:stop])[:-1])
-        start = stop
-    return out
+    said, ends = list(map(both.text.__getitem__, order.tolist())), (x.to_a + x.to_b).tolist()
+    return ["".join(said[start:stop]) for start, stop in zip([0, *ends], ends)]
+
+
+class _Words(NamedTuple):
+    """Words in order, or texts: text of the groups, each with its end, numbers of the links, and
+    tokens of either."""
+
+    said: list[str]
+    links: list[bytes]
+    n_a: list[int]
+    n_b: list[int]
 
 
 class _Task:
@@ -259,10 +298,10 @@ class _Task:
         self.times[:] = 0
 
     def _forget(self) -> None:
-        self.words: dict[str, int] = {}
-        self.said: list[str] = []
-        self.links: list[bytes] = []
-        self.n_a, self.n_b = array("q"), array("q")
+        # words, and of each what ``_Words`` holds; null texts where a word is not divided alone
+        self.words, self.said = pa.array([], pa.large_string()), pa.array([], pa.large_string())
+        self.links = pa.array([], pa.large_binary())
+        self.n_a, self.n_b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def _code(self, pairs: np.ndarray) -> np.ndarray:
         found, inverse = np.unique(pairs, return_inverse=True)
@@ -277,74 +316,84 @@ class _Task:
         self.codes = np.insert(self.codes, place[~known], codes[~known])
         return codes[inverse]
 
-    def _keep(self, ids_a: list, ids_b: list) -> list[tuple[str, bytes, int, int]]:
-        """Text of the groups, numbers of the links, and tokens of either."""
+    def _keep(self, ids_a: list, ids_b: list) -> _Words:
         found = divided(self.both, ids_a, ids_b)
         codes = self._code((found.a[found.last_a] << 32) | found.b[found.last_b])
-        codes, at, out = codes.astype("<u4").tobytes(), 0, []
-        ends = (4 * found.groups).tolist()
-        for said, stop, a, b in zip(groups_texts(self.both, found), ends, ids_a, ids_b, strict=True):
-            out.append((said, codes[at:stop], len(a), len(b)))
-            at = stop
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        self.words.update(dict.fromkeys(words, -1))
-        sure = {w for w in words if _certain(w)}
-        # a full stop or comma after a letter, at a word's end, is a group of its own in the same way
-        ended = {w for w in sure if self.both.cuts_before_stops and re.search("[A-Za-z][.,]$", w)}
-        bare = {w[:-1] for w in ended} | (sure - ended)
-        bare = [w for w in bare if self.words.get(w, -1) < 0]
+        codes, ends = codes.astype("<u4").tobytes(), (4 * found.groups).tolist()
+        links = [codes[at:stop] for at, stop in zip([0, *ends], ends)]
+        return _Words(_ended_groups(self.both, found), links, [*map(len, ids_a)], [*map(len, ids_b)])
+
+    def _learn(self, new: pa.Array) -> None:
+        words, bare, ended = new.to_pylist(), [], []
+        for word in words:
+            # a full stop or comma after a letter, at a word's end, is a group of its own like a word
+            if self.both.cuts_before_stops and word[-1:] in (".", ",") and word[-2:-1] in _LETTERS:
+                if _certain(word):
+                    ended.append(word)
+            elif word.isalpha() or _certain(word):
+                bare.append(word)
+        place = {w: i for i, w in enumerate(bare)}
+        for word in ended:
+            if word[:-1] not in place:
+                place[word[:-1]] = len(bare)
+                bare.append(word[:-1])
         found = self._keep(*self.both.word_ids(bare))
-        for word, (said, links, n_a, n_b) in zip(bare, found, strict=True):
-            if n_a:
-                self._add(word, said, links, n_a, n_b)
-        if ended:
-            stops = dict(zip(".,", self._keep(*self.both.stops), strict=True))
-            for word in ended:
-                if (at := self.words[word[:-1]]) >= 0:
-                    said, links, n_a, n_b = stops[word[-1]]
-                    parts = f"{self.said[at]};{said}", self.links[at] + links
-                    self._add(word, *parts, self.n_a[at] + n_a, self.n_b[at] + n_b)
-
-    def _add(self, word: str, said: str, links: bytes, n_a: int, n_b: int) -> None:
-        self.words[word] = len(self.said)
-        self.said.append(said)
-        self.links.append(links)
-        self.n_a.append(n_a)
-        self.n_b.append(n_b)
+        stops = dict(zip(".,", zip(*self._keep(*self.both.stops), strict=True), strict=True)) if ended else {}
+        for word in ended:
+            i = place[word[:-1]]
+            said, links, n_a, n_b = stops[word[-1]]
+            if not found.n_a[i]:
+                continue
+            place[word] = len(found.said)
+            found.said.append(found.said[i] + said)
+            found.links.append(found.links[i] + links)
+            found.n_a.append(found.n_a[i] + n_a)
+            found.n_b.append(found.n_b[i] + n_b)
+        at = np.array([place.get(w, -1) for w in words], dtype=np.int64)
+        n_a, n_b = (np.array([*x, 0], dtype=np.int64)[at] for x in (found.n_a, found.n_b))
+        at = pa.array(at, mask=n_a == 0)
+        said = pa.array(found.said, pa.large_string()).take(at)
+        links = pa.array(found.links, pa.large_binary()).take(at)
+        self.words, self.said = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.said, said])
+        self.links = pa.concat_arrays([self.links, links])
+        self.n_a, self.n_b = np.concatenate([self.n_a, n_a]), np.concatenate([self.n_b, n_b])
 
     def run(self, ids: list, texts: list[str]) -> dict:
         """The row of a run of texts."""
         if len(self.words) > REMEMBERED:
             self._forget()
-        cut = [x.replace("\n", " \n").split(" ") if x else [] for x in texts]
-        if not self.both.cuts_at_blanks:
-            cut = [["", ""] if x else [] for x in texts]
-        if new := set().union(*cut) - self.words.keys():
+        cut = pa.array([x.replace("\n", " \n") if x and self.both.cuts_at_blanks else "" for x in texts], pa.large_string())
+        cut = pc.split_pattern(cut, " ")
+        words = cut.values.dictionary_encode()
+        place, new = numbered(words.dictionary, self.words)
+        if len(new):
             self._learn(new)
-        n_a, n_b = np.frombuffer(self.n_a, dtype=np.int64), np.frombuffer(self.n_b, dtype=np.int64)
-        out, whole = [], []
-        for i, own in enumerate(cut):
-            places = list(map(self.words.__getitem__, own))
-            if -1 in places:
-                whole.append(i)
-                out.append(None)
-            else:
-                said = ";".join(map(self.said.__getitem__, places))
-                out.append((said, b"".join(map(self.links.__getitem__, places)), int(n_a[places].sum()), int(n_b[places].sum())))
+        place = place.take(words.indices)
+        starts = cut.offsets.to_numpy()
+        sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[starts]).tolist()
+        said, links = self.said.take(place), self.links.take(place)
+        n_a, n_b = (sums(x[place.to_numpy()]) for x in (self.n_a, self.n_b))
+        lost = sums(said.is_null().to_numpy(zero_copy_only=False))
+        whole = [i for i, (text, n) in enumerate(zip(texts, lost, strict=True)) if text and n]
+        hashes, codes = [], []
+        for values, out, of in (said, hashes, _hash), (links, codes, bytes):
+            ends, data = parts(values)
+            at = ends[starts].tolist()
+            out += [of(data[a:b]) for a, b in zip(at, at[1:])]
         if whole:
-            for i, found in zip(whole, self._keep(*self.both.ids([texts[i] for i in whole])), strict=True):
-                out[i] = found
-        codes = b"".join(x[1] for x in out)
+            found = self._keep(*self.both.ids([texts[i] for i in whole]))
+            for i, groups, codes[i], n_a[i], n_b[i] in zip(whole, *found, strict=True):
+                hashes[i] = _hash(groups.encode())
+        n_groups = [len(x) // 4 for x in codes]
+        codes = b"".join(codes)
         self.times += np.bincount(np.frombuffer(codes, dtype="<u4"), minlength=len(self.times))
         return {
             "dictionary": self.number,
             "doc_id": ids,
-            "n_a": [x[2] for x in out],
-            "n_b": [x[3] for x in out],
-            "n_groups": [len(x[1]) // 4 for x in out],
-            "groups_sha256": [hashlib.sha256(x[0].encode()).hexdigest() if x[0] else "" for x in out],
+            "n_a": n_a,
+            "n_b": n_b,
+            "n_groups": n_groups,
+            "groups_sha256": hashes,
             "codes": _planes(codes),
         }
 
@@ -360,6 +409,11 @@ def _certain(word: str) -> bool:
     return bool(inner) and not (inner[0].isspace() or inner[-1].isspace())
 
 
+def _hash(groups: bytes | memoryview) -> str:
+    """Hash of the groups' text, which has an end after each; nothing where there are none."""
+    return hashlib.sha256(groups[:-1]).hexdigest() if len(groups) else ""
+
+
 def _rows(rows: list[dict]) -> pa.RecordBatch:
     columns = [pa.array([r.get(f.name) for r in rows], type=f.type) for f in _LINKED]
     return pa.RecordBatch.from_arrays(columns, schema=_LINKED)

@@ -148,3 +148,27 @@ def test_words_are_divided_as_whole_texts_are(prose):
     whole = cross_align.groups_texts(both, cross_align.divided(both, *both.ids(texts)))
     assert row["groups_sha256"] == [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in whole]
     assert sum(task.times) == sum(row["n_groups"])
+
+
+def test_words_without_tokens_before_a_stop(frame):
+    """A word that is not its tokens' bytes, with a full stop after it."""
+    rows = [(1, "one \u2581two. three"), (2, "one two. three,"), (3, "\u2581a,")]
+    assert sorted((tuple(r) for r in alignment(frame(*rows)).collect()), key=str) == brute(rows)
+
+
+def test_plain_words_are_not_encoded_as_texts(monkeypatch):
+    """The library's rules are asked only where they can matter."""
+    task, asked = cross_align._Task(Pair(A, B), 0), []
+    same = task.both._same
+    monkeypatch.setattr(task.both, "_same", lambda led, found: asked.append(led) or same(led, found))
+
+    class Library:
+        model = task.both.a.model
+
+        def encode_batch_fast(self, texts, **_):
+            assert texts == ["\nnew", " don't"] or not texts
+            return real.encode_batch_fast(texts, **_)
+
+    real, task.both.a = task.both.a, Library()
+    task.run([1], ["plain words\nnew don't caf\u00e9"])
+    assert sorted(x for led in asked for x in led) == sorted([" plain", " words", "\nnew", " don't", " caf\u00e9"])
