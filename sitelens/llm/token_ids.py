@@ -129,9 +129,13 @@ class WordEncoder:
         place, new = numbered(words.dictionary, self.words)
         if len(new):
             learned = pa.array(self._learn(new.to_pylist()), pa.large_binary())
-            self.words, self.found = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.found, learned])
+            every = pa.concat_arrays([self.found, learned])
+            # most new words never come again; those that do within the texts are worth their memory
+            again = np.bincount(words.indices, minlength=len(place))[place.to_numpy() >= len(self.words)] > 1
+            self.words = pa.concat_arrays([self.words, new.filter(again)])
+            self.found = pa.concat_arrays([self.found, learned.filter(again)])
         # the ids of all words one after the other
-        found = self.found.take(place).take(words.indices)
+        found = (every if len(new) else self.found).take(place).take(words.indices)
         ends, data = parts(found)
         starts = cut.offsets.to_numpy()
         at = ends[starts].tolist()
