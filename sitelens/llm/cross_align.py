@@ -12,7 +12,8 @@ texts where such a cut is not certain (runs of white space) are divided as a who
 A link is a pair of an A and a B token that end together. Counts of id pairs are needed over all
 texts, so texts are cut and divided once: tasks write their links as numbers of a dictionary of their
 own, with the dictionary; the dictionaries, which are far smaller, are summed by pair and sent back
-to the links that they belong to.
+to the links that they belong to. Links meet their answers one dictionary at a time, so neither Spark
+nor Python holds more than one beside Spark's own sort, however many a task gets.
 
 Defined results: texts that are null, empty, or not the same bytes as the joined tokens of A or of B
 (such as texts that hold U+2581) have no tokens: zeros and an empty hash. Special tokens' strings
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import stored
+from sitelens.llm.common import held, stored
 from sitelens.llm.token_ids import batches, byte_letters, is_latin, numbered, parts, tokenizer_path
 
 #: Pairs in a dictionary, at most (and one run of texts more); then a task begins another.
@@ -49,7 +50,6 @@ RUN = 1_000_000
 #: Words whose bytes are compared with their tokens' at once.
 COMPARED = 256
 
-_ENCODERS = {}
 _LETTERS = frozenset(string.ascii_letters)
 _LINKED = pa.schema(
     [
@@ -218,9 +218,7 @@ def _byte_letters() -> dict[str, int]:
 
 def pair(path_a: str, path_b: str) -> Pair:
     """The worker's own pair of vocabularies."""
-    if (path_a, path_b) not in _ENCODERS:
-        _ENCODERS[path_a, path_b] = Pair(path_a, path_b)
-    return _ENCODERS[path_a, path_b]
+    return held(f"{path_a}\0{path_b}", lambda: Pair(path_a, path_b))
 
 
 class Divided(NamedTuple):
@@ -420,12 +418,18 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _planes(numbers: bytes) -> bytes:
-    """32-bit numbers, their lowest bytes first, then the next: high ones are mostly zero."""
-    return np.frombuffer(numbers, dtype=np.uint8).reshape(-1, 4).T.tobytes()
+    """32-bit numbers, their lowest bytes first, then the next, as far as any number has more."""
+    most = int(np.frombuffer(numbers, dtype="<u4").max(initial=0))
+    wide = (most.bit_length() + 7) // 8 or 1
+    return np.frombuffer(numbers, dtype=np.uint8).reshape(-1, 4)[:, :wide].T.tobytes()
 
 
-def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _numbers(planes: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``_planes``."""
+    out = np.zeros((n, 4), dtype=np.uint8)
+    if n:
+        out[:, : len(planes) // n] = np.frombuffer(planes, dtype=np.uint8).reshape(-1, n).T
+    return out.view("<u4").ravel()
 
 
 def linked_runs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -474,43 +478,31 @@ def alignment(docs: DataFrame, path_a: str | None = None, path_b: str | None = N
     runs = stored(linked_runs(docs, path_a, path_b), "linked-runs")
     entries = runs.where("pairs is not null").select("dictionary", F.posexplode("pairs").alias("code", "pair"))
     known = entries.join(pair_counts(runs).hint("merge"), "pair")
-    answers = known.groupBy("dictionary").agg(
-        F.sort_array(F.collect_list(F.struct("code", "k", "best"))).alias("x")
-    )
-    answers = answers.select(
-        "dictionary",
-        F.lit(0).alias("part"),
-        F.col("x.k").alias("k"),
-        F.col("x.best").alias("best"),
-    )
-    parts = runs.where("pairs is null").drop("pairs", "times").withColumn("part", F.lit(1))
-    both = answers.unionByName(parts, allowMissingColumns=True)
-    # a dictionary's answers come before the runs that use it
-    dealt = both.repartition("dictionary").sortWithinPartitions("dictionary", "part")
-    names = dealt.columns
-
-    def work(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = best = None
-        for batch in batches_:
-            columns = dict(zip(names, batch.columns, strict=True))
-            for i in range(batch.num_rows):
-                get = lambda c, i=i: columns[c][i]
-                if get("part").as_py() == 0:
-                    k = get("k").values.to_numpy()
-                    best = get("best").values.to_numpy(zero_copy_only=False).astype(np.int64)
-                    continue
-                codes = _numbers(get("codes").as_py())
-                groups = get("n_groups").values.to_numpy()
-                stop = np.cumsum(groups)
-                sums = []
-                for figure in (best, k):
-                    run = np.zeros(len(codes) + 1, dtype=np.int64)
-                    if len(codes):
-                        np.cumsum(figure[codes], out=run[1:])
-                    sums.append(run[stop] - run[stop - groups])
-                arrays = [get(c).values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_groups")]
-                arrays += [pa.array(x) for x in sums] + [get("groups_sha256").values]
-                fields = [x.split()[0] for x in RESULT.split(", ")]
-                yield pa.RecordBatch.from_arrays(arrays, names=fields)
-
-    return dealt.mapInArrow(work, RESULT)
+    answers = known.select(F.col("dictionary").alias("own"), "code", "k", "best")
+    parts = runs.where("pairs is null").drop("pairs", "times")
+    return answers.groupBy("own").cogroup(parts.groupBy("dictionary")).applyInArrow(ranked, RESULT)
+
+
+def ranked(answers: pa.Table, runs: pa.Table) -> pa.Table:
+    """The documents of the runs of one dictionary, as ``RESULT``; ``answers`` has its ``code, k, best``."""
+    held("cross_align.ranked", dict)  # vocabularies are of no use here
+    at = answers["code"].to_numpy()
+    figures = np.zeros((2, at.max(initial=-1) + 1), dtype=np.int64)
+    figures[:, at] = answers["best"].to_numpy(), answers["k"].to_numpy()
+    fields = [x.split() for x in RESULT.split(", ")]
+    schema = pa.schema([(name, pa.int64() if kind == "long" else pa.string()) for name, kind in fields])
+    out = []
+    for i in range(runs.num_rows):
+        row = {c: runs[c][i] for c in runs.column_names}
+        groups = row["n_groups"].values.to_numpy()
+        stop = np.cumsum(groups)
+        codes = _numbers(row["codes"].as_py(), int(groups.sum()))
+        sums = []
+        for figure in figures:
+            run = np.zeros(len(codes) + 1, dtype=np.int64)
+            np.cumsum(figure[codes], out=run[1:])
+            sums.append(run[stop] - run[stop - groups])
+        arrays = [row[c].values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_groups")]
+        arrays += [pa.array(x) for x in sums] + [row["groups_sha256"].values]
+        out.append(pa.RecordBatch.from_arrays(arrays, schema=schema))
+    return pa.Table.from_batches(out, schema)

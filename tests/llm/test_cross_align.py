@@ -172,3 +172,37 @@ def test_plain_words_are_not_encoded_as_texts(monkeypatch):
     real, task.both.a = task.both.a, Library()
     task.run([1], ["plain words\nnew don't caf\u00e9"])
     assert sorted(x for led in asked for x in led) == sorted([" plain", " words", "\nnew", " don't", " caf\u00e9"])
+
+
+@pytest.mark.parametrize("most, size", [(0, 1), (255, 1), (256, 2), (65_535, 2), (65_536, 3), (1 << 24, 4)])
+def test_numbers_take_the_bytes_they_need(most, size):
+    numbers = np.array([7, most, 0], dtype="<u4")
+    planes = cross_align._planes(numbers.tobytes())
+    assert len(planes) == 3 * size
+    assert cross_align._numbers(planes, 3).tolist() == numbers.tolist()
+    assert cross_align._planes(b"") == b"" and not len(cross_align._numbers(b"", 0))
+
+
+def test_links_meet_one_dictionary_at_a_time(spark, frame, prose, monkeypatch):
+    """A task with many dictionaries hands Python each with its own runs, and has let the vocabularies go."""
+    monkeypatch.setattr(cross_align, "RUN", 500)
+    monkeypatch.setattr(cross_align, "LINKS", 150)
+    rows = [(i, prose(i % 17, 60)) for i in range(60)]
+    real = cross_align.ranked
+
+    def watched(answers, runs):
+        from sitelens.llm import common
+
+        out = real(answers, runs)
+        assert sum(sum(x) for x in runs["n_groups"].to_pylist()) < 1000
+        assert not any(type(x).__name__ == "Pair" for _, x in common._HELD)
+        return out
+
+    monkeypatch.setattr(cross_align, "ranked", watched)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        got = alignment(frame(*rows).coalesce(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
