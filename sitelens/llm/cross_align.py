@@ -12,8 +12,8 @@ texts where such a cut is not certain (runs of white space) are divided as a who
 A link is a pair of an A and a B token that end together. Counts of id pairs are needed over all
 texts, so texts are cut and divided once: tasks write their links as numbers of a dictionary of their
 own, with the dictionary; the dictionaries, which are far smaller, are summed by pair and sent back
-to the links that they belong to. Links meet their answers one dictionary at a time, so neither Spark
-nor Python holds more than one beside Spark's own sort, however many a task gets.
+to the links that they belong to. Links meet their answers one dictionary at a time, so Arrow and
+Python never hold those of another, however many a task gets.
 
 Defined results: texts that are null, empty, or not the same bytes as the joined tokens of A or of B
 (such as texts that hold U+2581) have no tokens: zeros and an empty hash. Special tokens' strings
